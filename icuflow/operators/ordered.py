@@ -29,15 +29,30 @@ from pyspark.sql import types as T
 from ..session import reliable_checkpoint, shuffle_partitions
 
 
+ROWS_PER_PARTITION = 2_000_000
+
+
+def partitions_for(rows: int | None, spark) -> int:
+    """Range partitions for ``rows`` rows: about ``ROWS_PER_PARTITION`` each.
+
+    The count grows with the data (no upper cap); unknown sizes fall back to
+    ``spark.sql.shuffle.partitions``.
+    """
+    if rows is None:
+        return shuffle_partitions(spark)
+    return max(1, -(-int(rows) // ROWS_PER_PARTITION))
+
+
 def with_prefix(df: DataFrame, order: Sequence[Column | str], sums: Mapping[str, Column | str] | None = None,
-                index_col: str = "pos", num_partitions: int | None = None) -> DataFrame:
+                index_col: str = "pos", num_partitions: int | None = None, rows: int | None = None) -> DataFrame:
     """Add a 0-based global ``index_col`` along ``order`` and inclusive running sums.
 
     ``sums`` maps output name -> numeric column; nulls count as 0.  Put a
     unique tie-breaker last in ``order`` when positions must be reproducible.
+    ``rows`` (if known) sizes the range partitions.
     """
     sums = dict(sums or {})
-    n = num_partitions or shuffle_partitions(df.sparkSession)
+    n = num_partitions or partitions_for(rows, df.sparkSession)
     base = df
     out_types = {}
     for name, col in sums.items():

@@ -38,7 +38,8 @@ def summary(df: DataFrame, cols: Sequence[str], quantiles: Sequence[float] = (0.
     for c, o in offset.items():
         off_expr = (F.when(F.col("col_name") == c, F.lit(o)) if off_expr is None
                     else off_expr.when(F.col("col_name") == c, F.lit(o)))
-    ranked = with_prefix(long, ["col_name", "x"], index_col="_pos").withColumn("_local", F.col("_pos") - off_expr)
+    ranked = with_prefix(long, ["col_name", "x"], index_col="_pos", rows=run).withColumn(
+        "_local", F.col("_pos") - off_expr)
     wanted = []
     for c, n in sizes.items():
         for q in quantiles:

@@ -27,14 +27,14 @@ def shuffle_key(key: Column | str, seed: int) -> Column:
 
 
 def positional_split(df: DataFrame, order: Sequence[Column | str], sizes: Sequence[tuple[str, int | None]],
-                     out: str = "split") -> DataFrame:
+                     out: str = "split", rows: int | None = None) -> DataFrame:
     """Cut a seeded random order into consecutive blocks.
 
     ``sizes`` is ``[(name, count), ..., (last_name, None)]``; the last block
     takes the rest.  Blocks are half-open and adjacent, so every row lands
     in exactly one block.
     """
-    indexed = with_prefix(df, order, index_col="_pos")
+    indexed = with_prefix(df, order, index_col="_pos", rows=rows)
     bounds, start = [], 0
     for name, count in sizes:
         end = None if count is None else start + int(count)
@@ -53,7 +53,7 @@ def fraction_split(df: DataFrame, order: Sequence[Column | str], test_fraction:
     """M2: exact ``ceil(fraction * n)`` test rows taken from a seeded order, rest train."""
     n = df.count()
     n_test = int(math.ceil(test_fraction * n))
-    return positional_split(df, order, [("test", n_test), ("train", None)], out)
+    return positional_split(df, order, [("test", n_test), ("train", None)], out, rows=n)
 
 
 def stratified_folds(df: DataFrame, label: str, order: Sequence[Column | str], k: int = 5,
@@ -65,7 +65,8 @@ def stratified_folds(df: DataFrame, label: str, order: Sequence[Column | str], k
     """
     counts = sorted((r[label], r["n"]) for r in df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()
                     if r[label] is not None)
-    indexed = with_prefix(df, [F.col(label).asc_nulls_first(), *order], index_col="_pos")
+    indexed = with_prefix(df, [F.col(label).asc_nulls_first(), *order], index_col="_pos",
+                          rows=sum(n for _, n in counts))
     offset_expr, run = None, 0
     for value, n in counts:
         cond = F.col(label) == F.lit(value)

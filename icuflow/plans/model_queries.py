@@ -12,10 +12,11 @@ from pyspark.sql import functions as F
 
 from ..functions import dictionary as D
 from ..operators import features, models, sequences, split
-from ..session import scratch_path
+from ..session import persist, scratch_path
 from . import queries as Q
 
 C_GRID = [0.0001, 0.001, 0.1, 1.0, 10.0]
+GRID_MAX_ITER = 30
 
 
 def _model_table(spark, d):
@@ -26,12 +27,14 @@ def _model_table(spark, d):
     data = scaled.withColumn("label", F.col("hospital_expire_flag").cast("double"))
     order = [split.arithmetic_hash("hadm_id", Q.SEED), F.col("hadm_id")]
     data = split.fraction_split(data, order, 0.2)
-    return models.assemble(data, cols), cols
+    # Reused by several fits and evaluations: keep it instead of recomputing the chain.
+    return persist(models.assemble(data, cols)), cols
 
 
 def _train_with_folds(data):
     train = data.filter(F.col("split") == "train")
-    return split.stratified_folds(train, "label", [split.arithmetic_hash("hadm_id", Q.SEED), F.col("hadm_id")], 5)
+    folds = split.stratified_folds(train, "label", [split.arithmetic_hash("hadm_id", Q.SEED), F.col("hadm_id")], 5)
+    return persist(folds)
 
 
 @Q.register("logistic_scores")
@@ -58,7 +61,7 @@ def _svm_inputs(spark, d):
     data, cols = _model_table(spark, d)
     train = data.filter(F.col("split") == "train")
     gamma = models.gamma_scale(train, cols)
-    return models.random_fourier_features(data, cols, gamma, 128), cols
+    return persist(models.random_fourier_features(data, cols, gamma, 128)), cols
 
 
 @Q.register("rbf_svm_scores")
@@ -84,7 +87,7 @@ def q_svm_grid(spark, d):
     data, _ = _svm_inputs(spark, d)
     train = _train_with_folds(data)
     n = train.count()
-    svc = models.linear_svc(n=n)
+    svc = models.linear_svc(n=n, max_iter=GRID_MAX_ITER)
     grid = models.svm_c_grid(svc, C_GRID, n)
     cvm = models.cross_validate(svc, grid, train)
     return spark.createDataFrame([(float(c), float(m)) for c, m in zip(C_GRID, cvm.avgMetrics)],
@@ -100,8 +103,8 @@ def _sequence_data(spark, d):
     n = labelled.count()
     part = max(1, int(0.15 * n))
     order = [split.arithmetic_hash("hadm_id", Q.SEED), F.col("hadm_id")]
-    parts = split.positional_split(labelled, order, [("test", part), ("valid", part), ("train", None)])
-    return models.flatten_padded(parts), Q.SEQ_LIMIT * len(cols)
+    parts = split.positional_split(labelled, order, [("test", part), ("valid", part), ("train", None)], rows=n)
+    return persist(models.flatten_padded(parts)), Q.SEQ_LIMIT * len(cols)
 
 
 @Q.register("sequence_mlp")

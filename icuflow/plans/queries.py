@@ -43,9 +43,14 @@ def register(name: str, sql: str | None = None):
 
 
 def round_doubles(df: DataFrame) -> DataFrame:
-    """Round every double column with ``round6`` (comparison-stable output)."""
-    return df.select(*[round6(f.name).alias(f.name) if isinstance(f.dataType, (T.DoubleType, T.FloatType))
-                       else F.col(f.name) for f in df.schema.fields])
+    """Round every double column like ``round6`` (comparison-stable output).
+
+    Built as one ``selectExpr`` so the driver makes a single JVM call.
+    """
+    exprs = [f"floor(`{f.name}` * 1e6 + 0.5) / 1e6 AS `{f.name}`"
+             if isinstance(f.dataType, (T.DoubleType, T.FloatType)) else f"`{f.name}`"
+             for f in df.schema.fields]
+    return df.selectExpr(*exprs)
 
 
 # --------------------------------------------------------------------------
@@ -202,9 +207,10 @@ def _grouped(df: DataFrame) -> DataFrame:
 
 def events_pipeline(spark, d, hours: int | None, rules=D.OUTLIER_RULES_13) -> DataFrame:
     """chart -> (window of ``hours``) -> typed -> grouped -> outlier rules."""
-    chart = _chart(spark, d)
+    events = _events(spark, d)
+    chart = A.chart_from_events(events)
     if hours is not None:
-        chart = windows.chart_window(chart, _stays(spark, d), hours)
+        chart = windows.chart_window(chart, A.stays_from_events(events), hours)
     out = _grouped(_typed(chart))
     return clean.drop_outliers(out, rules) if rules is not None else out
 
@@ -600,7 +606,7 @@ def q_split_3way(spark, d):
     n = cust.count()
     part = int(math.floor(0.15 * n))
     return split.positional_split(cust, [split.arithmetic_hash("c_custkey", SEED), F.col("c_custkey")],
-                                  [("test", part), ("valid", part), ("train", None)])
+                                  [("test", part), ("valid", part), ("train", None)], rows=n)
 
 
 @register("stratified_folds",
