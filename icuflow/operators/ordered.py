@@ -30,17 +30,25 @@ from ..session import reliable_checkpoint, shuffle_partitions
 
 
 ROWS_PER_PARTITION = 2_000_000
+MIN_ROWS_PER_TASK = 50_000
 
 
 def partitions_for(rows: int | None, spark) -> int:
-    """Range partitions for ``rows`` rows: about ``ROWS_PER_PARTITION`` each.
+    """Range partitions for ``rows`` rows.
 
-    The count grows with the data (no upper cap); unknown sizes fall back to
-    ``spark.sql.shuffle.partitions``.
+    About ``ROWS_PER_PARTITION`` rows each at scale (the count grows with the
+    data, no upper cap), but at least one task per core of
+    ``spark.sql.shuffle.partitions`` while tasks keep ``MIN_ROWS_PER_TASK``
+    rows; tiny inputs get one partition.  Unknown sizes use the shuffle
+    partition setting.
     """
+    base = shuffle_partitions(spark)
     if rows is None:
-        return shuffle_partitions(spark)
-    return max(1, -(-int(rows) // ROWS_PER_PARTITION))
+        return base
+    rows = int(rows)
+    by_size = -(-rows // ROWS_PER_PARTITION)
+    by_cores = min(base, -(-rows // MIN_ROWS_PER_TASK))
+    return max(1, by_size, by_cores)
 
 
 def with_prefix(df: DataFrame, order: Sequence[Column | str], sums: Mapping[str, Column | str] | None = None,
@@ -53,7 +61,11 @@ def with_prefix(df: DataFrame, order: Sequence[Column | str], sums: Mapping[str,
     """
     sums = dict(sums or {})
     n = num_partitions or partitions_for(rows, df.sparkSession)
-    base = df
+    # A row id as last sort key: rows that tie on ``order`` (a hot value may
+    # hold a third of the data) still get distinct range keys, so the range
+    # partitioner can spread them over several partitions.
+    base = df.withColumn("_tb", F.monotonically_increasing_id())
+    order = [*order, F.col("_tb")]
     out_types = {}
     for name, col in sums.items():
         c = F.col(col) if isinstance(col, str) else col
@@ -62,7 +74,7 @@ def with_prefix(df: DataFrame, order: Sequence[Column | str], sums: Mapping[str,
         integral = isinstance(dt, (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.BooleanType))
         out_types[name] = T.LongType() if integral else T.DoubleType()
         base = base.withColumn(f"_v_{name}", F.coalesce(F.col(f"_v_{name}").cast(out_types[name]), F.lit(0).cast(out_types[name])))
-    ranged = reliable_checkpoint(base.repartitionByRange(n, *order).sortWithinPartitions(*order))
+    ranged = reliable_checkpoint(base.repartitionByRange(n, *order).sortWithinPartitions(*order)).drop("_tb")
 
     totals = (ranged.groupBy(F.spark_partition_id().alias("_pid"))
               .agg(F.count(F.lit(1)).alias("_n"), *[F.sum(f"_v_{k}").alias(f"_t_{k}") for k in sums])
@@ -76,6 +88,20 @@ def with_prefix(df: DataFrame, order: Sequence[Column | str], sums: Mapping[str,
         for k in sums:
             run_s[k] += r[f"_t_{k}"] or 0
 
+    if not sums:
+        # Positions only: stay in the JVM.  Inside a checkpointed partition the
+        # row order is fixed, so monotonically_increasing_id() encodes
+        # (partition id << 33) + local position deterministically.
+        mid = F.monotonically_increasing_id()
+        local = F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1))
+        pid = F.shiftright(F.col("_mid"), 33).cast("int")
+        off = None
+        for p, (o, _) in offsets.items():
+            off = F.when(pid == F.lit(p), F.lit(o)) if off is None else off.when(pid == F.lit(p), F.lit(o))
+        off = off.otherwise(F.lit(0)) if off is not None else F.lit(0)
+        return (ranged.withColumn("_mid", mid)
+                .withColumn(index_col, (off + local).cast("long")).drop("_mid"))
+
     value_cols = [f"_v_{k}" for k in sums]
     fields = [f for f in ranged.schema.fields if f.name not in value_cols]
     schema = T.StructType(fields + [T.StructField(index_col, T.LongType(), False)]

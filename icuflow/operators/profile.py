@@ -20,15 +20,23 @@ def _long(df: DataFrame, cols: Sequence[str], name: str = "col_name", value: str
 def summary(df: DataFrame, cols: Sequence[str], quantiles: Sequence[float] = (0.25, 0.5, 0.75)) -> DataFrame:
     """A10: count, mean, std (n-1), min, exact linear quantiles, max per column.
 
-    Exact quantiles use one distributed ordered scan over all columns at
-    once; only the rows at the interpolation positions are kept.
+    Moments come from one aggregation over the table (a summary row of
+    5 x len(cols) numbers).  Exact quantiles use one distributed ordered
+    scan over all columns at once; only the rows at the interpolation
+    positions are kept.
     """
-    long = _long(df, cols).filter(F.col("x").isNotNull())
-    stats = long.groupBy("col_name").agg(F.count(F.lit(1)).alias("count"), F.avg("x").alias("mean"),
-                                       F.stddev_samp("x").alias("std"), F.min("x").alias("min"),
-                                       F.max("x").alias("max"))
-    sizes = {r["col_name"]: r["count"] for r in stats.select("col_name", "count").collect()}
-    if not sizes:
+    aggs = []
+    for i, c in enumerate(cols):
+        x = F.col(c).cast("double")
+        aggs += [F.count(x).alias(f"n{i}"), F.avg(x).alias(f"m{i}"), F.stddev_samp(x).alias(f"s{i}"),
+                 F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}")]
+    r = df.agg(*aggs).first()
+    sizes = {c: r[f"n{i}"] for i, c in enumerate(cols)}
+    spark = df.sparkSession
+    stats = spark.createDataFrame(
+        [(c, r[f"n{i}"], r[f"m{i}"], r[f"s{i}"], r[f"lo{i}"], r[f"hi{i}"]) for i, c in enumerate(cols)],
+        "col_name string, count long, mean double, std double, min double, max double")
+    if not any(sizes.values()):
         return stats
     offset, run = {}, 0
     for c in sorted(sizes):
@@ -38,33 +46,37 @@ def summary(df: DataFrame, cols: Sequence[str], quantiles: Sequence[float] = (0.
     for c, o in offset.items():
         off_expr = (F.when(F.col("col_name") == c, F.lit(o)) if off_expr is None
                     else off_expr.when(F.col("col_name") == c, F.lit(o)))
+    long = _long(df, cols).filter(F.col("x").isNotNull())
     ranked = with_prefix(long, ["col_name", "x"], index_col="_pos", rows=run).withColumn(
         "_local", F.col("_pos") - off_expr)
-    wanted = []
+    wanted = set()
     for c, n in sizes.items():
         for q in quantiles:
-            p = q * (n - 1)
-            wanted.append((c, math.floor(p)))
-            wanted.append((c, math.ceil(p)))
+            if n:
+                wanted.add((c, math.floor(q * (n - 1))))
+                wanted.add((c, math.ceil(q * (n - 1))))
     keep = None
-    for c, i in set(wanted):
+    for c, i in wanted:
         cond = (F.col("col_name") == c) & (F.col("_local") == i)
         keep = cond if keep is None else keep | cond
     picked = ranked.filter(keep).select("col_name", "_local", "x")
-    aggs = []
+    out = []
     for q in quantiles:
         name = f"q{int(round(q * 100))}"
-        lo_hi = {c: (math.floor(q * (n - 1)), math.ceil(q * (n - 1)), q * (n - 1)) for c, n in sizes.items()}
         lo_e = hi_e = fr_e = None
-        for c, (lo, hi, p) in lo_hi.items():
+        for c, n in sizes.items():
+            if not n:
+                continue
+            p = q * (n - 1)
+            lo, hi = math.floor(p), math.ceil(p)
             cond = F.col("col_name") == c
             lo_e = F.when(cond, F.lit(lo)) if lo_e is None else lo_e.when(cond, F.lit(lo))
             hi_e = F.when(cond, F.lit(hi)) if hi_e is None else hi_e.when(cond, F.lit(hi))
             fr_e = F.when(cond, F.lit(p - lo)) if fr_e is None else fr_e.when(cond, F.lit(p - lo))
         v_lo = F.max(F.when(F.col("_local") == lo_e, F.col("x")))
         v_hi = F.max(F.when(F.col("_local") == hi_e, F.col("x")))
-        aggs.append((v_lo + (v_hi - v_lo) * F.max(fr_e)).alias(name))
-    qs = picked.groupBy("col_name").agg(*aggs)
+        out.append((v_lo + (v_hi - v_lo) * F.max(fr_e)).alias(name))
+    qs = picked.groupBy("col_name").agg(*out)
     return stats.join(qs, on="col_name", how="left")
 
 
