@@ -126,3 +126,13 @@ def q_model_reload(spark, d):
     models.save_model(model, path)
     again = models.load_model(LogisticRegressionModel, path)
     return models.positive_probability(again.transform(test)).select("hadm_id", "label", "prediction", "score")
+
+
+@Q.register("training_curve")
+def q_training_curve(spark, d):
+    """Train and validation accuracy per training length; best kept."""
+    data, width = _sequence_data(spark, d)
+    train, valid = data.filter(F.col("split") == "train"), data.filter(F.col("split") == "valid")
+    _, curve = models.select_by_validation(lambda it: models.mlp(width, max_iter=it), [5, 10, 20], train, valid)
+    return spark.createDataFrame([(int(s), float(tr), float(va)) for s, tr, va in curve],
+                                 "max_iter int, train_accuracy double, valid_accuracy double")

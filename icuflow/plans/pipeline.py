@@ -100,3 +100,61 @@ def load_raw_tables(spark, data_dir: str) -> dict[str, DataFrame]:
             casts["hospital_expire_flag"] = F.col("hospital_expire_flag").try_cast("int")
         t[k] = df.withColumns(casts) if casts else df
     return t
+
+
+OUTPUTS = ("chartWithTimeSelected", "chart24Hr", "chart48Hr", "lab24Hr", "lab48Hr", "chart24", "chart48",
+           "chartLab24", "chartLab48", "patientsInfo", "chart24Item17", "chart48Item17", "chartLab24Item20",
+           "chartLab48Item20")
+
+
+def run_preparation(spark, data_dir: str, out_dir: str, fmt: str = "csv", single_file: bool = False,
+                    min_age: float = 18.0) -> dict[str, str]:
+    """The whole preparation job: five raw CSV tables -> the 14 outputs.
+
+    The 48 h windows are computed once and written as stages; each 24 h set
+    is a filter on its 48 h stage (both lower bounds agree per source), read
+    back from the stage files so downstream work does not recompute the
+    joins.  Returns output name -> path.
+    """
+    from ..sources.csv import write_csv, write_stage
+    t = load_raw_tables(spark, data_dir)
+    info = cohort.select_cohort(t["patients"], t["admissions"], t["icustays"], min_age)
+    stays = cohort.stay_start(t["icustays"], info)
+    out = out_dir.rstrip("/")
+    paths: dict[str, str] = {}
+
+    def emit(name: str, df: DataFrame) -> None:
+        p = f"{out}/{name}.{fmt}"
+        if fmt == "csv":
+            write_csv(df, p, single_file)
+        else:
+            df.write.mode("overwrite").parquet(p)
+        paths[name] = p
+
+    raw_cols = ["subject_id", "hadm_id", "itemid", "charttime", "value", "valueuom"]
+    selected = windows.attach_stay_start(windows.select_items(t["chart"], D.CHART_ITEMS), stays)
+    emit("chartWithTimeSelected", selected.select(*raw_cols, "intime"))
+    chart48 = write_stage(windows.open_window(windows.with_hours(selected), 48).select(*raw_cols, "hours"),
+                          f"{out}/_stage/chart48")
+    lab_sel = windows.select_items(t["lab"], D.LAB_ITEMS)
+    lab48 = write_stage(windows.interval_join(lab_sel, stays, 48, key="subject_id", stay_cols=("hadm_id",))
+                        .select(*raw_cols, "hours"), f"{out}/_stage/lab48")
+    win = {"chart48Hr": chart48, "chart24Hr": windows.open_window(chart48, 24),
+           "lab48Hr": lab48, "lab24Hr": windows.open_window(lab48, 24)}
+    for name, df in win.items():
+        emit(name, df.select(*raw_cols))
+    cols = list(clean.EVENT_COLUMNS)
+    typed = {}
+    for h in (24, 48):
+        c = clean.type_chart_events(win[f"chart{h}Hr"].select(*cols), cols)
+        lab = clean.type_lab_events(win[f"lab{h}Hr"].select(*cols), cols)
+        typed[f"chart{h}"] = c
+        typed[f"chartLab{h}"] = clean.union_events(c, lab)
+    for name, df in typed.items():
+        emit(name, df)
+    emit("patientsInfo", info)
+    emit("chart24Item17", clean.assign_groups(typed["chart24"]))
+    emit("chart48Item17", clean.assign_groups(typed["chart48"]))
+    emit("chartLab24Item20", clean.assign_groups(typed["chartLab24"]))
+    emit("chartLab48Item20", clean.assign_groups(typed["chartLab48"]))
+    return paths

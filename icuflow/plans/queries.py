@@ -20,7 +20,7 @@ from ..functions import dictionary as D
 from ..functions.columns import categorical_code, item_group, parse_double, round6, unit_convert
 from ..operators import clean, cohort, features, metrics, profile, sequences, split, windows
 from ..session import scratch_path
-from ..sources.csv import load_csv_table
+from ..sources.csv import load_csv_table, write_csv
 from ..sources.tables import table
 from . import analog as A
 
@@ -266,7 +266,7 @@ def q_features_48h_setB(spark, d):
 def q_scan_csv_roundtrip(spark, d):
     cust = table(spark, d, "customer")
     path = scratch_path(spark, "roundtrip") + "/customer_csv.csv"
-    cust.write.mode("overwrite").option("header", "true").csv(path)
+    write_csv(cust, path)
     return load_csv_table(spark, path, schema=cust.schema)
 
 
@@ -763,6 +763,23 @@ def q_roc_auc_rank(spark, d):
     return round_doubles(metrics.roc_auc(_scored(spark, d)))
 
 
+# --------------------------------------------------------------------------
+# Streaming form of the preparation (file stream over the events table)
+# --------------------------------------------------------------------------
+
+@register("stream_clean_24h", sql_events_pipeline(24, D.OUTLIER_RULES_13) + "\n"
+          f"SELECT subject_id, hadm_id, itemid, charttime, {r6('value')} AS value FROM cleaned")
+def q_stream_clean_24h(spark, d):
+    from ..streaming import ingest
+    events = _events(spark, d)
+    stream = ingest.read_event_stream(spark, d, events.schema, glob="events.parquet")
+    cleaned = ingest.clean_event_stream(A.chart_from_events(stream), A.stays_from_events(events), 24,
+                                        groups=A.EVENT_ITEM_GROUPS, unit_rules=A.EVENT_UNIT_RULES)
+    base = scratch_path(spark, "stream-clean")
+    out = ingest.run_available(cleaned, f"{base}/data", f"{base}/checkpoint")
+    return round_doubles(out.select(*clean.EVENT_COLUMNS))
+
+
 def queries() -> dict[str, Query]:
     from . import model_queries  # noqa: F401  (registers the model queries)
     return dict(QUERIES)

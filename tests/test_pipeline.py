@@ -87,3 +87,37 @@ def test_pivot_and_impute(spark):
     assert wide[1].HR == 85.0 and wide[1].GLU == 128.0 and wide[2].HR == 86.0 and wide[2].SBP == 100.0
     long = features.pivot_long(features.mean_by_item(df), ["HR", "SBP"]).orderBy("hadm_id").collect()
     assert long[0].HR == 85.0 and long[1].SBP == 100.0
+
+
+def _write_csv(path, header, rows):
+    with open(path, "w") as f:
+        f.write(",".join(header) + "\n")
+        for r in rows:
+            f.write(",".join("" if v is None else str(v) for v in r) + "\n")
+
+
+def test_run_preparation_from_csv(spark, tmp_dir):
+    d = f"{tmp_dir}/data"
+    import os
+    os.makedirs(d)
+    _write_csv(f"{d}/PATIENTS.csv", ["ROW_ID", "SUBJECT_ID", "GENDER", "DOB"],
+               [(1, 1, "F", "2060-01-11 00:00:00"), (2, 2, "M", "2090-01-01 00:00:00")])
+    _write_csv(f"{d}/ADMISSIONS.csv", ["SUBJECT_ID", "HADM_ID", "ADMITTIME", "HOSPITAL_EXPIRE_FLAG"],
+               [(1, 100, "2100-01-01 00:00:00", 0), (2, 150, "2100-01-01 00:00:00", 1)])
+    _write_csv(f"{d}/ICUSTAYS.csv", ["SUBJECT_ID", "HADM_ID", "ICUSTAY_ID", "INTIME"],
+               [(1, 100, 1, "2100-01-01 10:00:00"), (2, 150, 2, "2100-01-01 10:00:00")])
+    _write_csv(f"{d}/CHARTEVENTS.csv", ["SUBJECT_ID", "HADM_ID", "ITEMID", "CHARTTIME", "VALUE", "VALUEUOM"],
+               [(1, 100, 211, "2100-01-01 09:00:00", 80, "bpm"), (1, 100, 211, "2100-01-02 11:00:00", 82, "bpm"),
+                (1, 100, 226707, "2100-01-01 11:00:00", 70, "in"), (1, 100, 211, "2100-01-01 12:00:00", "", "bpm"),
+                (2, 150, 211, "2100-01-01 11:00:00", 99, "bpm")])
+    _write_csv(f"{d}/LABEVENTS.csv", ["SUBJECT_ID", "HADM_ID", "ITEMID", "CHARTTIME", "VALUE", "VALUEUOM"],
+               [(1, "", 50931, "2100-01-01 11:00:00", 140, "mg"), (1, 100, 51006, "2100-01-01 10:00:00", 20, "mg")])
+    paths = pipeline.run_preparation(spark, d, f"{tmp_dir}/out")
+    assert set(paths) == set(pipeline.OUTPUTS)
+    read = lambda n: spark.read.option("header", "true").csv(paths[n])
+    assert read("patientsInfo").count() == 1
+    assert read("chart48Hr").count() == 4 and read("chart24Hr").count() == 3
+    assert read("lab24Hr").count() == 1
+    assert read("chart24").count() == 2           # empty VALUE dropped
+    items = {r.ITEMID if "ITEMID" in r else r.itemid for r in read("chartLab24Item20").collect()}
+    assert items == {"HR", "HEIGHT", "GLU"}
