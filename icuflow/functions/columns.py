@@ -52,7 +52,7 @@ def hours_between(t: ColumnOrName, start: ColumnOrName) -> Column:
 
 def first_token(col: ColumnOrName) -> Column:
     """first space-separated token; an empty token becomes null."""
-    return F.nullif(F.split_part(_c(col), F.lit(" "), F.lit(1)), F.lit(""))
+    return F.nullif(F.substring_index(_c(col), " ", 1), F.lit(""))
 
 
 def categorical_code(col: ColumnOrName,

@@ -11,19 +11,12 @@ from pyspark.sql import functions as F
 from .ordered import with_prefix
 
 
-def _long(df: DataFrame, cols: Sequence[str], name: str = "col_name", value: str = "x") -> DataFrame:
-    return (df.select(F.explode(F.array(*[F.struct(F.lit(c).alias(name), F.col(c).cast("double").alias(value))
-                                         for c in cols])).alias("_s"))
-            .select(f"_s.{name}", f"_s.{value}"))
-
-
 def summary(df: DataFrame, cols: Sequence[str], quantiles: Sequence[float] = (0.25, 0.5, 0.75)) -> DataFrame:
     """A10: count, mean, std (n-1), min, exact linear quantiles, max per column.
 
     Moments come from one aggregation over the table (a summary row of
-    5 x len(cols) numbers).  Exact quantiles use one distributed ordered
-    scan over all columns at once; only the rows at the interpolation
-    positions are kept.
+    5 x len(cols) numbers).  Quantiles are exact (linear interpolation
+    between order statistics) and come from ``exact_order_statistics``.
     """
     aggs = []
     for i, c in enumerate(cols):
@@ -38,46 +31,94 @@ def summary(df: DataFrame, cols: Sequence[str], quantiles: Sequence[float] = (0.
         "col_name string, count long, mean double, std double, min double, max double")
     if not any(sizes.values()):
         return stats
-    offset, run = {}, 0
-    for c in sorted(sizes):
-        offset[c] = run
-        run += sizes[c]
-    off_expr = None
-    for c, o in offset.items():
-        off_expr = (F.when(F.col("col_name") == c, F.lit(o)) if off_expr is None
-                    else off_expr.when(F.col("col_name") == c, F.lit(o)))
-    long = _long(df, cols).filter(F.col("x").isNotNull())
-    ranked = with_prefix(long, ["col_name", "x"], index_col="_pos", rows=run).withColumn(
-        "_local", F.col("_pos") - off_expr)
-    wanted = set()
-    for c, n in sizes.items():
+    lo = {c: r[f"lo{i}"] for i, c in enumerate(cols)}
+    hi = {c: r[f"hi{i}"] for i, c in enumerate(cols)}
+    picks = exact_order_statistics(df, cols, sizes, lo, hi, quantiles)
+    rows = []
+    for c in cols:
+        n = sizes[c]
+        vals = []
         for q in quantiles:
-            if n:
-                wanted.add((c, math.floor(q * (n - 1))))
-                wanted.add((c, math.ceil(q * (n - 1))))
-    keep = None
-    for c, i in wanted:
-        cond = (F.col("col_name") == c) & (F.col("_local") == i)
-        keep = cond if keep is None else keep | cond
-    picked = ranked.filter(keep).select("col_name", "_local", "x")
-    out = []
-    for q in quantiles:
-        name = f"q{int(round(q * 100))}"
-        lo_e = hi_e = fr_e = None
-        for c, n in sizes.items():
             if not n:
+                vals.append(None)
                 continue
             p = q * (n - 1)
-            lo, hi = math.floor(p), math.ceil(p)
-            cond = F.col("col_name") == c
-            lo_e = F.when(cond, F.lit(lo)) if lo_e is None else lo_e.when(cond, F.lit(lo))
-            hi_e = F.when(cond, F.lit(hi)) if hi_e is None else hi_e.when(cond, F.lit(hi))
-            fr_e = F.when(cond, F.lit(p - lo)) if fr_e is None else fr_e.when(cond, F.lit(p - lo))
-        v_lo = F.max(F.when(F.col("_local") == lo_e, F.col("x")))
-        v_hi = F.max(F.when(F.col("_local") == hi_e, F.col("x")))
-        out.append((v_lo + (v_hi - v_lo) * F.max(fr_e)).alias(name))
-    qs = picked.groupBy("col_name").agg(*out)
-    return stats.join(qs, on="col_name", how="left")
+            a, b = picks[(c, math.floor(p))], picks[(c, math.ceil(p))]
+            vals.append(a + (b - a) * (p - math.floor(p)))
+        rows.append((c, *vals))
+    names = [f"q{int(round(q * 100))}" for q in quantiles]
+    qs = spark.createDataFrame(rows, "col_name string, " + ", ".join(f"{n} double" for n in names))
+    return stats.join(F.broadcast(qs), on="col_name", how="left")
+
+
+def exact_order_statistics(df: DataFrame, cols: Sequence[str], sizes, lo, hi, quantiles,
+                           buckets: int = 1024) -> dict[tuple[str, int], float]:
+    """Exact k-th smallest values (0-based ranks) per column without sorting everything.
+
+    1. One partial aggregation counts rows per (column, equal-width bucket):
+       at most ``len(cols) * buckets`` rows reach the driver.
+    2. The buckets holding the wanted ranks are located from those counts.
+    3. Only rows of those buckets go through the distributed ordered scan.
+    A bucket can still be large (a value shared by a third of the rows), which
+    the ordered scan handles without a single-task step.
+    """
+    idx = {c: i for i, c in enumerate(cols)}
+    long = (df.select(F.explode(F.array(*[F.struct(F.lit(i).alias("c"), F.col(c).cast("double").alias("x"))
+                                         for c, i in idx.items()])).alias("_s"))
+            .select("_s.c", "_s.x").filter(F.col("x").isNotNull()))
+    lo_e = w_e = None
+    for c, i in idx.items():
+        if not sizes[c]:
+            continue
+        w = (hi[c] - lo[c]) / buckets
+        cond = F.col("c") == F.lit(i)
+        lo_e = F.when(cond, F.lit(float(lo[c]))) if lo_e is None else lo_e.when(cond, F.lit(float(lo[c])))
+        w_e = F.when(cond, F.lit(float(w))) if w_e is None else w_e.when(cond, F.lit(float(w)))
+    bucket = F.when(w_e <= F.lit(0.0), F.lit(0)).otherwise(
+        F.least(F.floor((F.col("x") - lo_e) / w_e), F.lit(buckets - 1))).cast("int")
+    long = long.withColumn("b", bucket)
+    hist: dict[int, dict[int, int]] = {}
+    for row in long.groupBy("c", "b").agg(F.count(F.lit(1)).alias("n")).collect():
+        hist.setdefault(row["c"], {})[row["b"]] = row["n"]
+
+    wanted: dict[tuple[int, int], set[int]] = {}      # (col, bucket) -> local ranks
+    for c, i in idx.items():
+        n = sizes[c]
+        if not n:
+            continue
+        ranks = sorted({k for q in quantiles for k in (math.floor(q * (n - 1)), math.ceil(q * (n - 1)))})
+        run, it = 0, iter(ranks)
+        k = next(it, None)
+        for b in sorted(hist.get(i, {})):
+            cnt = hist[i][b]
+            while k is not None and k < run + cnt:
+                wanted.setdefault((i, b), set()).add(k - run)
+                k = next(it, None)
+            run += cnt
+    keys = sorted(wanted)
+    offsets, run = {}, 0
+    for key in keys:
+        offsets[key] = run
+        run += hist[key[0]][key[1]]
+    keep = off_e = None
+    for (i, b) in keys:
+        cond = (F.col("c") == F.lit(i)) & (F.col("b") == F.lit(b))
+        keep = cond if keep is None else keep | cond
+        off_e = F.when(cond, F.lit(offsets[(i, b)])) if off_e is None else off_e.when(cond, F.lit(offsets[(i, b)]))
+    subset = long.filter(keep)
+    ranked = with_prefix(subset, ["c", "b", "x"], index_col="_pos", rows=run).withColumn(
+        "_local", F.col("_pos") - off_e)
+    pick = None
+    for (i, b), locs in wanted.items():
+        cond = (F.col("c") == F.lit(i)) & (F.col("b") == F.lit(b)) & F.col("_local").isin(sorted(locs))
+        pick = cond if pick is None else pick | cond
+    found = ranked.filter(pick).select("c", "b", "_local", "x").collect()   # at most 2 per quantile and column
+    base = {}
+    for (i, b) in keys:
+        before = sum(cnt for bb, cnt in hist[i].items() if bb < b)
+        base[(i, b)] = before
+    names = {i: c for c, i in idx.items()}
+    return {(names[r["c"]], base[(r["c"], r["b"])] + r["_local"]): r["x"] for r in found}
 
 
 def null_audit(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:

@@ -21,7 +21,7 @@ GRID_MAX_ITER = 30
 
 def _model_table(spark, d):
     ev = Q.events_pipeline(spark, d, 24, D.OUTLIER_RULES_13)
-    wide = features.feature_table(ev, Q._info(spark, d), "A")
+    wide = persist(features.feature_table(ev, Q._info(spark, d), "A"))
     cols = features.feature_columns("A")
     scaled = models.standard_scaler_apply(wide, models.standard_scaler_fit(wide, cols))
     data = scaled.withColumn("label", F.col("hospital_expire_flag").cast("double"))

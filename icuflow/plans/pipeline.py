@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import dictionary as D
 from ..operators import clean, cohort, features, sequences, windows
+from ..session import persist
 
 
 @dataclass
@@ -72,7 +73,8 @@ def hourly_table(events: DataFrame, patients_info: DataFrame, feature_set: str =
 def sequence_table(events: DataFrame, patients_info: DataFrame, hours: int = 24, feature_set: str = "A",
                    rules=D.OUTLIER_RULES_15, max_steps: int | None = None) -> DataFrame:
     """Hourly means -> min-max scaling -> -1 fill -> ordered sequences <= T steps -> label."""
-    hourly = hourly_table(events, patients_info, feature_set, rules)
+    # Read twice (scaler fit, then scaling): keep it rather than recompute the chain.
+    hourly = persist(hourly_table(events, patients_info, feature_set, rules))
     cols = sequences.sequence_feature_columns(feature_set)
     scaled = sequences.minmax_apply(hourly, sequences.minmax_fit(hourly, cols))
     limit = max_steps if max_steps is not None else D.MAX_STEPS.get(hours)

@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from ..functions import dictionary as D
 from ..functions.columns import categorical_code, item_group, parse_double, round6, unit_convert
 from ..operators import clean, cohort, features, metrics, profile, sequences, split, windows
-from ..session import scratch_path
+from ..session import persist, scratch_path
 from ..sources.csv import load_csv_table, write_csv
 from ..sources.tables import table
 from . import analog as A
@@ -185,7 +185,7 @@ def sql_pivot(src: str, feats, key: str = "hadm_id", impute: dict | None = None,
 # --------------------------------------------------------------------------
 
 def _events(spark, d):
-    return table(spark, d, "events")
+    return table(spark, d, "events", spread=True)
 
 
 def _chart(spark, d):
@@ -483,7 +483,7 @@ def sql_minmax(src: str, cols, name: str = "scaled", keep: str = "hadm_id, time"
 @register("minmax_scaled", SQL_HOURLY_A + ",\n" + sql_minmax("hourly_raw", FEATS_A) + "\nSELECT hadm_id, time, "
           + ", ".join(f"{r6(f)} AS {f}" for f in FEATS_A) + " FROM scaled")
 def q_minmax_scaled(spark, d):
-    hourly = sequences.hourly_features(events_pipeline(spark, d, None, D.OUTLIER_RULES_15), FEATS_A)
+    hourly = persist(sequences.hourly_features(events_pipeline(spark, d, None, D.OUTLIER_RULES_15), FEATS_A))
     return round_doubles(sequences.minmax_apply(hourly, sequences.minmax_fit(hourly, FEATS_A)))
 
 
@@ -493,6 +493,7 @@ def _scaled_seq_input(spark, d, feature_set: str) -> tuple[DataFrame, list[str]]
     hourly = sequences.hourly_features(ev, feats)
     if feature_set == "B":
         hourly = sequences.add_demographics(hourly, _info(spark, d))
+    hourly = persist(hourly)   # read by the scaler fit and by the scaling
     cols = sequences.sequence_feature_columns(feature_set)
     return sequences.minmax_apply(hourly, sequences.minmax_fit(hourly, cols)), cols
 
@@ -578,7 +579,7 @@ def standard_scale(df: DataFrame, cols) -> DataFrame:
               + f" AS {f}" for f in FEATS_A) + " FROM wide, st")
 def q_standard_scaled(spark, d):
     ev = events_pipeline(spark, d, 24, D.OUTLIER_RULES_13)
-    wide = features.impute(features.pivot_means(ev, FEATS_A), D.IMPUTE_SET_A)
+    wide = persist(features.impute(features.pivot_means(ev, FEATS_A), D.IMPUTE_SET_A))
     return round_doubles(standard_scale(wide, FEATS_A))
 
 

@@ -8,9 +8,21 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Read one table; column pruning and filters reach the Parquet scan."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
+    """Read one table; column pruning and filters reach the Parquet scan.
+
+    ``spread``: when the scan yields fewer partitions than the cluster has
+    cores (a few large, unsplittable row groups), redistribute the rows
+    round-robin so the per-row work after the scan runs on every core.
+    Filters and column pruning still go below the redistribution.  At scale
+    the scan already has far more partitions than cores and this is a no-op.
+    """
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    if spread:
+        target = spark.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() < target:
+            df = df.repartition(target)
+    return df
 
 
 def register_views(spark: SparkSession, sf_dir: str, names=TABLES) -> None:
