@@ -159,5 +159,14 @@ def outlier_flag(group: ColumnOrName, value: ColumnOrName,
 
 
 def round6(col: ColumnOrName) -> Column:
-    """Deterministic 6-decimal rounding usable identically in SQL engines."""
-    return F.floor(_c(col) * F.lit(1e6) + F.lit(0.5)) / F.lit(1e6)
+    """Comparison-stable rounding to a binary grid of 2**-20 (about 1e-6).
+
+    Scaling by a power of two is exact in floating point, and data with few
+    decimals practically never lands exactly half-way on a binary grid, so
+    two engines that sum in different orders return the same double.  (A
+    decimal grid is tied exactly by, e.g., a mean of 8 two-decimal values.)
+    """
+    return F.floor(_c(col) * F.lit(GRID) + F.lit(0.5)) / F.lit(GRID)
+
+
+GRID = 1048576.0

@@ -3,8 +3,8 @@
 Each query maps the test tables onto clinical roles (``analog``) and runs
 the library operators over the *whole* tables.  ``ORACLE`` holds, per query,
 SQL written directly against the raw tables; double outputs are rounded the
-same way on both sides (``floor(x * 1e6 + 0.5) / 1e6``) so that different
-summation orders cannot flip a comparison.
+same way on both sides (``floor(x * 2^20 + 0.5) / 2^20``, a binary grid of
+about 1e-6) so that different summation orders cannot flip a comparison.
 """
 
 from __future__ import annotations
@@ -47,7 +47,7 @@ def round_doubles(df: DataFrame) -> DataFrame:
 
     Built as one ``selectExpr`` so the driver makes a single JVM call.
     """
-    exprs = [f"floor(`{f.name}` * 1e6 + 0.5) / 1e6 AS `{f.name}`"
+    exprs = [f"floor(`{f.name}` * 1048576e0 + 0.5) / 1048576e0 AS `{f.name}`"
              if isinstance(f.dataType, (T.DoubleType, T.FloatType)) else f"`{f.name}`"
              for f in df.schema.fields]
     return df.selectExpr(*exprs)
@@ -58,7 +58,7 @@ def round_doubles(df: DataFrame) -> DataFrame:
 # --------------------------------------------------------------------------
 
 def r6(e: str) -> str:
-    return f"floor(({e}) * 1e6 + 0.5) / 1e6"
+    return f"floor(({e}) * 1048576e0 + 0.5) / 1048576e0"
 
 
 def _q(s: str) -> str:
@@ -169,13 +169,14 @@ cohort AS (SELECT subject_id, hadm_id, age, gender, hospital_expire_flag
            FROM adults WHERE hadm_id IN (SELECT hadm_id FROM singles))"""
 
 
-def sql_pivot(src: str, feats, key: str = "hadm_id", impute: dict | None = None, extra_key: str | None = None) -> str:
+def sql_pivot(src: str, feats, key: str = "hadm_id", impute: dict | None = None, extra_key: str | None = None,
+              rounded: bool = True) -> str:
     cols = []
     for f in feats:
         e = f"avg(CASE WHEN itemid = {_q(f)} THEN value END)"
         if impute is not None:
             e = f"coalesce({e}, {float(impute[f])!r})"
-        cols.append(f"{r6(e)} AS {f}")
+        cols.append(f"{r6(e) if rounded else e} AS {f}")
     keys = key if extra_key is None else f"{key}, {extra_key}"
     return f"SELECT {keys}, {', '.join(cols)} FROM {src} GROUP BY {keys}"
 
@@ -571,8 +572,7 @@ def standard_scale(df: DataFrame, cols) -> DataFrame:
 
 
 @register("standard_scaled", sql_events_pipeline(24, D.OUTLIER_RULES_13) + ",\n"
-          "wide AS (" + sql_pivot("cleaned", FEATS_A, impute=D.IMPUTE_SET_A).replace(
-              "floor((", "(( ").replace(") * 1e6 + 0.5) / 1e6", "))") + "),\n"
+          "wide AS (" + sql_pivot("cleaned", FEATS_A, impute=D.IMPUTE_SET_A, rounded=False) + "),\n"
           "st AS (SELECT " + ", ".join(f"avg({f}) AS mu_{f}, stddev_pop({f}) AS sd_{f}" for f in FEATS_A)
           + " FROM wide)\nSELECT hadm_id, " + ", ".join(
               r6(f"CASE WHEN sd_{f} <= 1e-12 * greatest(1.0, abs(mu_{f})) THEN 0.0 ELSE ({f} - mu_{f}) / sd_{f} END")
