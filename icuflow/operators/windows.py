@@ -59,23 +59,30 @@ def interval_join(labs: DataFrame, stays: DataFrame, hours: float, key: str = "s
                   time_col: str = "charttime", start_col: str = "intime",
                   stay_cols: Iterable[str] = ("hadm_id",), drop_lab_cols: Iterable[str] = ("hadm_id",),
                   hours_col: str = "hours") -> DataFrame:
-    """Labs x stays on ``key`` with ``0 < hours(time - start) < H``.
-
-    An equi-join on ``key`` with the time range as join condition; Spark
-    evaluates the range as a residual of the hash/sort-merge join, so no pair
-    outside the window is ever materialised beyond one key's stays.  The
+    """Labs x stays on ``key`` with ``0 < seconds(time - start) < H``.
+
+    A range join made an equi-join on (key, time bucket): buckets are ``H``
+    hours wide, a lab falls in exactly one bucket, and a stay's window
+    ``(start, start + H)`` touches at most two, so each stay is listed once
+    per bucket it touches.  Only labs and stays of the same ``H``-hour span are
+    ever paired (never all pairs of a subject), each match is produced
+    exactly once, and the exact bounds are the residual condition.  The
     output takes the stay's columns (``stay_cols``), so a lab without an
     admission id is still attributed, and a lab may match several stays.
     """
     stay_cols = list(stay_cols)
+    width = int(round(hours * 3600))
+    start_s = epoch_seconds(F.col(start_col))
     s = stays.select(F.col(key).alias("_k"), *[F.col(c).alias(f"_s_{c}") for c in stay_cols],
-                     F.col(start_col).alias("_start"))
+                     F.col(start_col).alias("_start"),
+                     F.explode(F.sequence(F.floor(start_s / F.lit(width)),
+                                          F.floor((start_s + F.lit(width)) / F.lit(width)))).alias("_b"))
     lab = labs.drop(*[c for c in drop_lab_cols if c in labs.columns])
+    lab = lab.withColumn("_lb", F.floor(epoch_seconds(F.col(time_col)) / F.lit(width)))
     secs = epoch_seconds(F.col(time_col)) - epoch_seconds(F.col("_start"))
-    cond = ((lab[key] == s["_k"]) & (secs > F.lit(0))
-            & (secs < F.lit(int(round(hours * 3600)))))
+    cond = ((lab[key] == s["_k"]) & (lab["_lb"] == s["_b"]) & (secs > F.lit(0)) & (secs < F.lit(width)))
     joined = lab.join(s, on=cond, how="inner")
     out = joined.withColumn(hours_col, secs / F.lit(3600.0))
     for c in stay_cols:
         out = out.withColumnRenamed(f"_s_{c}", c)
-    return out.drop("_k").withColumnRenamed("_start", start_col)
+    return out.drop("_k", "_b", "_lb").withColumnRenamed("_start", start_col)

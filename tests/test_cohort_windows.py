@@ -74,3 +74,21 @@ def test_csv_write_and_read_back(spark, tmp_dir):
     write_csv(df, f"{tmp_dir}/out.csv", single_file=True)
     back = load_csv_table(spark, f"{tmp_dir}/out.csv", schema="k long, v string")
     assert sorted(r.k for r in back.collect()) == [1, 2]
+
+
+def test_interval_join_equals_brute_force(spark):
+    """Bucketed range join == all pairs filtered, including exact bucket and window edges."""
+    import random
+    rnd = random.Random(7)
+    base = T(2100, 1, 1)
+    # times on a 6-hour grid so that many differences hit 0 and exactly H
+    stays = [(rnd.randint(1, 4), 100 + i, base + dt.timedelta(hours=6 * rnd.randint(0, 40))) for i in range(25)]
+    labs = [(rnd.randint(1, 4), None, "x", base + dt.timedelta(hours=6 * rnd.randint(0, 44)), str(i))
+            for i in range(120)]
+    sdf = spark.createDataFrame(stays, "subject_id long, hadm_id long, intime timestamp")
+    ldf = spark.createDataFrame(labs, "subject_id long, hadm_id long, itemid string, charttime timestamp, value string")
+    for h in (24, 48, 30):
+        got = sorted((r.value, r.hadm_id) for r in windows.interval_join(ldf, sdf, h).collect())
+        want = sorted((v, hadm) for (k, _, _, t, v) in labs for (sk, hadm, start) in stays
+                      if k == sk and 0 < (t - start).total_seconds() < h * 3600)
+        assert got == want
