@@ -259,6 +259,23 @@ def q_features_48h_setB(spark, d):
     return round_doubles(features.feature_table(ev, _info(spark, d), "B"))
 
 
+@register("features_24h_setB", sql_events_pipeline(24, D.OUTLIER_RULES_13) + ",\n" + SQL_INFO + ",\n"
+          + "wide AS (" + sql_pivot("cleaned", FEATS_B, impute=D.IMPUTE_SET_B) + ")\n"
+          + "SELECT w.*, " + r6("i.age") + " AS age, CASE WHEN i.gender = 'F' THEN 0 ELSE 1 END AS gender_01, "
+          + "i.hospital_expire_flag FROM wide w LEFT JOIN info i ON w.hadm_id = i.hadm_id")
+def q_features_24h_setB(spark, d):
+    ev = events_pipeline(spark, d, 24, D.OUTLIER_RULES_13)
+    return round_doubles(features.feature_table(ev, _info(spark, d), "B"))
+
+
+@register("features_48h_setA", sql_events_pipeline(48, D.OUTLIER_RULES_13) + ",\n" + SQL_INFO + ",\n"
+          + "wide AS (" + sql_pivot("cleaned", FEATS_A, impute=D.IMPUTE_SET_A) + ")\n"
+          + "SELECT w.*, i.hospital_expire_flag FROM wide w LEFT JOIN info i ON w.hadm_id = i.hadm_id")
+def q_features_48h_setA(spark, d):
+    ev = events_pipeline(spark, d, 48, D.OUTLIER_RULES_13)
+    return round_doubles(features.feature_table(ev, _info(spark, d), "A"))
+
+
 # --------------------------------------------------------------------------
 # Sources (S1-S7)
 # --------------------------------------------------------------------------
@@ -667,6 +684,12 @@ def q_distinct_items(spark, d):
     return profile.distinct_values(events_pipeline(spark, d, None, D.OUTLIER_RULES_13), "itemid")
 
 
+@register("count_distinct_admissions", sql_events_pipeline(24, D.OUTLIER_RULES_13) + "\n"
+          "SELECT count(DISTINCT hadm_id) AS n_distinct FROM cleaned")
+def q_count_distinct_admissions(spark, d):
+    return profile.count_distinct(events_pipeline(spark, d, 24, D.OUTLIER_RULES_13), "hadm_id")
+
+
 def _flow_sql() -> str:
     head = (f"WITH {SQL_CHART},\n{SQL_STAYS},\n{SQL_HOURS},\n"
             "w48 AS (SELECT * FROM with_hours WHERE hours < 48.0),\n"
