@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from ..functions import dictionary as D
-from ..functions.columns import (categorical_code, item_group, outlier_flag, parse_double,
+from ..functions.columns import (categorical_code, outlier_flag, parse_double,
                                  parse_timestamp, unit_convert)
 
 EVENT_COLUMNS = ("subject_id", "hadm_id", "itemid", "charttime", "value")

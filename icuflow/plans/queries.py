@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import dictionary as D
-from ..functions.columns import categorical_code, item_group, parse_double, round6, unit_convert
+from ..functions.columns import categorical_code, item_group, parse_double, unit_convert
 from ..operators import clean, cohort, features, metrics, profile, sequences, split, windows
 from ..session import persist, scratch_path
 from ..sources.csv import load_csv_table, write_csv

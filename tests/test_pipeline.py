@@ -121,3 +121,15 @@ def test_run_preparation_from_csv(spark, tmp_dir):
     assert read("chart24").count() == 2           # empty VALUE dropped
     items = {r.ITEMID if "ITEMID" in r else r.itemid for r in read("chartLab24Item20").collect()}
     assert items == {"HR", "HEIGHT", "GLU"}
+
+
+def test_hourly_one_pass_equals_means_then_pivot(spark):
+    rows = [(1, 10, "HR", T(2100, 1, 1, 10, 5), 80.0), (1, 10, "HR", T(2100, 1, 1, 10, 55), 90.0),
+            (1, 10, "SBP", T(2100, 1, 1, 10, 30), 120.0), (1, 10, "HR", T(2100, 1, 1, 11, 0), None),
+            (2, 20, "GLU", T(2100, 1, 2, 0, 0), 140.0)]
+    df = spark.createDataFrame(rows, "subject_id long, hadm_id long, itemid string, charttime timestamp, value double")
+    one = sequences.hourly_features(df, D.FEATURES_SET_A)
+    two = sequences.hourly_pivot(sequences.hourly_means(df), D.FEATURES_SET_A)
+    assert sorted(map(tuple, one.collect()), key=lambda t: (t[0], t[1])) == \
+        sorted(map(tuple, two.select(*one.columns).collect()), key=lambda t: (t[0], t[1]))
+    assert one.count() == 3
