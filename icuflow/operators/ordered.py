@@ -91,16 +91,17 @@ def with_prefix(df: DataFrame, order: Sequence[Column | str], sums: Mapping[str,
     if not sums:
         # Positions only: stay in the JVM.  Inside a checkpointed partition the
         # row order is fixed, so monotonically_increasing_id() encodes
-        # (partition id << 33) + local position deterministically.
-        mid = F.monotonically_increasing_id()
+        # (partition id << 33) + local position deterministically.  The
+        # offsets table has one row per partition (bounded by the partition
+        # count), so broadcasting it is safe at any data size.
+        offs = ranged.sparkSession.createDataFrame(
+            [(int(p), int(o)) for p, (o, _) in offsets.items()], "_pid int, _off long")
+        with_id = (ranged.withColumn("_mid", F.monotonically_increasing_id())
+                   .withColumn("_pid", F.shiftright(F.col("_mid"), 33).cast("int")))
         local = F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1))
-        pid = F.shiftright(F.col("_mid"), 33).cast("int")
-        off = None
-        for p, (o, _) in offsets.items():
-            off = F.when(pid == F.lit(p), F.lit(o)) if off is None else off.when(pid == F.lit(p), F.lit(o))
-        off = off.otherwise(F.lit(0)) if off is not None else F.lit(0)
-        return (ranged.withColumn("_mid", mid)
-                .withColumn(index_col, (off + local).cast("long")).drop("_mid"))
+        return (with_id.join(F.broadcast(offs), on="_pid", how="left")
+                .withColumn(index_col, (F.coalesce(F.col("_off"), F.lit(0)) + local).cast("long"))
+                .drop("_mid", "_pid", "_off"))
 
     value_cols = [f"_v_{k}" for k in sums]
     fields = [f for f in ranged.schema.fields if f.name not in value_cols]

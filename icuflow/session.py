@@ -19,6 +19,11 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    # Coalesce small shuffle partitions up to the advisory size instead of
+    # keeping one per core: at scale set spark.sql.shuffle.partitions to about
+    # (largest shuffle bytes / 128 MB) and let AQE merge the small ones.
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    "spark.checkpoint.compress": "true",
     "spark.sql.files.maxPartitionBytes": "256m",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # Checkpoint files of ordered scans are deleted once their DataFrame is gone.
@@ -28,12 +33,15 @@ DEFAULT_CONF = {
 
 
 def create_session(app_name: str = "icuflow", master: str | None = None,
-                   conf: dict[str, str] | None = None) -> SparkSession:
+                   conf: dict[str, str] | None = None, shuffle_partitions: int | None = None) -> SparkSession:
     """Build (or get) a session with the library defaults."""
     b = SparkSession.builder.appName(app_name)
     if master:
         b = b.master(master)
-    for k, v in {**DEFAULT_CONF, **(conf or {})}.items():
+    extra = dict(conf or {})
+    if shuffle_partitions:
+        extra["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    for k, v in {**DEFAULT_CONF, **extra}.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
