@@ -19,10 +19,10 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
-    # Coalesce small shuffle partitions up to the advisory size instead of
-    # keeping one per core: at scale set spark.sql.shuffle.partitions to about
-    # (largest shuffle bytes / 128 MB) and let AQE merge the small ones.
-    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    # At scale set spark.sql.shuffle.partitions to about (largest shuffle
+    # bytes / 128 MB) and let AQE merge small partitions; on a busy shared
+    # cluster also consider coalescePartitions.parallelismFirst=false so that
+    # merging targets the advisory size rather than one partition per core.
     "spark.checkpoint.compress": "true",
     "spark.sql.files.maxPartitionBytes": "256m",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
