@@ -579,6 +579,27 @@ def q_sequence_label_join(spark, d):
                                          "hospital_expire_flag"))
 
 
+def _pipeline_seq_sql(hours: int, limit: int) -> str:
+    feats = ", ".join(f"avg(CASE WHEN itemid = {_q(f)} THEN value END) AS {f}" for f in FEATS_A)
+    return (sql_events_pipeline(hours, D.OUTLIER_RULES_15) + ",\n" + SQL_INFO + ",\n"
+            "hourly_in AS (SELECT hadm_id, strftime(charttime, '%Y-%m-%d %H') AS time, itemid, value FROM cleaned),\n"
+            f"hourly_w AS (SELECT hadm_id, time, {feats} FROM hourly_in GROUP BY hadm_id, time),\n"
+            + sql_minmax("hourly_w", FEATS_A) + ",\n"
+            f"kept AS (SELECT hadm_id, CAST(count(*) AS INTEGER) AS num_stamps, sum({_row_sum_sql(FEATS_A)}) AS vs "
+            f"FROM scaled GROUP BY hadm_id HAVING count(*) <= {limit})\n"
+            f"SELECT k.hadm_id, k.num_stamps, {r6('k.vs')} AS value_sum, i.hospital_expire_flag "
+            "FROM kept k JOIN info i ON k.hadm_id = i.hadm_id")
+
+
+@register("pipeline_sequences_24h_A", _pipeline_seq_sql(24, D.MAX_STEPS[24]))
+def q_pipeline_sequences_24h_A(spark, d):
+    from . import pipeline
+    ev = events_pipeline(spark, d, 24, None)
+    seqs = pipeline.sequence_table(ev, _info(spark, d), hours=24, feature_set="A")
+    total = F.aggregate(F.flatten("value"), F.lit(0.0), lambda acc, x: acc + x)
+    return round_doubles(seqs.select("hadm_id", "num_stamps", total.alias("value_sum"), "hospital_expire_flag"))
+
+
 # --------------------------------------------------------------------------
 # Scaling and splits (M1, M2, U2, M14, M5 folds)
 # --------------------------------------------------------------------------
