@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .ordered import with_prefix
@@ -164,3 +164,26 @@ def cohort_flow(stages: Sequence[tuple[str, DataFrame]], subject: str = "subject
             F.lit(i).alias("step"), F.lit(name).alias("stage"), "events", "admissions", "patients")
         out = row if out is None else out.unionByName(row)
     return out
+
+
+def stage_flow(df: DataFrame, stages: Sequence[tuple[str, Column]], subject: str = "subject_id",
+               hadm: str = "hadm_id") -> DataFrame:
+    """A14 for nested stages given as row flags over one frame.
+
+    Two partial aggregations (per admission, per patient) replace one pass
+    plus two distinct counts per stage.  Output as ``cohort_flow``; the
+    result (3 numbers per stage) is assembled from the two summary rows.
+    """
+    flags = [F.coalesce(cond, F.lit(False)).alias(f"_f{i}") for i, (_, cond) in enumerate(stages)]
+    base = df.select(F.col(subject).alias("_s"), F.col(hadm).alias("_h"), *flags)
+    k = len(stages)
+    per_adm = base.groupBy("_h").agg(*[F.sum(F.col(f"_f{i}").cast("long")).alias(f"_n{i}") for i in range(k)])
+    a = per_adm.agg(*[F.coalesce(F.sum(f"_n{i}"), F.lit(0)).alias(f"e{i}") for i in range(k)],
+                    *[F.count(F.when((F.col(f"_n{i}") > 0) & F.col("_h").isNotNull(), 1)).alias(f"a{i}")
+                      for i in range(k)]).first()
+    per_sub = base.groupBy("_s").agg(*[F.max(f"_f{i}").alias(f"_m{i}") for i in range(k)])
+    p = per_sub.agg(*[F.count(F.when(F.col(f"_m{i}") & F.col("_s").isNotNull(), 1)).alias(f"p{i}")
+                      for i in range(k)]).first()
+    rows = [(i, name, int(a[f"e{i}"]), int(a[f"a{i}"]), int(p[f"p{i}"])) for i, (name, _) in enumerate(stages)]
+    return df.sparkSession.createDataFrame(rows, "step int, stage string, events long, admissions long, "
+                                                 "patients long")

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import dictionary as D
-from ..functions.columns import categorical_code, item_group, parse_double, unit_convert
+from ..functions.columns import categorical_code, item_group, outlier_flag, parse_double, unit_convert
 from ..operators import clean, cohort, features, metrics, profile, sequences, split, windows
 from ..session import persist, scratch_path
 from ..sources.csv import load_csv_table, write_csv
@@ -726,14 +726,22 @@ def _flow_sql() -> str:
 
 @register("cohort_flow", _flow_sql())
 def q_cohort_flow(spark, d):
-    chart = _chart(spark, d)
-    joined = windows.with_hours(windows.attach_stay_start(chart, _stays(spark, d)))
-    w48 = windows.open_window(joined, 48)
-    w24 = windows.open_window(joined, 24)
-    typed = _typed(w24)
-    cleaned = clean.drop_outliers(_grouped(typed), D.OUTLIER_RULES_13)
-    return profile.cohort_flow([("chart", chart), ("window_48h", w48), ("window_24h", w24),
-                                ("typed_24h", typed), ("cleaned_24h", cleaned)])
+    """Events / admissions / patients after each preparation stage (single pass of flags)."""
+    events = _events(spark, d)
+    chart = A.chart_from_events(events)
+    stays = A.stays_from_events(events).select("hadm_id", "intime")
+    joined = windows.with_hours(chart.join(stays, on="hadm_id", how="left"))
+    complete = F.lit(True)
+    for c in clean.EVENT_COLUMNS:
+        complete = complete & F.col(c).isNotNull()
+    value = unit_convert("itemid", parse_double(categorical_code("value")), A.EVENT_UNIT_RULES)
+    grouped = clean.assign_groups(joined.withColumn("_v", value), "itemid", A.EVENT_ITEM_GROUPS, out="_g")
+    in24 = F.col("hours") < 24.0
+    kept = in24 & F.col("_complete") & ~outlier_flag("_g", "_v", D.OUTLIER_RULES_13)
+    return profile.stage_flow(grouped.withColumn("_complete", complete),
+                              [("chart", F.lit(True)), ("window_48h", F.col("hours") < 48.0),
+                               ("window_24h", in24), ("typed_24h", in24 & F.col("_complete")),
+                               ("cleaned_24h", kept)])
 
 
 @register("weighted_mean",

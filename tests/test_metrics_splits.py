@@ -107,3 +107,12 @@ def test_null_audit_and_row_profile(spark):
     assert na == {"a": False, "b": True}
     rp = {r.col_name: (r.rows, r.dtype, r.non_null) for r in profile.row_profile(df).collect()}
     assert rp == {"a": (2, "bigint", 2), "b": (2, "string", 1)}
+
+
+def test_stage_flow_equals_cohort_flow(spark):
+    rows = [(1, 10, 5.0), (1, 10, None), (1, 11, 7.0), (2, 20, 1.0), (3, None, 2.0), (None, 30, 9.0)]
+    df = spark.createDataFrame(rows, "subject_id long, hadm_id long, v double")
+    stages = [("all", F.lit(True)), ("has_v", F.col("v").isNotNull()), ("big", F.col("v") > 4.0)]
+    a = profile.stage_flow(df, stages).orderBy("step").collect()
+    b = profile.cohort_flow([(n, df.filter(F.coalesce(c, F.lit(False)))) for n, c in stages]).orderBy("step").collect()
+    assert [tuple(r) for r in a] == [tuple(r) for r in b]
