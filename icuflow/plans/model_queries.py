@@ -113,7 +113,7 @@ def q_sequence_mlp(spark, d):
     train, valid = data.filter(F.col("split") == "train"), data.filter(F.col("split") == "valid")
     test = data.filter(F.col("split") == "test")
     best, _ = models.select_by_validation(lambda it: models.mlp(width, max_iter=it), [10, 30], train, valid)
-    return models.positive_probability(best.transform(test)).select("hadm_id", "label", "prediction", "score")
+    return models.sigmoid_raw_score(best.transform(test)).select("hadm_id", "label", "prediction", "score")
 
 
 @Q.register("model_reload")
@@ -136,3 +136,24 @@ def q_training_curve(spark, d):
     _, curve = models.select_by_validation(lambda it: models.mlp(width, max_iter=it), [5, 10, 20], train, valid)
     return spark.createDataFrame([(int(s), float(tr), float(va)) for s, tr, va in curve],
                                  "max_iter int, train_accuracy double, valid_accuracy double")
+
+
+@Q.register("logistic_test_metrics")
+def q_logistic_test_metrics(spark, d):
+    """M9 + M10 + M12 on the test-set scores of the logistic model."""
+    from ..operators import metrics
+    scored = q_logistic_scores(spark, d)
+    auc = metrics.roc_auc(scored, "label", "score").first()
+    acc = metrics.accuracy(scored, "label", "prediction").first()
+    cm = {(int(r["label"]), int(r["prediction"])): int(r["n"])
+          for r in metrics.confusion_counts(scored, "label", "prediction").collect()}
+    return spark.createDataFrame(
+        [(acc["n"], acc["accuracy"], auc["auc"], cm[(0, 0)], cm[(0, 1)], cm[(1, 0)], cm[(1, 1)])],
+        "n long, accuracy double, auc double, tn long, fp long, fn long, tp long")
+
+
+@Q.register("sequence_mlp_auc")
+def q_sequence_mlp_auc(spark, d):
+    """M12 on the sequence model's test scores."""
+    from ..operators import metrics
+    return metrics.roc_auc(q_sequence_mlp(spark, d), "label", "score")
