@@ -25,17 +25,11 @@ def summary(df: DataFrame, cols: Sequence[str], quantiles: Sequence[float] = (0.
                  F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}")]
     r = df.agg(*aggs).first()
     sizes = {c: r[f"n{i}"] for i, c in enumerate(cols)}
-    spark = df.sparkSession
-    stats = spark.createDataFrame(
-        [(c, r[f"n{i}"], r[f"m{i}"], r[f"s{i}"], r[f"lo{i}"], r[f"hi{i}"]) for i, c in enumerate(cols)],
-        "col_name string, count long, mean double, std double, min double, max double")
-    if not any(sizes.values()):
-        return stats
     lo = {c: r[f"lo{i}"] for i, c in enumerate(cols)}
     hi = {c: r[f"hi{i}"] for i, c in enumerate(cols)}
-    picks = exact_order_statistics(df, cols, sizes, lo, hi, quantiles)
+    picks = exact_order_statistics(df, cols, sizes, lo, hi, quantiles) if any(sizes.values()) else {}
     rows = []
-    for c in cols:
+    for i, c in enumerate(cols):
         n = sizes[c]
         vals = []
         for q in quantiles:
@@ -45,80 +39,137 @@ def summary(df: DataFrame, cols: Sequence[str], quantiles: Sequence[float] = (0.
             p = q * (n - 1)
             a, b = picks[(c, math.floor(p))], picks[(c, math.ceil(p))]
             vals.append(a + (b - a) * (p - math.floor(p)))
-        rows.append((c, *vals))
+        rows.append((c, n, r[f"m{i}"], r[f"s{i}"], lo[c], hi[c], *vals))
     names = [f"q{int(round(q * 100))}" for q in quantiles]
-    qs = spark.createDataFrame(rows, "col_name string, " + ", ".join(f"{n} double" for n in names))
-    return stats.join(F.broadcast(qs), on="col_name", how="left")
+    # One row per column, assembled from the bounded summaries above.
+    return df.sparkSession.createDataFrame(
+        rows, "col_name string, count long, mean double, std double, min double, max double, "
+        + ", ".join(f"{n} double" for n in names))
+
+
+# A bucket with at most this many rows is finished on the driver (a fixed bound,
+# independent of the data size); larger ones are split again.
+COLLECT_LIMIT = 20_000
+REFINE_ROUNDS = 4
+
+
+def _bucket(x: Column, lo: Column, w: Column, buckets: int) -> Column:
+    """Equal-width bucket of ``x`` from ``lo`` with width ``w``; the maximum falls in the last bucket."""
+    return F.when(w <= F.lit(0.0), F.lit(0)).otherwise(
+        F.least(F.floor((x - lo) / w), F.lit(buckets - 1))).cast("int")
+
+
+def _case(pairs: Sequence[tuple[Column, object]]) -> Column:
+    out = None
+    for cond, val in pairs:
+        out = F.when(cond, F.lit(val)) if out is None else out.when(cond, F.lit(val))
+    return out
 
 
 def exact_order_statistics(df: DataFrame, cols: Sequence[str], sizes, lo, hi, quantiles,
                            buckets: int = 1024) -> dict[tuple[str, int], float]:
     """Exact k-th smallest values (0-based ranks) per column without sorting everything.
 
-    1. One partial aggregation counts rows per (column, equal-width bucket):
-       at most ``len(cols) * buckets`` rows reach the driver.
-    2. The buckets holding the wanted ranks are located from those counts.
-    3. Only rows of those buckets go through the distributed ordered scan.
-    A bucket can still be large (a value shared by a third of the rows), which
-    the ordered scan handles without a single-task step.
+    Histogram refinement: a cell is a set of rows of one column known to hold
+    some wanted ranks (at first the whole column).  Each round is one partial
+    aggregation giving (count, min, max) per equal-width sub-bucket of every
+    open cell, at most ``cells * buckets`` rows.  A rank whose sub-bucket is
+    constant (min = max) is answered at once; a sub-bucket of at most
+    ``COLLECT_LIMIT`` rows is collected and sorted on the driver; a larger one
+    becomes a narrower cell for the next round.  A value shared by a third of
+    the rows is therefore resolved by its min = max, never gathered.  Cells
+    still open after ``REFINE_ROUNDS`` go through the distributed ordered scan.
     """
     idx = {c: i for i, c in enumerate(cols)}
     long = (df.select(F.explode(F.array(*[F.struct(F.lit(i).alias("c"), F.col(c).cast("double").alias("x"))
                                          for c, i in idx.items()])).alias("_s"))
             .select("_s.c", "_s.x").filter(F.col("x").isNotNull()))
-    lo_e = w_e = None
-    for c, i in idx.items():
-        if not sizes[c]:
-            continue
-        w = (hi[c] - lo[c]) / buckets
-        cond = F.col("c") == F.lit(i)
-        lo_e = F.when(cond, F.lit(float(lo[c]))) if lo_e is None else lo_e.when(cond, F.lit(float(lo[c])))
-        w_e = F.when(cond, F.lit(float(w))) if w_e is None else w_e.when(cond, F.lit(float(w)))
-    bucket = F.when(w_e <= F.lit(0.0), F.lit(0)).otherwise(
-        F.least(F.floor((F.col("x") - lo_e) / w_e), F.lit(buckets - 1))).cast("int")
-    long = long.withColumn("b", bucket)
-    hist: dict[int, dict[int, int]] = {}
-    for row in long.groupBy("c", "b").agg(F.count(F.lit(1)).alias("n")).collect():
-        hist.setdefault(row["c"], {})[row["b"]] = row["n"]
-
-    wanted: dict[tuple[int, int], set[int]] = {}      # (col, bucket) -> local ranks
+    x = F.col("x")
+    result: dict[tuple[int, int], float] = {}
+    # cell: (column id, row predicate, rank of its first row, lo, hi, wanted global ranks)
+    cells = []
     for c, i in idx.items():
         n = sizes[c]
         if not n:
             continue
         ranks = sorted({k for q in quantiles for k in (math.floor(q * (n - 1)), math.ceil(q * (n - 1)))})
-        run, it = 0, iter(ranks)
-        k = next(it, None)
-        for b in sorted(hist.get(i, {})):
-            cnt = hist[i][b]
-            while k is not None and k < run + cnt:
-                wanted.setdefault((i, b), set()).add(k - run)
-                k = next(it, None)
-            run += cnt
-    keys = sorted(wanted)
-    offsets, run = {}, 0
-    for key in keys:
-        offsets[key] = run
-        run += hist[key[0]][key[1]]
-    keep = off_e = None
-    for (i, b) in keys:
-        cond = (F.col("c") == F.lit(i)) & (F.col("b") == F.lit(b))
-        keep = cond if keep is None else keep | cond
-        off_e = F.when(cond, F.lit(offsets[(i, b)])) if off_e is None else off_e.when(cond, F.lit(offsets[(i, b)]))
-    subset = long.filter(keep)
-    ranked = with_prefix(subset, ["c", "b", "x"], index_col="_pos", rows=run).withColumn(
-        "_local", F.col("_pos") - off_e)
-    pick = None
-    for (i, b), locs in wanted.items():
-        cond = (F.col("c") == F.lit(i)) & (F.col("b") == F.lit(b)) & F.col("_local").isin(sorted(locs))
-        pick = cond if pick is None else pick | cond
-    found = ranked.filter(pick).select("c", "b", "_local", "x").collect()   # at most 2 per quantile and column
-    base = {}
-    for (i, b) in keys:
-        before = sum(cnt for bb, cnt in hist[i].items() if bb < b)
-        base[(i, b)] = before
+        cells.append((i, F.col("c") == F.lit(i), 0, lo[c], hi[c], ranks))
+    to_collect, leftover = [], []
+    for _ in range(REFINE_ROUNDS):
+        if not cells:
+            break
+        ok = [math.isfinite(cell[3]) and math.isfinite(cell[4]) and math.isfinite(cell[4] - cell[3])
+              for cell in cells]
+        finite = [cell for cell, good in zip(cells, ok) if good]
+        leftover += [cell for cell, good in zip(cells, ok) if not good]
+        if not finite:
+            cells = []
+            break
+        widths = [(cell[4] - cell[3]) / buckets for cell in finite]
+        cell_id = _case([(cell[1], j) for j, cell in enumerate(finite)])
+        lo_e = _case([(cell[1], float(cell[3])) for cell in finite])
+        w_e = _case([(cell[1], float(w)) for cell, w in zip(finite, widths)])
+        sub = _bucket(x, lo_e, w_e, buckets)
+        hist: dict[int, dict[int, tuple[int, float, float]]] = {}
+        for r in (long.select(cell_id.alias("_cell"), sub.alias("_b"), x).filter(F.col("_cell").isNotNull())
+                  .groupBy("_cell", "_b").agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("mn"),
+                                              F.max("x").alias("mx")).collect()):
+            hist.setdefault(r["_cell"], {})[r["_b"]] = (r["n"], r["mn"], r["mx"])
+        nxt = []
+        for j, (i, pred, base, clo, _, ranks) in enumerate(finite):
+            w = widths[j]
+            run, pending = base, list(ranks)
+            for b in sorted(hist.get(j, {})):
+                cnt, mn, mx = hist[j][b]
+                inside = [k for k in pending if k < run + cnt]
+                pending = pending[len(inside):]
+                if inside:
+                    bucket_pred = pred & (_bucket(x, F.lit(float(clo)), F.lit(float(w)), buckets) == F.lit(b))
+                    if mn == mx:
+                        result.update({(i, k): mn for k in inside})
+                    elif cnt <= COLLECT_LIMIT:
+                        to_collect.append((i, bucket_pred, run, inside))
+                    else:
+                        nxt.append((i, bucket_pred, run, mn, mx, inside))
+                run += cnt
+        cells = nxt
+    leftover += cells
+
+    if to_collect:
+        tag = _case([(cell[1], j) for j, cell in enumerate(to_collect)])
+        vals: dict[int, list[float]] = {}
+        for r in long.select(tag.alias("_cell"), x).filter(F.col("_cell").isNotNull()).collect():
+            vals.setdefault(r["_cell"], []).append(r["x"])
+        for j, (i, _, base, ranks) in enumerate(to_collect):
+            got = sorted(vals.get(j, []))
+            result.update({(i, k): got[k - base] for k in ranks})
+
+    if leftover:
+        result.update(_ordered_pick(long, leftover))
     names = {i: c for c, i in idx.items()}
-    return {(names[r["c"]], base[(r["c"], r["b"])] + r["_local"]): r["x"] for r in found}
+    return {(names[i], k): v for (i, k), v in result.items()}
+
+
+def _ordered_pick(long: DataFrame, cells) -> dict[tuple[int, int], float]:
+    """Wanted ranks of open cells from one distributed ordered scan over their rows only."""
+    tag = _case([(cell[1], j) for j, cell in enumerate(cells)])
+    subset = long.select(tag.alias("_cell"), "c", "x").filter(F.col("_cell").isNotNull())
+    counts = {r["_cell"]: r["n"] for r in subset.groupBy("_cell").agg(F.count(F.lit(1)).alias("n")).collect()}
+    offsets, run = {}, 0
+    for j in range(len(cells)):
+        offsets[j] = run
+        run += counts.get(j, 0)
+    ranked = with_prefix(subset, ["_cell", "x"], index_col="_pos", rows=run)
+    local = F.col("_pos") - _case([(F.col("_cell") == F.lit(j), off) for j, off in offsets.items()])
+    want = None
+    for j, cell in enumerate(cells):
+        cond = (F.col("_cell") == F.lit(j)) & (local + F.lit(cell[2])).isin(list(cell[5]))
+        want = cond if want is None else want | cond
+    out = {}
+    for r in ranked.filter(want).select("_cell", (local + _case(
+            [(F.col("_cell") == F.lit(j), cell[2]) for j, cell in enumerate(cells)])).alias("k"), "x").collect():
+        out[(cells[r["_cell"]][0], r["k"])] = r["x"]
+    return out
 
 
 def null_audit(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:

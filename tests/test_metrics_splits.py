@@ -2,6 +2,7 @@
 
 import numpy as np
 import pandas as pd
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -116,3 +117,21 @@ def test_stage_flow_equals_cohort_flow(spark):
     a = profile.stage_flow(df, stages).orderBy("step").collect()
     b = profile.cohort_flow([(n, df.filter(F.coalesce(c, F.lit(False)))) for n, c in stages]).orderBy("step").collect()
     assert [tuple(r) for r in a] == [tuple(r) for r in b]
+
+
+@pytest.mark.parametrize("limit,rounds", [(20_000, 4), (3, 4), (3, 1), (0, 0)])
+def test_summary_quantiles_every_path(spark, monkeypatch, limit, rounds):
+    """Constant buckets, collected buckets, refined cells and the ordered-scan fallback all agree with pandas."""
+    monkeypatch.setattr(profile, "COLLECT_LIMIT", limit)
+    monkeypatch.setattr(profile, "REFINE_ROUNDS", rounds)
+    rng = np.random.default_rng(7)
+    a = np.concatenate([np.full(200, 5.0), rng.normal(0, 1, 300), [1e6, -1e6], 1e-9 * rng.random(100)])
+    b = np.round(rng.exponential(3.0, a.size), 3)
+    rows = [(float(u), None if i % 17 == 0 else float(v)) for i, (u, v) in enumerate(zip(a, b))]
+    df = spark.createDataFrame(rows, "a double, b double")
+    qs = (0.1, 0.25, 0.5, 0.75, 0.9)
+    got = {r.col_name: r for r in profile.summary(df, ["a", "b"], qs).collect()}
+    pdf = pd.DataFrame(rows, columns=["a", "b"])
+    for c in ["a", "b"]:
+        for q in qs:
+            assert got[c][f"q{int(round(q * 100))}"] == pytest.approx(pdf[c].quantile(q), rel=1e-12, abs=1e-15)
