@@ -222,8 +222,8 @@ def stage_flow(df: DataFrame, stages: Sequence[tuple[str, Column]], subject: str
     """A14 for nested stages given as row flags over one frame.
 
     Two partial aggregations (per admission, per patient) replace one pass
-    plus two distinct counts per stage.  Output as ``cohort_flow``; the
-    result (3 numbers per stage) is assembled from the two summary rows.
+    plus two distinct counts per stage.  Output as ``cohort_flow``, as one
+    lazy plan: the two one-row summaries are stacked and joined by stage.
     """
     flags = [F.coalesce(cond, F.lit(False)).alias(f"_f{i}") for i, (_, cond) in enumerate(stages)]
     base = df.select(F.col(subject).alias("_s"), F.col(hadm).alias("_h"), *flags)
@@ -231,10 +231,16 @@ def stage_flow(df: DataFrame, stages: Sequence[tuple[str, Column]], subject: str
     per_adm = base.groupBy("_h").agg(*[F.sum(F.col(f"_f{i}").cast("long")).alias(f"_n{i}") for i in range(k)])
     a = per_adm.agg(*[F.coalesce(F.sum(f"_n{i}"), F.lit(0)).alias(f"e{i}") for i in range(k)],
                     *[F.count(F.when((F.col(f"_n{i}") > 0) & F.col("_h").isNotNull(), 1)).alias(f"a{i}")
-                      for i in range(k)]).first()
+                      for i in range(k)])
     per_sub = base.groupBy("_s").agg(*[F.max(f"_f{i}").alias(f"_m{i}") for i in range(k)])
     p = per_sub.agg(*[F.count(F.when(F.col(f"_m{i}") & F.col("_s").isNotNull(), 1)).alias(f"p{i}")
-                      for i in range(k)]).first()
-    rows = [(i, name, int(a[f"e{i}"]), int(a[f"a{i}"]), int(p[f"p{i}"])) for i, (name, _) in enumerate(stages)]
-    return df.sparkSession.createDataFrame(rows, "step int, stage string, events long, admissions long, "
-                                                 "patients long")
+                      for i in range(k)])
+    # Each summary is one row; stack it into one row per stage and join the
+    # two k-row tables on the stage number (no driver round trip).
+    quoted = [name.replace("\\", "\\\\").replace("'", "\\'") for name, _ in stages]
+    names = ", ".join(f"{i}, '{name}', e{i}, a{i}" for i, name in enumerate(quoted))
+    a_long = a.selectExpr(f"stack({k}, {names}) as (step, stage, events, admissions)")
+    p_long = p.selectExpr(f"stack({k}, " + ", ".join(f"{i}, p{i}" for i in range(k)) + ") as (step, patients)")
+    return a_long.join(F.broadcast(p_long), on="step", how="inner").select(
+        F.col("step").cast("int"), "stage", F.col("events").cast("long"), F.col("admissions").cast("long"),
+        F.col("patients").cast("long"))
