@@ -30,6 +30,8 @@ from ..session import reliable_checkpoint, shuffle_partitions
 
 
 ROWS_PER_PARTITION = 2_000_000
+_ORDERABLE = (T.NumericType, T.StringType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType,
+              T.BinaryType)
 MIN_ROWS_PER_TASK = 50_000
 
 
@@ -63,8 +65,14 @@ def with_prefix(df: DataFrame, order: Sequence[Column | str], sums: Mapping[str,
     n = num_partitions or partitions_for(rows, df.sparkSession)
     # A row id as last sort key: rows that tie on ``order`` (a hot value may
     # hold a third of the data) still get distinct range keys, so the range
-    # partitioner can spread them over several partitions.
-    base = df.withColumn("_tb", F.monotonically_increasing_id())
+    # partitioner can spread them over several partitions.  The id is taken
+    # after a local sort on the order and every sortable column (no shuffle):
+    # the rows of an input partition are fixed, so a task re-run after an
+    # executor loss numbers them the same way and sends every row to the same
+    # range partition as before (identical rows are interchangeable).
+    named = {o for o in order if isinstance(o, str)}
+    sortable = [f.name for f in df.schema.fields if isinstance(f.dataType, _ORDERABLE) and f.name not in named]
+    base = df.sortWithinPartitions(*order, *sortable).withColumn("_tb", F.monotonically_increasing_id())
     order = [*order, F.col("_tb")]
     out_types = {}
     for name, col in sums.items():

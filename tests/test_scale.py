@@ -27,3 +27,14 @@ def test_flagship_plan_is_partial_aggregated_and_pruned(spark):
     assert "PythonUDF" not in plan and "BatchEvalPython" not in plan
     scans = [l for l in plan.splitlines() if "FileScan parquet" in l]
     assert scans and all("props" in l or "ReadSchema" in l for l in scans)
+
+
+def test_tied_rows_get_the_same_positions_whatever_the_input_order(spark):
+    """A re-run task may read its rows in another order; positions must not change."""
+    rows = [(i % 3, f"r{i}") for i in range(40)]          # many ties on k
+    schema = "k long, tag string"
+    a = spark.createDataFrame(rows, schema).coalesce(1)
+    b = spark.createDataFrame(list(reversed(rows)), schema).coalesce(1)
+    pa = {r.tag: r.pos for r in with_prefix(a, ["k"], num_partitions=3).collect()}
+    pb = {r.tag: r.pos for r in with_prefix(b, ["k"], num_partitions=3).collect()}
+    assert pa == pb and sorted(pa.values()) == list(range(40))
