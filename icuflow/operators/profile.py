@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -59,6 +60,16 @@ def _bucket(x: Column, lo: Column, w: Column, buckets: int) -> Column:
         F.least(F.floor((x - lo) / w), F.lit(buckets - 1))).cast("int")
 
 
+class _Cell(NamedTuple):
+    """Rows of one column known to hold some wanted ranks."""
+    col: int             # column id
+    pred: Column         # row predicate selecting the cell
+    base: int            # global rank of the cell's first row
+    lo: float            # smallest value in the cell
+    hi: float            # largest value in the cell
+    ranks: list[int]     # wanted global ranks inside the cell
+
+
 def _case(pairs: Sequence[tuple[Column, object]]) -> Column:
     out = None
     for cond, val in pairs:
@@ -86,29 +97,28 @@ def exact_order_statistics(df: DataFrame, cols: Sequence[str], sizes, lo, hi, qu
             .select("_s.c", "_s.x").filter(F.col("x").isNotNull()))
     x = F.col("x")
     result: dict[tuple[int, int], float] = {}
-    # cell: (column id, row predicate, rank of its first row, lo, hi, wanted global ranks)
-    cells = []
+    cells: list[_Cell] = []
     for c, i in idx.items():
         n = sizes[c]
         if not n:
             continue
         ranks = sorted({k for q in quantiles for k in (math.floor(q * (n - 1)), math.ceil(q * (n - 1)))})
-        cells.append((i, F.col("c") == F.lit(i), 0, lo[c], hi[c], ranks))
+        cells.append(_Cell(i, F.col("c") == F.lit(i), 0, lo[c], hi[c], ranks))
     to_collect, leftover = [], []
     for _ in range(REFINE_ROUNDS):
         if not cells:
             break
-        ok = [math.isfinite(cell[3]) and math.isfinite(cell[4]) and math.isfinite(cell[4] - cell[3])
+        ok = [math.isfinite(cell.lo) and math.isfinite(cell.hi) and math.isfinite(cell.hi - cell.lo)
               for cell in cells]
         finite = [cell for cell, good in zip(cells, ok) if good]
         leftover += [cell for cell, good in zip(cells, ok) if not good]
         if not finite:
             cells = []
             break
-        widths = [(cell[4] - cell[3]) / buckets for cell in finite]
-        cell_id = _case([(cell[1], j) for j, cell in enumerate(finite)])
-        lo_e = _case([(cell[1], float(cell[3])) for cell in finite])
-        w_e = _case([(cell[1], float(w)) for cell, w in zip(finite, widths)])
+        widths = [(cell.hi - cell.lo) / buckets for cell in finite]
+        cell_id = _case([(cell.pred, j) for j, cell in enumerate(finite)])
+        lo_e = _case([(cell.pred, float(cell.lo)) for cell in finite])
+        w_e = _case([(cell.pred, float(w)) for cell, w in zip(finite, widths)])
         sub = _bucket(x, lo_e, w_e, buckets)
         hist: dict[int, dict[int, tuple[int, float, float]]] = {}
         for r in (long.select(cell_id.alias("_cell"), sub.alias("_b"), x).filter(F.col("_cell").isNotNull())
@@ -130,13 +140,13 @@ def exact_order_statistics(df: DataFrame, cols: Sequence[str], sizes, lo, hi, qu
                     elif cnt <= COLLECT_LIMIT:
                         to_collect.append((i, bucket_pred, run, inside))
                     else:
-                        nxt.append((i, bucket_pred, run, mn, mx, inside))
+                        nxt.append(_Cell(i, bucket_pred, run, mn, mx, inside))
                 run += cnt
         cells = nxt
     leftover += cells
 
     if to_collect:
-        tag = _case([(cell[1], j) for j, cell in enumerate(to_collect)])
+        tag = _case([(pred, j) for j, (_, pred, _, _) in enumerate(to_collect)])
         vals: dict[int, list[float]] = {}
         for r in long.select(tag.alias("_cell"), x).filter(F.col("_cell").isNotNull()).collect():
             vals.setdefault(r["_cell"], []).append(r["x"])
@@ -150,9 +160,9 @@ def exact_order_statistics(df: DataFrame, cols: Sequence[str], sizes, lo, hi, qu
     return {(names[i], k): v for (i, k), v in result.items()}
 
 
-def _ordered_pick(long: DataFrame, cells) -> dict[tuple[int, int], float]:
+def _ordered_pick(long: DataFrame, cells: Sequence[_Cell]) -> dict[tuple[int, int], float]:
     """Wanted ranks of open cells from one distributed ordered scan over their rows only."""
-    tag = _case([(cell[1], j) for j, cell in enumerate(cells)])
+    tag = _case([(cell.pred, j) for j, cell in enumerate(cells)])
     subset = long.select(tag.alias("_cell"), "c", "x").filter(F.col("_cell").isNotNull())
     counts = {r["_cell"]: r["n"] for r in subset.groupBy("_cell").agg(F.count(F.lit(1)).alias("n")).collect()}
     offsets, run = {}, 0
@@ -163,12 +173,12 @@ def _ordered_pick(long: DataFrame, cells) -> dict[tuple[int, int], float]:
     local = F.col("_pos") - _case([(F.col("_cell") == F.lit(j), off) for j, off in offsets.items()])
     want = None
     for j, cell in enumerate(cells):
-        cond = (F.col("_cell") == F.lit(j)) & (local + F.lit(cell[2])).isin(list(cell[5]))
+        cond = (F.col("_cell") == F.lit(j)) & (local + F.lit(cell.base)).isin(list(cell.ranks))
         want = cond if want is None else want | cond
     out = {}
     for r in ranked.filter(want).select("_cell", (local + _case(
-            [(F.col("_cell") == F.lit(j), cell[2]) for j, cell in enumerate(cells)])).alias("k"), "x").collect():
-        out[(cells[r["_cell"]][0], r["k"])] = r["x"]
+            [(F.col("_cell") == F.lit(j), cell.base) for j, cell in enumerate(cells)])).alias("k"), "x").collect():
+        out[(cells[r["_cell"]].col, r["k"])] = r["x"]
     return out
 
 
