@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions import dictionary as D
 from ..operators import clean, windows
+from ..session import persist, shuffle_partitions
 
 
 def read_event_stream(spark: SparkSession, directory: str, schema, glob: str | None = None,
@@ -33,11 +34,19 @@ def read_event_stream(spark: SparkSession, directory: str, schema, glob: str | N
 def clean_event_stream(chart: DataFrame, stays: DataFrame, hours: float, items: Iterable[str] | None = None,
                        groups: Mapping[str, Iterable[str]] = D.ITEM_GROUPS, unit_rules=D.UNIT_RULES,
                        codes: Sequence[tuple[str, str]] = D.CATEGORY_CODES,
-                       rules=D.OUTLIER_RULES_13) -> DataFrame:
+                       rules=D.OUTLIER_RULES_13, partition_static: bool = True) -> DataFrame:
     """Streaming chart events -> cleaned, grouped events of the first ``hours`` of the stay.
 
     ``stays`` (hadm_id, intime) is static; each micro-batch joins against it.
+    Micro-batches are planned without adaptive execution, so a large static
+    side would be shuffled again by every batch.  It is therefore
+    hash-partitioned on the admission key once and cached (MEMORY_AND_DISK):
+    a sort-merge join then shuffles only the batch's own rows, and a small
+    static side is still broadcast.
     """
+    if partition_static:
+        spark = stays.sparkSession
+        stays = persist(stays.select("hadm_id", "intime").repartition(shuffle_partitions(spark), "hadm_id"))
     w = windows.chart_window(chart, stays, hours, items)
     typed = clean.type_chart_events(w.select(*clean.EVENT_COLUMNS), clean.EVENT_COLUMNS, codes, unit_rules)
     return clean.drop_outliers(clean.assign_groups(typed, "itemid", groups), rules)
