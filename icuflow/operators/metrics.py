@@ -63,7 +63,7 @@ def roc_points(df: DataFrame, label: str = "label", score: str = "score") -> Dat
     tot = per.agg(F.sum("pos").alias("p"), F.sum("neg").alias("n"), F.count(F.lit(1)).alias("k")).first()
     p, n = tot["p"] or 0, tot["n"] or 0
     cum = with_prefix(per, [F.col("threshold").desc()], {"tp": "pos", "fp": "neg"}, index_col="_pos",
-                      rows=tot["k"])
+                      rows=tot["k"], unique_order=True)     # one row per distinct score
     return cum.select("threshold", "tp", "fp",
                       F.try_divide(F.col("tp").cast("double"), F.lit(float(p))).alias("tpr"),
                       F.try_divide(F.col("fp").cast("double"), F.lit(float(n))).alias("fpr"),

@@ -54,12 +54,15 @@ def partitions_for(rows: int | None, spark) -> int:
 
 
 def with_prefix(df: DataFrame, order: Sequence[Column | str], sums: Mapping[str, Column | str] | None = None,
-                index_col: str = "pos", num_partitions: int | None = None, rows: int | None = None) -> DataFrame:
+                index_col: str = "pos", num_partitions: int | None = None, rows: int | None = None,
+                unique_order: bool = False) -> DataFrame:
     """Add a 0-based global ``index_col`` along ``order`` and inclusive running sums.
 
     ``sums`` maps output name -> numeric column; nulls count as 0.  Put a
     unique tie-breaker last in ``order`` when positions must be reproducible.
-    ``rows`` (if known) sizes the range partitions.
+    ``rows`` (if known) sizes the range partitions.  ``unique_order=True``
+    states that no two rows tie on ``order`` (e.g. one row per key after a
+    group-by), which makes the row-id tie-breaker unnecessary.
     """
     sums = dict(sums or {})
     n = num_partitions or partitions_for(rows, df.sparkSession)
@@ -70,10 +73,12 @@ def with_prefix(df: DataFrame, order: Sequence[Column | str], sums: Mapping[str,
     # the rows of an input partition are fixed, so a task re-run after an
     # executor loss numbers them the same way and sends every row to the same
     # range partition as before (identical rows are interchangeable).
-    named = {o for o in order if isinstance(o, str)}
-    sortable = [f.name for f in df.schema.fields if isinstance(f.dataType, _ORDERABLE) and f.name not in named]
-    base = df.sortWithinPartitions(*order, *sortable).withColumn("_tb", F.monotonically_increasing_id())
-    order = [*order, F.col("_tb")]
+    base = df
+    if not unique_order:
+        named = {o for o in order if isinstance(o, str)}
+        sortable = [f.name for f in df.schema.fields if isinstance(f.dataType, _ORDERABLE) and f.name not in named]
+        base = df.sortWithinPartitions(*order, *sortable).withColumn("_tb", F.monotonically_increasing_id())
+        order = [*order, F.col("_tb")]
     out_types = {}
     for name, col in sums.items():
         c = F.col(col) if isinstance(col, str) else col
