@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .ordered import with_prefix
+from .ordered import partitions_for
 
 
 def accuracy(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
@@ -50,20 +50,64 @@ def _by_label():
     return Window.partitionBy("label")
 
 
+def _cumulative_counts(per: DataFrame, rows: int) -> DataFrame:
+    """tp / fp at each threshold: positives and negatives with a score >= it.
+
+    ``per`` has one row per distinct score (threshold, pos, neg).  Fully in
+    the JVM, without a global window:
+    1. thresholds are cut into about ``rows / ROWS_PER_PARTITION`` quantile
+       buckets (``QuantileDiscretizer``, one approximate-quantile pass);
+    2. running sums are a window inside each bucket (one shuffle by bucket);
+    3. each bucket's offset comes from the bucket totals, one row per bucket
+       (a bounded summary), joined back as a small table.
+    Order is Spark's descending order: NaN first, null last.  Thresholds are
+    unique, so the order and the result do not depend on task timing.
+    """
+    from pyspark.ml.feature import QuantileDiscretizer
+    from pyspark.sql import Window
+    nb = partitions_for(rows, per.sparkSession)
+    x = per.withColumn("_x", F.col("threshold").cast("double"))
+    if nb > 1:
+        model = QuantileDiscretizer(numBuckets=nb, inputCol="_x", outputCol="_qb", handleInvalid="keep",
+                                    relativeError=1e-3).fit(x)
+        n_reg = len(model.getSplits()) - 1
+        x, b = model.transform(x), F.col("_qb").cast("int")
+    else:
+        n_reg, b = 1, F.lit(0)
+    desc_bucket = (F.when(F.col("_x").isNull(), F.lit(n_reg + 1))
+                   .when(F.isnan("_x"), F.lit(0))
+                   .otherwise(F.lit(n_reg) - b))
+    x = x.withColumn("_db", desc_bucket).drop("_x", "_qb")
+    totals = {r["_db"]: (r["p"] or 0, r["n"] or 0)
+              for r in x.groupBy("_db").agg(F.sum("pos").alias("p"), F.sum("neg").alias("n")).collect()}
+    offsets, run_p, run_n = [], 0, 0
+    for db in sorted(totals):
+        offsets.append((int(db), int(run_p), int(run_n)))
+        run_p += totals[db][0]
+        run_n += totals[db][1]
+    offs = per.sparkSession.createDataFrame(offsets, "_db int, _op long, _on long")
+    w = (Window.partitionBy("_db").orderBy(F.col("threshold").desc())
+         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    # The offsets table has one row per bucket (bounded by the bucket count).
+    return (x.withColumn("_tp", F.sum("pos").over(w)).withColumn("_fp", F.sum("neg").over(w))
+            .join(F.broadcast(offs), on="_db", how="left")
+            .select("threshold", "pos", "neg", (F.col("_tp") + F.col("_op")).alias("tp"),
+                    (F.col("_fp") + F.col("_on")).alias("fp")))
+
+
 def roc_points(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
     """One ROC point per distinct score, thresholds descending.
 
     Scores are first aggregated per distinct value (partial aggregation),
-    then cumulative positives / negatives come from the distributed ordered
-    scan.  Output: threshold, tp, fp, tpr, fpr.
+    then cumulative positives / negatives come from bucketed running sums.
+    Output: threshold, tp, fp, tpr, fpr, pos, neg.
     """
     per = (df.groupBy(F.col(score).alias("threshold"))
            .agg(F.sum((F.col(label) == 1).cast("long")).alias("pos"),
                 F.sum((F.col(label) != 1).cast("long")).alias("neg")))
     tot = per.agg(F.sum("pos").alias("p"), F.sum("neg").alias("n"), F.count(F.lit(1)).alias("k")).first()
     p, n = tot["p"] or 0, tot["n"] or 0
-    cum = with_prefix(per, [F.col("threshold").desc()], {"tp": "pos", "fp": "neg"}, index_col="_pos",
-                      rows=tot["k"], unique_order=True)     # one row per distinct score
+    cum = _cumulative_counts(per, tot["k"])
     return cum.select("threshold", "tp", "fp",
                       F.try_divide(F.col("tp").cast("double"), F.lit(float(p))).alias("tpr"),
                       F.try_divide(F.col("fp").cast("double"), F.lit(float(n))).alias("fpr"),

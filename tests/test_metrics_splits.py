@@ -135,3 +135,26 @@ def test_summary_quantiles_every_path(spark, monkeypatch, limit, rounds):
     for c in ["a", "b"]:
         for q in qs:
             assert got[c][f"q{int(round(q * 100))}"] == pytest.approx(pdf[c].quantile(q), rel=1e-12, abs=1e-15)
+
+
+@pytest.mark.parametrize("buckets", [1, 7])
+def test_roc_points_bucketed_match_brute_force(spark, monkeypatch, buckets):
+    """Cumulative counts across quantile buckets, with tied, NaN and null scores (NaN first, null last)."""
+    monkeypatch.setattr(metrics, "partitions_for", lambda rows, spark: buckets)
+    rng = np.random.default_rng(3)
+    scores = [float(v) for v in rng.integers(0, 60, 400)] + [float("nan"), float("nan"), None, None]
+    labels = [int(v) for v in rng.integers(0, 2, len(scores))]
+    df = spark.createDataFrame([(i, s, l) for i, (s, l) in enumerate(zip(scores, labels))],
+                               "id long, score double, label int")
+    got = {(None if r.threshold is None else ("nan" if np.isnan(r.threshold) else r.threshold)): (r.tp, r.fp)
+           for r in metrics.roc_points(df).collect()}
+    keys = ["nan"] + sorted({s for s in scores if s is not None and not np.isnan(s)}, reverse=True) + [None]
+
+    def key(s):
+        return None if s is None else ("nan" if np.isnan(s) else s)
+    want, tp, fp = {}, 0, 0
+    for k in keys:
+        tp += sum(1 for s, l in zip(scores, labels) if key(s) == k and l == 1)
+        fp += sum(1 for s, l in zip(scores, labels) if key(s) == k and l != 1)
+        want[k] = (tp, fp)
+    assert got == want
