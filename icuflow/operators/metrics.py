@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import persist
 from .ordered import partitions_for
 
 
@@ -102,9 +103,11 @@ def roc_points(df: DataFrame, label: str = "label", score: str = "score") -> Dat
     then cumulative positives / negatives come from bucketed running sums.
     Output: threshold, tp, fp, tpr, fpr, pos, neg.
     """
-    per = (df.groupBy(F.col(score).alias("threshold"))
-           .agg(F.sum((F.col(label) == 1).cast("long")).alias("pos"),
-                F.sum((F.col(label) != 1).cast("long")).alias("neg")))
+    # Read by the totals, the bucket fit, the bucket totals and the final
+    # plan: keep it rather than recompute the scored input four times.
+    per = persist(df.groupBy(F.col(score).alias("threshold"))
+                  .agg(F.sum((F.col(label) == 1).cast("long")).alias("pos"),
+                       F.sum((F.col(label) != 1).cast("long")).alias("neg")))
     tot = per.agg(F.sum("pos").alias("p"), F.sum("neg").alias("n"), F.count(F.lit(1)).alias("k")).first()
     p, n = tot["p"] or 0, tot["n"] or 0
     cum = _cumulative_counts(per, tot["k"])
