@@ -27,14 +27,15 @@ def shuffle_key(key: Column | str, seed: int) -> Column:
 
 
 def positional_split(df: DataFrame, order: Sequence[Column | str], sizes: Sequence[tuple[str, int | None]],
-                     out: str = "split", rows: int | None = None) -> DataFrame:
+                     out: str = "split", rows: int | None = None, unique_order: bool = False) -> DataFrame:
     """Cut a seeded random order into consecutive blocks.
 
     ``sizes`` is ``[(name, count), ..., (last_name, None)]``; the last block
     takes the rest.  Blocks are half-open and adjacent, so every row lands
-    in exactly one block.
+    in exactly one block.  ``unique_order=True`` states that ``order`` ends
+    in a key that is unique per row (no tie-breaker needed).
     """
-    indexed = with_prefix(df, order, index_col="_pos", rows=rows)
+    indexed = with_prefix(df, order, index_col="_pos", rows=rows, unique_order=unique_order)
     bounds, start = [], 0
     for name, count in sizes:
         end = None if count is None else start + int(count)
@@ -49,15 +50,16 @@ def positional_split(df: DataFrame, order: Sequence[Column | str], sizes: Sequen
 
 
 def fraction_split(df: DataFrame, order: Sequence[Column | str], test_fraction: float = 0.2,
-                   out: str = "split") -> DataFrame:
+                   out: str = "split", unique_order: bool = False) -> DataFrame:
     """M2: exact ``ceil(fraction * n)`` test rows taken from a seeded order, rest train."""
     n = df.count()
     n_test = int(math.ceil(test_fraction * n))
-    return positional_split(df, order, [("test", n_test), ("train", None)], out, rows=n)
+    return positional_split(df, order, [("test", n_test), ("train", None)], out, rows=n,
+                            unique_order=unique_order)
 
 
 def stratified_folds(df: DataFrame, label: str, order: Sequence[Column | str], k: int = 5,
-                     out: str = "fold") -> DataFrame:
+                     out: str = "fold", unique_order: bool = False) -> DataFrame:
     """M5: fold = position inside its class (along ``order``) modulo k.
 
     Positions come from one distributed ordered scan over (label, order), not
@@ -66,7 +68,7 @@ def stratified_folds(df: DataFrame, label: str, order: Sequence[Column | str], k
     counts = sorted((r[label], r["n"]) for r in df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()
                     if r[label] is not None)
     indexed = with_prefix(df, [F.col(label).asc_nulls_first(), *order], index_col="_pos",
-                          rows=sum(n for _, n in counts))
+                          rows=sum(n for _, n in counts), unique_order=unique_order)
     offset_expr, run = None, 0
     for value, n in counts:
         cond = F.col(label) == F.lit(value)

@@ -26,14 +26,15 @@ def _model_table(spark, d):
     scaled = models.standard_scaler_apply(wide, models.standard_scaler_fit(wide, cols))
     data = scaled.withColumn("label", F.col("hospital_expire_flag").cast("double"))
     order = [split.arithmetic_hash("hadm_id", Q.SEED), F.col("hadm_id")]
-    data = split.fraction_split(data, order, 0.2)
+    data = split.fraction_split(data, order, 0.2, unique_order=True)    # one row per admission
     # Reused by several fits and evaluations: keep it instead of recomputing the chain.
     return persist(models.assemble(data, cols)), cols
 
 
 def _train_with_folds(data):
     train = data.filter(F.col("split") == "train")
-    folds = split.stratified_folds(train, "label", [split.arithmetic_hash("hadm_id", Q.SEED), F.col("hadm_id")], 5)
+    folds = split.stratified_folds(train, "label", [split.arithmetic_hash("hadm_id", Q.SEED), F.col("hadm_id")], 5,
+                                   unique_order=True)
     return persist(folds)
 
 
@@ -103,7 +104,8 @@ def _sequence_data(spark, d):
     n = labelled.count()
     part = max(1, int(0.15 * n))
     order = [split.arithmetic_hash("hadm_id", Q.SEED), F.col("hadm_id")]
-    parts = split.positional_split(labelled, order, [("test", part), ("valid", part), ("train", None)], rows=n)
+    parts = split.positional_split(labelled, order, [("test", part), ("valid", part), ("train", None)], rows=n,
+                                   unique_order=True)                 # one row per admission
     return persist(models.flatten_padded(parts)), Q.SEQ_LIMIT * len(cols)
 
 

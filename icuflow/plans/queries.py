@@ -632,7 +632,8 @@ def sql_hash(key: str, seed: int) -> str:
           "SELECT c_custkey, CASE WHEN pos < ceil(0.2 * n) THEN 'test' ELSE 'train' END AS split FROM r")
 def q_split_80_20(spark, d):
     cust = table(spark, d, "customer").select("c_custkey")
-    return split.fraction_split(cust, [split.arithmetic_hash("c_custkey", SEED), F.col("c_custkey")], 0.2)
+    return split.fraction_split(cust, [split.arithmetic_hash("c_custkey", SEED), F.col("c_custkey")], 0.2,
+                                unique_order=True)      # c_custkey is the table's key
 
 
 @register("split_3way",
@@ -645,7 +646,8 @@ def q_split_3way(spark, d):
     n = cust.count()
     part = int(math.floor(0.15 * n))
     return split.positional_split(cust, [split.arithmetic_hash("c_custkey", SEED), F.col("c_custkey")],
-                                  [("test", part), ("valid", part), ("train", None)], rows=n)
+                                  [("test", part), ("valid", part), ("train", None)], rows=n,
+                                  unique_order=True)
 
 
 @register("stratified_folds",
@@ -654,7 +656,8 @@ def q_split_3way(spark, d):
           f"{sql_hash('c_custkey', SEED)}, c_custkey) - 1) % 5 AS INTEGER) AS fold FROM c")
 def q_stratified_folds(spark, d):
     cust = table(spark, d, "customer").select("c_custkey", (F.col("c_acctbal") < 0.0).cast("int").alias("label"))
-    return split.stratified_folds(cust, "label", [split.arithmetic_hash("c_custkey", SEED), F.col("c_custkey")], 5)
+    return split.stratified_folds(cust, "label", [split.arithmetic_hash("c_custkey", SEED), F.col("c_custkey")], 5,
+                                  unique_order=True)
 
 
 # --------------------------------------------------------------------------
