@@ -18,9 +18,18 @@ from icuflow.session import scratch_path
 GROUP_BYTES = 1 << 20
 
 
+# Stands for a null id inside an operator, whose arrays hold plain integers.
+NULL_ID = -(1 << 63)
+
+
 def keyed_texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, text) under fixed names; every other column is left out of the scan."""
-    return df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    return df.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("doc_id"), F.col(text_col).alias("text"))
+
+
+def null_ids(df: DataFrame, *cols: str) -> DataFrame:
+    """Give null ids back as null."""
+    return df.withColumns({c: F.nullif(F.col(c), F.lit(NULL_ID)) for c in cols or ("doc_id",)})
 
 
 def text_groups(batches: Iterator[pa.RecordBatch], group_bytes: int = GROUP_BYTES
@@ -65,10 +74,19 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
+    out.stage_path = path
     release(spark)
     return out
 
 
+def discard(*staged: DataFrame) -> None:
+    """Delete stage files whose content later stages hold already."""
+    for df in staged:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(df.stage_path)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def release(spark: SparkSession) -> None:
     """Let Spark's cleaner drop shuffle files that no live DataFrame refers to."""
     gc.collect()

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from icuflow.llm.common import keyed_texts, row_filter
+from icuflow.llm.common import keyed_texts, null_ids, row_filter
 
 WINDOW = 13
 # An automaton holds the windows of at most this many item words; a larger
@@ -121,7 +121,7 @@ def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, automaton_
         final = k == len(shards) - 1
         out = out.mapInArrow(_pass(spark.sparkContext.broadcast(items), window, final),
                              SCAN_SCHEMA if final else f"{SCAN_SCHEMA}, text string")
-    return out
+    return null_ids(out)
 
 
 _RUN = pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())]))

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from icuflow.llm.common import bounded_sample, crc_bucket, keyed_texts, starts_of, text_groups
+from icuflow.llm.common import bounded_sample, crc_bucket, keyed_texts, null_ids, starts_of, text_groups
 
 BINS = 1 << 13
 SAMPLE = 300
@@ -170,7 +170,7 @@ def identify(docs: DataFrame, training: DataFrame, sample: int = SAMPLE, familie
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(lang.astype(str), pa.string()),
                                               pa.array(score, pa.float64())], names=["doc_id", "lang_pred", "score"])
 
-    return keyed_texts(docs, id_col, text_col).mapInArrow(run, "doc_id long, lang_pred string, score double")
+    return null_ids(keyed_texts(docs, id_col, text_col).mapInArrow(run, "doc_id long, lang_pred string, score double"))
 
 
 def held_out(id_col: str = "doc_id") -> Column:

@@ -18,7 +18,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from icuflow.llm.common import keyed_texts, stage
+from icuflow.llm.common import keyed_texts, null_ids, stage
 
 SPACE = "\x20\x09\x0a\x0b\x0c\x0d"
 SYMBOLS = "[#*$%&|<>]+"
@@ -115,6 +115,7 @@ def quality(docs: DataFrame, min_posterior: float = 0.5, id_col: str = "doc_id",
         odds = odds + F.when(F.col(k) == 1, weight[1]).when(F.col(k) == -1, weight[-1]).otherwise(weight[0])
     t = t.withColumn("posterior", 1 / (1 + F.exp(-odds)))
     failed = (F.col("n_words") < 10) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 20)
+    t = null_ids(t)
     return t.withColumn("base_failed", failed).withColumn("kept", ~F.col("base_failed") & (F.col("posterior") >= min_posterior))
 
 
