@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from icuflow.llm import decontaminate, langid, quality_model, quality_rules, suffix_dedup
+from icuflow.llm import decontaminate, langid, quality_model, quality_rules, substring_dedup, suffix_dedup
 from icuflow.sources.tables import table as load
 
 
@@ -22,6 +22,10 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.digest(load(spark, sf_dir, "documents"))
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.digest(load(spark, sf_dir, "documents"))
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.digest(load(spark, sf_dir, "documents"))
 
@@ -31,7 +35,7 @@ def op10_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    fs = (op3_suffix_dedup, op4_decontaminate, op5_quality_rules, op9_language_id, op10_quality_model)
+    fs = (op3_suffix_dedup, op4_decontaminate, op5_quality_rules, op8_substring_dedup, op9_language_id, op10_quality_model)
     return {f.__name__: f for f in fs}
 
 
