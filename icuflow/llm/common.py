@@ -93,6 +93,12 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def apart(column: str) -> Column:
+    """The same key under another expression.  A join on it exchanges both sides anew, so that adaptive
+    execution can split a frequent key; reusing an aggregation's partitioning would pin it to one task."""
+    return F.col(column).bitwiseXOR(F.lit(1).cast("long"))
+
+
 def crc_bucket(id_col: str, buckets: int) -> Column:
     """crc32 of the id as text, modulo ``buckets``: the fold of a row."""
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % F.lit(buckets)

@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from icuflow.llm import decontaminate, langid, quality_model, quality_rules, substring_dedup, suffix_dedup
+from icuflow.llm import decontaminate, langid, minhash_dedup, quality_model, quality_rules, substring_dedup, suffix_dedup
 from icuflow.sources.tables import table as load
 
 
+def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_dedup.near_duplicates(load(spark, sf_dir, "documents"))
+
+
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.digest(load(spark, sf_dir, "documents"))
 
@@ -35,7 +39,7 @@ def op10_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    fs = (op3_suffix_dedup, op4_decontaminate, op5_quality_rules, op8_substring_dedup, op9_language_id, op10_quality_model)
+    fs = (op1_minhash_dedup, op3_suffix_dedup, op4_decontaminate, op5_quality_rules, op8_substring_dedup, op9_language_id, op10_quality_model)
     return {f.__name__: f for f in fs}
 
 

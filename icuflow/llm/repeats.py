@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from icuflow.llm.common import discard, stage, text_groups
+from icuflow.llm.common import apart, discard, stage, text_groups
 
 HOT_KEYS = 2000
 HOT_SAMPLE = 64
@@ -176,8 +176,8 @@ def settle(rows: DataFrame) -> DataFrame:
     if not hot:
         return out
     firsts = (rows.where(is_hot).groupBy("h", "ph").agg(F.min(F.struct("doc_id", "start", "n")).alias("f")))
-    again = (rows.where(is_hot).join(firsts.select(F.col("h").alias("fh"), F.col("ph").alias("fph"), "f"),
-                                     (F.col("h") == F.col("fh")) & (F.col("ph") == F.col("fph")))
+    again = (rows.where(is_hot).join(firsts.select(apart("h").alias("fh"), F.col("ph").alias("fph"), "f"),
+                                     (apart("h") == F.col("fh")) & (F.col("ph") == F.col("fph")))
              .where(F.struct("doc_id", "start") > F.struct("f.doc_id", "f.start")))
     return (out.unionByName(again.select(F.lit(REPEAT).alias("kind"), "h", "doc_id", "start", "n"))
             .unionByName(firsts.select(F.lit(LARGE).alias("kind"), "h", "f.doc_id", "f.start", "f.n")))
@@ -218,8 +218,8 @@ def large_spans(pieces: DataFrame, windows_of: Callable, window: int) -> DataFra
     rows = (pieces.where(F.col("kind") == LARGE).select("doc_id", "start", "piece")
             .mapInArrow(run, "w1 long, w2 long, doc_id long, start long"))
     first = (rows.groupBy("w1", "w2").agg(F.min(F.struct("doc_id", "start")).alias("f"), F.count("*").alias("rows"))
-             .where("rows > 1").select(F.col("w1").alias("f1"), F.col("w2").alias("f2"), "f"))
-    return (rows.join(first, (F.col("w1") == F.col("f1")) & (F.col("w2") == F.col("f2")))
+             .where("rows > 1").select(apart("w1").alias("f1"), F.col("w2").alias("f2"), "f"))
+    return (rows.join(first, (apart("w1") == F.col("f1")) & (F.col("w2") == F.col("f2")))
             .where(F.struct("doc_id", "start") > F.col("f"))
             .select("doc_id", F.col("start").alias("first"), (F.col("start") + window).alias("last")))
 
