@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from icuflow.llm import decontaminate, langid, minhash_dedup, quality_model, quality_rules, substring_dedup, suffix_dedup
+from icuflow.llm import chat, decontaminate, langid, minhash_dedup, quality_model, quality_rules, sentencepiece_codec, substring_dedup, suffix_dedup, urls
 from icuflow.sources.tables import table as load
 
 
@@ -14,6 +14,10 @@ def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_dedup.near_duplicates(load(spark, sf_dir, "documents"))
 
 
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece_codec.digest(load(spark, sf_dir, "documents"))
+
+
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.digest(load(spark, sf_dir, "documents"))
 
@@ -26,6 +30,14 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.digest(load(spark, sf_dir, "documents"))
 
 
+def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.digest(load(spark, sf_dir, "conversations"))
+
+
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.digest(load(spark, sf_dir, "pages"))
+
+
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.digest(load(spark, sf_dir, "documents"))
 
@@ -39,9 +51,9 @@ def op10_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    fs = (op1_minhash_dedup, op3_suffix_dedup, op4_decontaminate, op5_quality_rules, op8_substring_dedup, op9_language_id, op10_quality_model)
+    fs = (op1_minhash_dedup, op2_sentencepiece, op3_suffix_dedup, op4_decontaminate, op5_quality_rules, op6_chat_format, op7_url_filter, op8_substring_dedup, op9_language_id, op10_quality_model)
     return {f.__name__: f for f in fs}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op6_chat_format": chat.SQL}
