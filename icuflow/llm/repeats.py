@@ -35,7 +35,7 @@ from icuflow.llm.common import apart, discard, stage, text_groups
 HOT_KEYS = 2000
 HOT_SAMPLE = 64
 HOT_LEAST = 16
-GROUP_PIECES = 1000
+GROUP_PIECES = 10_000
 SEGMENT = 1 << 20
 ROW_SCHEMA = "h long, ph long, doc_id long, start long, n int"
 SETTLED_SCHEMA = "kind int, h long, doc_id long, start long, n int"
@@ -175,12 +175,13 @@ def settle(rows: DataFrame) -> DataFrame:
     out = (cold.repartition(parts, "h").sortWithinPartitions("h", "ph", "doc_id", "start").mapInArrow(_settle, SETTLED_SCHEMA))
     if not hot:
         return out
-    firsts = (rows.where(is_hot).groupBy("h", "ph").agg(F.min(F.struct("doc_id", "start", "n")).alias("f")))
-    again = (rows.where(is_hot).join(firsts.select(apart("h").alias("fh"), F.col("ph").alias("fph"), "f"),
-                                     (apart("h") == F.col("fh")) & (F.col("ph") == F.col("fph")))
+    firsts = stage(rows.where(is_hot).groupBy("h", "ph").agg(F.min(F.struct("doc_id", "start", "n")).alias("f")), "repeats-hot")
+    again = (rows.where(is_hot).join(firsts.withColumnsRenamed({"h": "fh", "ph": "fph"}), (F.col("h") == F.col("fh")) & (F.col("ph") == F.col("fph")))
              .where(F.struct("doc_id", "start") > F.struct("f.doc_id", "f.start")))
-    return (out.unionByName(again.select(F.lit(REPEAT).alias("kind"), "h", "doc_id", "start", "n"))
-            .unionByName(firsts.select(F.lit(LARGE).alias("kind"), "h", "f.doc_id", "f.start", "f.n")))
+    pieces = firsts.groupBy("h").agg(F.count("*").alias("pieces")).where("pieces > 1").select(apart("h").alias("ch"), "pieces")
+    firsts = (firsts.join(pieces, apart("h") == F.col("ch"))
+              .select(F.when(F.col("pieces") > GROUP_PIECES, LARGE).otherwise(COMPARE).alias("kind"), "h", "f.doc_id", "f.start", "f.n"))
+    return out.unionByName(again.select(F.lit(REPEAT).alias("kind"), "h", "doc_id", "start", "n")).unionByName(firsts)
 
 
 def fetch(texts: DataFrame, settled: DataFrame, cut: Callable) -> DataFrame:
