@@ -33,7 +33,9 @@ from icuflow.llm import repeats as R
 from icuflow.llm.common import keyed_texts, null_ids, starts_of, text_groups
 
 WINDOW = 20
-ROUNDS = 4
+# More rounds make longer symbols, but the spans that decide them widen faster: with windows of 20
+# words, two rounds give one anchor for 6 words, four one for 2.5.
+ROUNDS = 2
 SPACES = (32, 9, 10, 11, 12, 13)
 _IS_SPACE = np.zeros(256, bool)
 _IS_SPACE[list(SPACES)] = True
@@ -111,8 +113,9 @@ def compress(x: Level, round_: int) -> Level:
     return Level(name[keep], x.doc[keep], x.first[keep], last[keep], low[keep], high[keep])
 
 
-def choose_anchors(levels: list[Level], starts: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
-    """For each window start: place and name hash of its anchor, from the highest round that has one."""
+def choose_anchors(levels: list[Level], starts: np.ndarray, window: int, words: R.Hashes) -> tuple[np.ndarray, np.ndarray]:
+    """For each window start: place and name of its anchor, from the highest round that has one.  An
+    anchor's name is its symbol together with the words that decided it, which the window contains."""
     place = np.full(len(starts), -1, np.int64)
     name = np.zeros(len(starts), np.uint64)
     todo = np.arange(len(starts))
@@ -121,7 +124,8 @@ def choose_anchors(levels: list[Level], starts: np.ndarray, window: int) -> tupl
         ok = np.flatnonzero(x.high - x.low <= window)
         if len(ok) == 0 or len(todo) == 0:
             continue
-        low, high, names = x.low[ok], x.high[ok], R.mix(x.name[ok] + np.uint64(depth))
+        low, high = x.low[ok], x.high[ok]
+        names = R.mix(x.name[ok] + np.uint64(depth)) ^ words.of(low, high, 3)
         p = starts[todo]
         a, z = np.searchsorted(low, p, side="left"), np.searchsorted(high, p + window, side="right")
         has = z > a
@@ -165,8 +169,8 @@ def anchors(window: int = WINDOW, rounds: int = ROUNDS):
                 for r in range(rounds):
                     levels.append(compress(levels[-1], r + 1))
                 starts = np.flatnonzero(d[:n - window + 1] == d[window - 1:])
-                place, name = choose_anchors(levels, starts, window)
                 hashes = R.Hashes(c)
+                place, name = choose_anchors(levels, starts, window, hashes)
                 # One number for each anchor's place, so that the frame can tell where it changes.
                 unique, at_place = np.unique(place, return_inverse=True)
                 value = np.zeros(len(unique), np.uint64)

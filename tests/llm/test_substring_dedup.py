@@ -81,7 +81,7 @@ def test_equal_windows_choose_equal_anchors():
         levels = [substring_dedup.Level(codes, d, at, at + 1, at, at + 1)]
         for r in range(4):
             levels.append(substring_dedup.compress(levels[-1], r + 1))
-        place, name = substring_dedup.choose_anchors(levels, np.arange(len(codes) - 19), 20)
+        place, name = substring_dedup.choose_anchors(levels, np.arange(len(codes) - 19), 20, repeats.Hashes(codes))
         found.append([(p // 6 - len(left) if p >= 0 else None, n) for p, n in zip(place.tolist(), name.tolist())][len(left):len(left) + 21])
         assert (place >= 0).all()
     assert all(f == found[0] for f in found)
