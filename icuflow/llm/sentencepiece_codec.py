@@ -322,8 +322,10 @@ def decode(encoded: DataFrame, model: str = MODEL, id_col: str = "doc_id", ids_c
 
 
 def tokenize(docs: DataFrame, model: str = MODEL, text_col: str = "text") -> DataFrame:
-    """The documents, unchanged, with ids, n_tokens and round_trip (decoding gives the text back)."""
+    """The documents, unchanged, with ids, n_tokens and round_trip (decoding gives the text back); columns
+    that bear these names already are replaced."""
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary(model))
+    docs = docs.drop("ids", "n_tokens", "round_trip")
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
