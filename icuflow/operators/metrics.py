@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import persist
+from ..session import reliable_checkpoint
 from .ordered import partitions_for
 
 
@@ -68,9 +68,10 @@ def _cumulative_counts(per: DataFrame, rows: int) -> DataFrame:
     from pyspark.sql import Window
     nb = partitions_for(rows, per.sparkSession)
     x = per.withColumn("_x", F.col("threshold").cast("double"))
-    if nb > 1:
+    if rows:
+        nb = max(2, nb)
         model = QuantileDiscretizer(numBuckets=nb, inputCol="_x", outputCol="_qb", handleInvalid="keep",
-                                    relativeError=1e-3).fit(x)
+                                    relativeError=min(1e-3, 0.25 / nb)).fit(x)
         n_reg = len(model.getSplits()) - 1
         x, b = model.transform(x), F.col("_qb").cast("int")
     else:
@@ -105,7 +106,7 @@ def roc_points(df: DataFrame, label: str = "label", score: str = "score") -> Dat
     """
     # Read by the totals, the bucket fit, the bucket totals and the final
     # plan: keep it rather than recompute the scored input four times.
-    per = persist(df.groupBy(F.col(score).alias("threshold"))
+    per = reliable_checkpoint(df.groupBy(F.col(score).alias("threshold"))
                   .agg(F.sum((F.col(label) == 1).cast("long")).alias("pos"),
                        F.sum((F.col(label) != 1).cast("long")).alias("neg")))
     tot = per.agg(F.sum("pos").alias("p"), F.sum("neg").alias("n"), F.count(F.lit(1)).alias("k")).first()

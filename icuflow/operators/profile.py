@@ -48,10 +48,7 @@ def summary(df: DataFrame, cols: Sequence[str], quantiles: Sequence[float] = (0.
         + ", ".join(f"{n} double" for n in names))
 
 
-# A bucket with at most this many rows is finished on the driver (a fixed bound,
-# independent of the data size); larger ones are split again.
-COLLECT_LIMIT = 20_000
-REFINE_ROUNDS = 4
+REFINE_ROUNDS = 8
 
 
 def _bucket(x: Column, lo: Column, w: Column, buckets: int) -> Column:
@@ -85,11 +82,10 @@ def exact_order_statistics(df: DataFrame, cols: Sequence[str], sizes, lo, hi, qu
     some wanted ranks (at first the whole column).  Each round is one partial
     aggregation giving (count, min, max) per equal-width sub-bucket of every
     open cell, at most ``cells * buckets`` rows.  A rank whose sub-bucket is
-    constant (min = max) is answered at once; a sub-bucket of at most
-    ``COLLECT_LIMIT`` rows is collected and sorted on the driver; a larger one
-    becomes a narrower cell for the next round.  A value shared by a third of
-    the rows is therefore resolved by its min = max, never gathered.  Cells
-    still open after ``REFINE_ROUNDS`` go through the distributed ordered scan.
+    constant (min = max) is answered at once; any other becomes a narrower cell
+    for the next round.  No value is gathered, whether few rows or a third of
+    them share it.  Cells still open after ``REFINE_ROUNDS`` (values of very
+    different magnitudes) go through the distributed ordered scan.
     """
     idx = {c: i for i, c in enumerate(cols)}
     long = (df.select(F.explode(F.array(*[F.struct(F.lit(i).alias("c"), F.col(c).cast("double").alias("x"))
@@ -104,7 +100,7 @@ def exact_order_statistics(df: DataFrame, cols: Sequence[str], sizes, lo, hi, qu
             continue
         ranks = sorted({k for q in quantiles for k in (math.floor(q * (n - 1)), math.ceil(q * (n - 1)))})
         cells.append(_Cell(i, F.col("c") == F.lit(i), 0, lo[c], hi[c], ranks))
-    to_collect, leftover = [], []
+    leftover = []
     for _ in range(REFINE_ROUNDS):
         if not cells:
             break
@@ -137,23 +133,12 @@ def exact_order_statistics(df: DataFrame, cols: Sequence[str], sizes, lo, hi, qu
                     bucket_pred = pred & (_bucket(x, F.lit(float(clo)), F.lit(float(w)), buckets) == F.lit(b))
                     if mn == mx:
                         result.update({(i, k): mn for k in inside})
-                    elif cnt <= COLLECT_LIMIT:
-                        to_collect.append((i, bucket_pred, run, inside))
                     else:
                         nxt.append(_Cell(i, bucket_pred, run, mn, mx, inside))
                 run += cnt
         cells = nxt
     leftover += cells
 
-    if to_collect:
-        tag = _case([(pred, j) for j, (_, pred, _, _) in enumerate(to_collect)])
-        vals: dict[int, list[float]] = {}
-        for r in long.select(tag.alias("_cell"), x).filter(F.col("_cell").isNotNull()).collect():
-            vals.setdefault(r["_cell"], []).append(r["x"])
-        for j, (i, _, base, ranks) in enumerate(to_collect):
-            got = sorted(vals.get(j, []))
-            result.update({(i, k): got[k - base] for k in ranks})
-
     if leftover:
         result.update(_ordered_pick(long, leftover))
     names = {i: c for c, i in idx.items()}

@@ -17,13 +17,56 @@ HASH_MODULUS = 2147483647
 def arithmetic_hash(key: Column | str, seed: int) -> Column:
     """Seeded integer hash of an integral key; the same arithmetic runs in any SQL engine."""
     k = F.col(key) if isinstance(key, str) else key
-    return F.pmod(k.cast("long") * F.lit(HASH_MULTIPLIER) + F.lit(int(seed) * 12345 + 1), F.lit(HASH_MODULUS))
+    m = F.lit(HASH_MODULUS)
+    # Reduced before it is multiplied: any 64-bit key fits.
+    return F.pmod(F.pmod(k.cast("long"), m) * F.lit(HASH_MULTIPLIER) + F.lit(int(seed) * 12345 + 1), m)
 
 
-def shuffle_key(key: Column | str, seed: int) -> Column:
-    """Seeded pseudo-random order for any key type (xxhash64)."""
-    k = F.col(key) if isinstance(key, str) else key
-    return F.xxhash64(k, F.lit(int(seed)))
+# A hash in [0, 2^31) is located by its first 11 bits, then the next 10, then the last 10.
+_SHIFTS = (20, 10, 0)
+MAX_CLASSES = 100
+
+
+def _cuts(df: DataFrame, h: Column, key: Column, wanted: Sequence[tuple[Column, int]]) -> list[Column]:
+    """For each (rows, rank): a condition true for the first ``rank`` of those rows by (h, key).
+
+    Each round counts rows per range of hashes (at most 2048 counts for each wanted
+    rank) and narrows the range that holds the cut; no row is sorted or moved.  Rows
+    that share the last hash are told apart by their key, which is unique.
+    """
+    base = [(rows, None, 0, rank) for rows, rank in wanted]
+    above = None
+    for shift in _SHIFTS:
+        tag = None
+        for i, (rows, prefix, _, rank) in enumerate(base):
+            inside = rows if prefix is None else rows & (F.shiftright(h, above) == F.lit(prefix))
+            part = F.when(inside & F.lit(rank > 0), F.lit(i))
+            tag = [part] if tag is None else [*tag, part]
+        counts: dict[int, dict[int, int]] = {}
+        long = (df.select(F.shiftright(h, shift).alias("_b"), F.array_compact(F.array(*tag)).alias("_i"))
+                .select("_b", F.explode("_i").alias("_i")))
+        for r in long.groupBy("_i", "_b").agg(F.count(F.lit(1)).alias("n")).collect():
+            counts.setdefault(r["_i"], {})[r["_b"]] = r["n"]
+        narrowed = []
+        for i, (rows, prefix, _, rank) in enumerate(base):
+            run = 0
+            for b in sorted(counts.get(i, {})):
+                if run + counts[i][b] >= rank:
+                    narrowed.append((rows, b, run, rank - run))
+                    break
+                run += counts[i][b]
+            else:
+                narrowed.append((rows, prefix if rank <= 0 else 1 << 31, 0, rank))   # none, or all of them
+        base, above = narrowed, shift
+    out = []
+    for (rows, cut, _, rank), (_, asked) in zip(base, wanted, strict=True):
+        if asked <= 0 or cut is None:
+            out.append(F.lit(False))
+            continue
+        last = df.where(rows & (h == F.lit(cut))).select(key.alias("k")).orderBy("k").limit(max(1, rank)).collect()
+        tie = (h == F.lit(cut)) & (key <= F.lit(last[-1]["k"])) if last else F.lit(False)
+        out.append((h < F.lit(cut)) | tie)
+    return out
 
 
 def positional_split(df: DataFrame, order: Sequence[Column | str], sizes: Sequence[tuple[str, int | None]],
@@ -33,8 +76,20 @@ def positional_split(df: DataFrame, order: Sequence[Column | str], sizes: Sequen
     ``sizes`` is ``[(name, count), ..., (last_name, None)]``; the last block
     takes the rest.  Blocks are half-open and adjacent, so every row lands
     in exactly one block.  ``unique_order=True`` states that ``order`` ends
-    in a key that is unique per row (no tie-breaker needed).
+    in a key that is unique per row; ``order`` is then (a hash in [0, 2^31), the
+    key), and the blocks are cut by counting hashes, without a sort.
     """
+    if unique_order and len(order) == 2:
+        h, key = (F.col(c) if isinstance(c, str) else c for c in order)
+        ends, run = [], 0
+        for _, count in sizes[:-1]:
+            run += int(count)
+            ends.append(run)
+        expr = None
+        for (name, _), inside in zip(sizes, _cuts(df, h, key, [(F.lit(True), e) for e in ends]), strict=False):
+            expr = F.when(inside, F.lit(name)) if expr is None else expr.when(inside, F.lit(name))
+        rest = F.lit(sizes[-1][0])
+        return df.withColumn(out, rest if expr is None else expr.otherwise(rest))
     indexed = with_prefix(df, order, index_col="_pos", rows=rows, unique_order=unique_order)
     bounds, start = [], 0
     for name, count in sizes:
@@ -60,13 +115,24 @@ def fraction_split(df: DataFrame, order: Sequence[Column | str], test_fraction:
 
 def stratified_folds(df: DataFrame, label: str, order: Sequence[Column | str], k: int = 5,
                      out: str = "fold", unique_order: bool = False) -> DataFrame:
-    """M5: fold = position inside its class (along ``order``) modulo k.
+    """M5: each class in k equal consecutive blocks along ``order``: fold = floor(position * k / class size).
 
-    Positions come from one distributed ordered scan over (label, order), not
-    from a window per label (which would put a whole class in one task).
+    ``label`` must be categorical (at most ``MAX_CLASSES`` values).  Blocks are cut as in
+    ``positional_split``; rows without a label are dealt by their hash.
     """
-    counts = sorted((r[label], r["n"]) for r in df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()
-                    if r[label] is not None)
+    per = df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).limit(MAX_CLASSES + 2).collect()
+    counts = sorted((r[label], r["n"]) for r in per if r[label] is not None)
+    if len(counts) > MAX_CLASSES:
+        raise ValueError(f"{label} has more than {MAX_CLASSES} values; folds need a categorical label")
+    if unique_order and len(order) == 2:
+        h, key = (F.col(c) if isinstance(c, str) else c for c in order)
+        wanted = [(F.col(label) == F.lit(v), -(-j * n // k)) for v, n in counts for j in range(1, k)]
+        passed = _cuts(df, h, key, wanted) if wanted else []
+        fold = F.pmod(h, F.lit(k))
+        for i, (v, _) in enumerate(counts):
+            mine = [F.when(c, F.lit(0)).otherwise(F.lit(1)) for c in passed[i * (k - 1):(i + 1) * (k - 1)]]
+            fold = F.when(F.col(label) == F.lit(v), sum(mine, F.lit(0))).otherwise(fold)
+        return df.withColumn(out, fold.cast("int"))
     indexed = with_prefix(df, [F.col(label).asc_nulls_first(), *order], index_col="_pos",
                           rows=sum(n for _, n in counts), unique_order=unique_order)
     offset_expr, run = None, 0
@@ -75,4 +141,8 @@ def stratified_folds(df: DataFrame, label: str, order: Sequence[Column | str], k
         offset_expr = (F.when(cond, F.lit(run)) if offset_expr is None else offset_expr.when(cond, F.lit(run)))
         run += n
     offset_expr = offset_expr.otherwise(F.lit(0)) if offset_expr is not None else F.lit(0)
-    return indexed.withColumn(out, F.pmod(F.col("_pos") - offset_expr, F.lit(k)).cast("int")).drop("_pos")
+    size = F.lit(1)
+    for value, n in counts:
+        size = F.when(F.col(label) == F.lit(value), F.lit(n)).otherwise(size)
+    fold = F.floor((F.col("_pos") - offset_expr) * F.lit(k) / size)
+    return indexed.withColumn(out, F.when(F.col(label).isNull(), F.pmod(F.col("_pos"), F.lit(k))).otherwise(fold).cast("int")).drop("_pos")

@@ -22,9 +22,15 @@ def attach_stay_start(events: DataFrame, stays: DataFrame, hadm: str = "hadm_id"
     ``stays`` has one row per admission.  No broadcast is forced: its size
     grows with the cohort, so the choice is left to adaptive execution, which
     broadcasts it only when its measured size is under the threshold and
-    otherwise splits skewed admissions of a sort-merge join.
+    otherwise splits skewed admissions of a sort-merge join.  A hash of the
+    key is a second join key: an aggregation by admission after the join then
+    exchanges its partial results anew, instead of tying an admission's
+    events to one task, and so leaves adaptive execution free to split them.
     """
-    return events.join(stays.select(hadm, intime), on=hadm, how="inner")
+    s = stays.select(F.col(hadm).alias("_stay"), F.xxhash64(hadm).alias("_stay_hash"), F.col(intime).alias("_intime"))
+    joined = events.drop(intime).join(s, (F.col(hadm) == F.col("_stay")) & (F.xxhash64(hadm) == F.col("_stay_hash")))
+    front = [hadm, *[c for c in events.columns if c not in (hadm, intime)]]
+    return joined.select(*front, F.col("_intime").alias(intime))
 
 
 def with_hours(df: DataFrame, time_col: str = "charttime", start_col: str = "intime",

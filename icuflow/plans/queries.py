@@ -622,8 +622,8 @@ def q_standard_scaled(spark, d):
 
 
 def sql_hash(key: str, seed: int) -> str:
-    return (f"((({key} * {split.HASH_MULTIPLIER} + {seed * 12345 + 1}) % {split.HASH_MODULUS}) "
-            f"+ {split.HASH_MODULUS}) % {split.HASH_MODULUS}")
+    m = split.HASH_MODULUS
+    return f"(((({key} % {m}) + {m}) % {m}) * {split.HASH_MULTIPLIER} + {seed * 12345 + 1}) % {m}"
 
 
 @register("split_80_20",
@@ -653,7 +653,7 @@ def q_split_3way(spark, d):
 @register("stratified_folds",
           "WITH c AS (SELECT c_custkey, CAST(c_acctbal < 0.0 AS INTEGER) AS label FROM customer)\n"
           f"SELECT c_custkey, label, CAST((row_number() OVER (PARTITION BY label ORDER BY "
-          f"{sql_hash('c_custkey', SEED)}, c_custkey) - 1) % 5 AS INTEGER) AS fold FROM c")
+          f"{sql_hash('c_custkey', SEED)}, c_custkey) - 1) * 5 // count(*) OVER (PARTITION BY label) AS INTEGER) AS fold FROM c")
 def q_stratified_folds(spark, d):
     cust = table(spark, d, "customer").select("c_custkey", (F.col("c_acctbal") < 0.0).cast("int").alias("label"))
     return split.stratified_folds(cust, "label", [split.arithmetic_hash("c_custkey", SEED), F.col("c_custkey")], 5,

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark import StorageLevel
@@ -18,6 +17,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split a skewed join even where an aggregation after it then needs another exchange.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     # At scale set spark.sql.shuffle.partitions to about (largest shuffle
     # bytes / 128 MB) and let AQE merge small partitions; on a busy shared
@@ -57,7 +58,7 @@ def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and stage files.
 
     Taken from the running context or ``spark.checkpoint.dir``.  Only a
-    local-mode session without either gets a private temporary folder (tests).
+    local-mode session without either gets a folder of its own (tests).
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -67,7 +68,13 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not configured:
         if not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder on the cluster")
-        configured = tempfile.mkdtemp(prefix="icuflow-ckpt-")
+        # A folder of this application on the session's default file system, deleted at its end.
+        jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+        fs = jvm.org.apache.hadoop.fs.FileSystem.get(conf)
+        path = fs.makeQualified(jvm.org.apache.hadoop.fs.Path(f"/tmp/icuflow-{sc.applicationId}"))
+        fs.mkdirs(path)
+        fs.deleteOnExit(path)
+        configured = path.toString()
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 

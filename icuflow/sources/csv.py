@@ -7,6 +7,7 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+# Fixed value: the name pattern of a table file.
 _TABLE_NAME = re.compile(r"(\w+)(\.csv)?$")
 
 
@@ -25,9 +26,8 @@ def load_csv_table(spark: SparkSession, path: str, table_name: str | None = None
     pruning is switched off for this read so that DROPMALFORMED judges
     whole rows even when only some columns are used later (H3).
     """
-    spark.conf.set("spark.sql.csv.parser.columnPruning.enabled", "false")
     reader = (spark.read.option("header", "true").option("mode", "DROPMALFORMED")
-              .option("sep", ","))
+              .option("sep", ",").option("columnPruning", "false"))
     if schema is not None:
         reader = reader.schema(schema)
     df = reader.csv(path)

@@ -93,6 +93,29 @@ def test_fraction_split_and_folds(spark):
     assert (per.max(axis=1) - per.min(axis=1) <= 1).all()       # classes spread evenly
 
 
+@pytest.mark.parametrize("keys", [range(0, 101), [10**10 + i for i in range(60)], [9 * 10**18 + 7 * i for i in range(60)], [-5, 3, -(2**62), 0]])
+def test_splits_by_cuts_equal_sorted_positions(spark, keys):
+    """Any 64-bit key; blocks and folds equal those of the sorted (hash, key) order."""
+    keys = list(keys)
+    df = spark.createDataFrame([(k, i % 3 % 2) for i, k in enumerate(keys)], "k long, label int")
+    order = [split.arithmetic_hash("k", 45), F.col("k")]
+    ranked = [r.k for r in df.select("k", order[0].alias("h")).orderBy("h", "k").collect()]
+    m = split.HASH_MODULUS
+    assert ranked == sorted(keys, key=lambda k: ((k % m * split.HASH_MULTIPLIER + 45 * 12345 + 1) % m, k))
+    n, part = len(keys), len(keys) // 5
+    out = split.positional_split(df, order, [("a", part), ("b", part), ("c", None)], unique_order=True)
+    assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
+    got = {r.k: r.split for r in out.collect()}
+    assert got == {k: "a" if i < part else "b" if i < 2 * part else "c" for i, k in enumerate(ranked)}
+    folds = {r.k: r.fold for r in split.stratified_folds(df, "label", order, 5, unique_order=True).collect()}
+    label = {k: i % 3 % 2 for i, k in enumerate(keys)}
+    for v in (0, 1):
+        mine = [k for k in ranked if label[k] == v]
+        assert [folds[k] for k in mine] == [i * 5 // len(mine) for i in range(len(mine))]
+    with pytest.raises(ValueError):
+        split.stratified_folds(spark.range(500).withColumnRenamed("id", "k"), "k", order, 5, unique_order=True)
+
+
 def test_summary_quantiles(spark):
     vals = [1.0, 2.0, 3.0, 4.0, 10.0]
     df = spark.createDataFrame([(v, -v) for v in vals], "a double, b double")
@@ -119,10 +142,9 @@ def test_stage_flow_equals_cohort_flow(spark):
     assert [tuple(r) for r in a] == [tuple(r) for r in b]
 
 
-@pytest.mark.parametrize("limit,rounds", [(20_000, 4), (3, 4), (3, 1), (0, 0)])
-def test_summary_quantiles_every_path(spark, monkeypatch, limit, rounds):
-    """Constant buckets, collected buckets, refined cells and the ordered-scan fallback all agree with pandas."""
-    monkeypatch.setattr(profile, "COLLECT_LIMIT", limit)
+@pytest.mark.parametrize("rounds", [8, 1, 0])
+def test_summary_quantiles_every_path(spark, monkeypatch, rounds):
+    """Constant buckets, refined cells and the ordered-scan fallback all agree with pandas."""
     monkeypatch.setattr(profile, "REFINE_ROUNDS", rounds)
     rng = np.random.default_rng(7)
     a = np.concatenate([np.full(200, 5.0), rng.normal(0, 1, 300), [1e6, -1e6], 1e-9 * rng.random(100)])
