@@ -59,6 +59,12 @@ def stays_from_events(events: DataFrame) -> DataFrame:
             .withColumn("subject_id", F.col("hadm_id")))
 
 
+def late_stays_from_events(events: DataFrame, days: int = 14) -> DataFrame:
+    """Stay start = ``days`` after the user's first event, so that the open window also holds earlier events
+    and some admissions have more hourly steps than the window's limit."""
+    return stays_from_events(events).withColumn("intime", F.col("intime") + F.make_dt_interval(F.lit(days)))
+
+
 def patients_from_customer(customer: DataFrame) -> DataFrame:
     """customer -> patients (subject_id, gender, dob); birth date fixed by key."""
     key = F.col("c_custkey")

@@ -16,7 +16,8 @@ from ..session import persist, scratch_path
 from . import queries as Q
 
 C_GRID = [0.0001, 0.001, 0.1, 1.0, 10.0]
-GRID_MAX_ITER = 30
+# Iterations of the sequence model in all, and between two looks at the validation set.
+EPOCHS, LOOK_EVERY = 20, 5
 
 
 def _model_table(spark, d):
@@ -47,6 +48,13 @@ def q_logistic_scores(spark, d):
     return out.select("hadm_id", "label", "prediction", "score")
 
 
+@Q.register("logistic_coefficients")
+def q_logistic_coefficients(spark, d):
+    """M3: the fitted coefficients, one row per feature."""
+    data, cols = _model_table(spark, d)
+    return models.coefficient_table(models.fit_logistic(data.filter(F.col("split") == "train")), cols, spark)
+
+
 @Q.register("logistic_cv")
 def q_logistic_cv(spark, d):
     data, _ = _model_table(spark, d)
@@ -62,7 +70,7 @@ def _svm_inputs(spark, d):
     data, cols = _model_table(spark, d)
     train = data.filter(F.col("split") == "train")
     gamma = models.gamma_scale(train, cols)
-    return persist(models.random_fourier_features(data, cols, gamma, 128)), cols
+    return persist(models.random_fourier_features(data, cols, gamma)), cols
 
 
 @Q.register("rbf_svm_scores")
@@ -78,7 +86,8 @@ def q_svm_calibrated(spark, d):
     data, _ = _svm_inputs(spark, d)
     train, test = data.filter(F.col("split") == "train"), data.filter(F.col("split") == "test")
     model = models.linear_svc(C=1.0, n=train.count()).fit(train)
-    calib = models.platt_fit(models.margin(model.transform(train)))
+    folds = _train_with_folds(data)
+    calib = models.platt_fit(models.out_of_fold_margins(lambda n: models.linear_svc(C=1.0, n=n), folds))
     scored = models.platt_apply(models.margin(model.transform(test)), calib)
     return scored.select("hadm_id", "label", "prediction", "probability_cal")
 
@@ -88,7 +97,7 @@ def q_svm_grid(spark, d):
     data, _ = _svm_inputs(spark, d)
     train = _train_with_folds(data)
     n = train.count()
-    svc = models.linear_svc(n=n, max_iter=GRID_MAX_ITER)
+    svc = models.linear_svc(n=n)
     grid = models.svm_c_grid(svc, C_GRID, n)
     cvm = models.cross_validate(svc, grid, train)
     return spark.createDataFrame([(float(c), float(m)) for c, m in zip(C_GRID, cvm.avgMetrics)],
@@ -114,7 +123,7 @@ def q_sequence_mlp(spark, d):
     data, width = _sequence_data(spark, d)
     train, valid = data.filter(F.col("split") == "train"), data.filter(F.col("split") == "valid")
     test = data.filter(F.col("split") == "test")
-    best, _ = models.select_by_validation(lambda it: models.mlp(width, max_iter=it), [10, 30], train, valid)
+    best, _ = models.select_by_validation(lambda it: models.mlp(width, max_iter=it), EPOCHS, LOOK_EVERY, train, valid)
     return models.sigmoid_raw_score(best.transform(test)).select("hadm_id", "label", "prediction", "score")
 
 
@@ -132,12 +141,12 @@ def q_model_reload(spark, d):
 
 @Q.register("training_curve")
 def q_training_curve(spark, d):
-    """Train and validation accuracy per training length; best kept."""
+    """Train and validation accuracy and loss along the training; best kept."""
     data, width = _sequence_data(spark, d)
     train, valid = data.filter(F.col("split") == "train"), data.filter(F.col("split") == "valid")
-    _, curve = models.select_by_validation(lambda it: models.mlp(width, max_iter=it), [5, 10, 20], train, valid)
-    return spark.createDataFrame([(int(s), float(tr), float(va)) for s, tr, va in curve],
-                                 "max_iter int, train_accuracy double, valid_accuracy double")
+    _, curve = models.select_by_validation(lambda it: models.mlp(width, max_iter=it), EPOCHS, LOOK_EVERY, train, valid)
+    return spark.createDataFrame(curve, "iterations int, train_accuracy double, train_loss double, "
+                                        "valid_accuracy double, valid_loss double")
 
 
 @Q.register("logistic_test_metrics")

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import dictionary as D
 from ..operators import clean, cohort, features, sequences, windows
-from ..session import persist
+from ..session import persist, remove_path, scratch_path
 
 
 @dataclass
@@ -77,7 +77,9 @@ def sequence_table(events: DataFrame, patients_info: DataFrame, hours: int = 24,
     hourly = persist(hourly_table(events, patients_info, feature_set, rules))
     cols = sequences.sequence_feature_columns(feature_set)
     scaled = sequences.minmax_apply(hourly, sequences.minmax_fit(hourly, cols))
-    limit = max_steps if max_steps is not None else D.MAX_STEPS.get(hours)
+    if max_steps is None and hours not in D.MAX_STEPS:
+        raise ValueError(f"no length limit is known for a window of {hours} h: give max_steps")
+    limit = max_steps if max_steps is not None else D.MAX_STEPS[hours]
     seqs = sequences.build_sequences(scaled, cols, limit)
     return sequences.sequences_with_label(seqs, patients_info)
 
@@ -104,6 +106,7 @@ def load_raw_tables(spark, data_dir: str) -> dict[str, DataFrame]:
     return t
 
 
+# The names of the 14 outputs.
 OUTPUTS = ("chartWithTimeSelected", "chart24Hr", "chart48Hr", "lab24Hr", "lab48Hr", "chart24", "chart48",
            "chartLab24", "chartLab48", "patientsInfo", "chart24Item17", "chart48Item17", "chartLab24Item20",
            "chartLab48Item20")
@@ -113,20 +116,22 @@ def run_preparation(spark, data_dir: str, out_dir: str, fmt: str = "csv", single
                     min_age: float = 18.0) -> dict[str, str]:
     """The whole preparation job: five raw CSV tables -> the 14 outputs.
 
-    The 48 h windows are computed once and written as stages; each 24 h set
-    is a filter on its 48 h stage (both lower bounds agree per source), read
-    back from the stage files so downstream work does not recompute the
-    joins.  Returns output name -> path.
+    The cohort, the selected chart events and the 48 h windows are each computed once
+    and written as stages in the scratch folder; every output and every 24 h
+    set is read from a stage, so no join runs twice.  The stages are deleted
+    at the end.  Returns output name -> path.
     """
     from ..sources.csv import write_csv, write_stage
     t = load_raw_tables(spark, data_dir)
-    info = cohort.select_cohort(t["patients"], t["admissions"], t["icustays"], min_age)
-    stays = cohort.stay_start(t["icustays"], info)
+    scratch = scratch_path(spark, "preparation")
+    info = write_stage(cohort.select_cohort(t["patients"], t["admissions"], t["icustays"], min_age), f"{scratch}/info")
+    stays = write_stage(cohort.stay_start(t["icustays"], info), f"{scratch}/stays")
     out = out_dir.rstrip("/")
     paths: dict[str, str] = {}
 
     def emit(name: str, df: DataFrame) -> None:
         p = f"{out}/{name}.{fmt}"
+        df = df.toDF(*[c.upper() for c in df.columns])   # the consumers of the files read upper-case headers
         if fmt == "csv":
             write_csv(df, p, single_file)
         else:
@@ -134,13 +139,14 @@ def run_preparation(spark, data_dir: str, out_dir: str, fmt: str = "csv", single
         paths[name] = p
 
     raw_cols = ["subject_id", "hadm_id", "itemid", "charttime", "value", "valueuom"]
-    selected = windows.attach_stay_start(windows.select_items(t["chart"], D.CHART_ITEMS), stays)
+    selected = write_stage(windows.attach_stay_start(windows.select_items(t["chart"], D.CHART_ITEMS), stays),
+                           f"{scratch}/selected")
     emit("chartWithTimeSelected", selected.select(*raw_cols, "intime"))
     chart48 = write_stage(windows.open_window(windows.with_hours(selected), 48).select(*raw_cols, "hours"),
-                          f"{out}/_stage/chart48")
+                          f"{scratch}/chart48")
     lab_sel = windows.select_items(t["lab"], D.LAB_ITEMS)
     lab48 = write_stage(windows.interval_join(lab_sel, stays, 48, key="subject_id", stay_cols=("hadm_id",))
-                        .select(*raw_cols, "hours"), f"{out}/_stage/lab48")
+                        .select(*raw_cols, "hours"), f"{scratch}/lab48")
     win = {"chart48Hr": chart48, "chart24Hr": windows.open_window(chart48, 24),
            "lab48Hr": lab48, "lab24Hr": windows.open_window(lab48, 24)}
     for name, df in win.items():
@@ -148,8 +154,8 @@ def run_preparation(spark, data_dir: str, out_dir: str, fmt: str = "csv", single
     cols = list(clean.EVENT_COLUMNS)
     typed = {}
     for h in (24, 48):
-        c = clean.type_chart_events(win[f"chart{h}Hr"].select(*cols), cols)
-        lab = clean.type_lab_events(win[f"lab{h}Hr"].select(*cols), cols)
+        c = write_stage(clean.type_chart_events(win[f"chart{h}Hr"].select(*cols), cols), f"{scratch}/typed_chart{h}")
+        lab = write_stage(clean.type_lab_events(win[f"lab{h}Hr"].select(*cols), cols), f"{scratch}/typed_lab{h}")
         typed[f"chart{h}"] = c
         typed[f"chartLab{h}"] = clean.union_events(c, lab)
     for name, df in typed.items():
@@ -159,4 +165,5 @@ def run_preparation(spark, data_dir: str, out_dir: str, fmt: str = "csv", single
     emit("chart48Item17", clean.assign_groups(typed["chart48"]))
     emit("chartLab24Item20", clean.assign_groups(typed["chartLab24"]))
     emit("chartLab48Item20", clean.assign_groups(typed["chartLab48"]))
+    remove_path(spark, scratch)
     return paths

@@ -30,7 +30,9 @@ QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
 
 SEED = 45
-SEQ_LIMIT = 60
+# Sequences take the events of this window, and the length limit that belongs to it.
+SEQ_HOURS = 24
+SEQ_LIMIT = D.MAX_STEPS[SEQ_HOURS]
 
 
 def register(name: str, sql: str | None = None):
@@ -474,7 +476,22 @@ def q_hourly_mean(spark, d):
     return round_doubles(sequences.hourly_means(events_pipeline(spark, d, None, D.OUTLIER_RULES_15)))
 
 
-SQL_HOURLY_A = (sql_events_pipeline(None, D.OUTLIER_RULES_15) + ",\n"
+SQL_LATE_STAYS = """stays AS (SELECT user_id AS hadm_id, min(ts) + INTERVAL 14 DAY AS intime FROM events GROUP BY user_id)"""
+
+
+def sql_late_pipeline(hours: int) -> str:
+    """As ``sql_events_pipeline``, with the stay 14 days after the first event."""
+    return sql_events_pipeline(hours, D.OUTLIER_RULES_15).replace(SQL_STAYS, SQL_LATE_STAYS)
+
+
+def late_events_pipeline(spark, d, hours: int, rules=D.OUTLIER_RULES_15) -> DataFrame:
+    events = _events(spark, d)
+    chart = windows.chart_window(A.chart_from_events(events), A.late_stays_from_events(events), hours)
+    out = _grouped(_typed(chart))
+    return clean.drop_outliers(out, rules) if rules is not None else out
+
+
+SQL_HOURLY_A = (sql_late_pipeline(SEQ_HOURS) + ",\n"
                 "hourly_in AS (SELECT hadm_id, strftime(charttime, '%Y-%m-%d %H') AS time, itemid, value "
                 "FROM cleaned),\n"
                 "hourly_raw AS (SELECT hadm_id, time, "
@@ -485,8 +502,7 @@ SQL_HOURLY_A = (sql_events_pipeline(None, D.OUTLIER_RULES_15) + ",\n"
 @register("hourly_pivot", SQL_HOURLY_A + "\nSELECT hadm_id, time, "
           + ", ".join(f"{r6(f)} AS {f}" for f in FEATS_A) + " FROM hourly_raw")
 def q_hourly_pivot(spark, d):
-    ev = events_pipeline(spark, d, None, D.OUTLIER_RULES_15)
-    return round_doubles(sequences.hourly_features(ev, FEATS_A))
+    return round_doubles(sequences.hourly_features(late_events_pipeline(spark, d, SEQ_HOURS), FEATS_A))
 
 
 def sql_minmax(src: str, cols, name: str = "scaled", keep: str = "hadm_id, time") -> str:
@@ -501,12 +517,12 @@ def sql_minmax(src: str, cols, name: str = "scaled", keep: str = "hadm_id, time"
 @register("minmax_scaled", SQL_HOURLY_A + ",\n" + sql_minmax("hourly_raw", FEATS_A) + "\nSELECT hadm_id, time, "
           + ", ".join(f"{r6(f)} AS {f}" for f in FEATS_A) + " FROM scaled")
 def q_minmax_scaled(spark, d):
-    hourly = persist(sequences.hourly_features(events_pipeline(spark, d, None, D.OUTLIER_RULES_15), FEATS_A))
+    hourly = persist(sequences.hourly_features(late_events_pipeline(spark, d, SEQ_HOURS), FEATS_A))
     return round_doubles(sequences.minmax_apply(hourly, sequences.minmax_fit(hourly, FEATS_A)))
 
 
 def _scaled_seq_input(spark, d, feature_set: str) -> tuple[DataFrame, list[str]]:
-    ev = events_pipeline(spark, d, None, D.OUTLIER_RULES_15)
+    ev = late_events_pipeline(spark, d, SEQ_HOURS)
     feats = D.features_for(feature_set)
     hourly = sequences.hourly_features(ev, feats)
     if feature_set == "B":
@@ -547,14 +563,23 @@ def q_sequence_lengths(spark, d):
           "LEFT JOIN long_rows l ON g.hadm_id = l.hadm_id AND g.step = l.step AND g.feature = l.feature")
 def q_padded_sequence(spark, d):
     scaled, cols = _scaled_seq_input(spark, d, "A")
-    seqs = sequences.sort_by_length(
-        sequences.pad_sequences(sequences.build_sequences(scaled, cols, SEQ_LIMIT), SEQ_LIMIT, len(cols)))
+    seqs = sequences.pad_sequences(sequences.build_sequences(scaled, cols, SEQ_LIMIT), SEQ_LIMIT, len(cols))
     steps = seqs.select("hadm_id", F.posexplode("padded").alias("step", "row"))
     cells = steps.select("hadm_id", "step", F.posexplode("row").alias("feature", "value"))
     return round_doubles(cells.select("hadm_id", F.col("step").cast("int"), F.col("feature").cast("int"), "value"))
 
 
-SQL_HOURLY_B = (sql_events_pipeline(None, D.OUTLIER_RULES_15) + ",\n" + SQL_INFO + ",\n"
+@register("sequence_limit_audit", SQL_HOURLY_A + ",\n"
+          f"n AS (SELECT hadm_id, count(*) AS steps FROM hourly_raw GROUP BY hadm_id)\n"
+          f"SELECT count(*) AS admissions, count(*) FILTER (WHERE steps > {SEQ_LIMIT}) AS over_limit, max(steps) AS most_steps FROM n")
+def q_sequence_limit_audit(spark, d):
+    """How many admissions the length limit removes."""
+    steps = sequences.step_counts(sequences.hourly_features(late_events_pipeline(spark, d, SEQ_HOURS), FEATS_A))
+    return steps.agg(F.count(F.lit(1)).alias("admissions"), F.count_if(F.col("num_stamps") > SEQ_LIMIT).alias("over_limit"),
+                     F.max("num_stamps").cast("long").alias("most_steps"))
+
+
+SQL_HOURLY_B = (sql_late_pipeline(SEQ_HOURS) + ",\n" + SQL_INFO + ",\n"
                 "hourly_in AS (SELECT hadm_id, strftime(charttime, '%Y-%m-%d %H') AS time, itemid, value "
                 "FROM cleaned),\n"
                 "hourly_b0 AS (SELECT hadm_id, time, "
@@ -581,7 +606,7 @@ def q_sequence_label_join(spark, d):
 
 def _pipeline_seq_sql(hours: int, limit: int) -> str:
     feats = ", ".join(f"avg(CASE WHEN itemid = {_q(f)} THEN value END) AS {f}" for f in FEATS_A)
-    return (sql_events_pipeline(hours, D.OUTLIER_RULES_15) + ",\n" + SQL_INFO + ",\n"
+    return (sql_late_pipeline(hours) + ",\n" + SQL_INFO + ",\n"
             "hourly_in AS (SELECT hadm_id, strftime(charttime, '%Y-%m-%d %H') AS time, itemid, value FROM cleaned),\n"
             f"hourly_w AS (SELECT hadm_id, time, {feats} FROM hourly_in GROUP BY hadm_id, time),\n"
             + sql_minmax("hourly_w", FEATS_A) + ",\n"
@@ -594,7 +619,7 @@ def _pipeline_seq_sql(hours: int, limit: int) -> str:
 @register("pipeline_sequences_24h_A", _pipeline_seq_sql(24, D.MAX_STEPS[24]))
 def q_pipeline_sequences_24h_A(spark, d):
     from . import pipeline
-    ev = events_pipeline(spark, d, 24, None)
+    ev = late_events_pipeline(spark, d, 24, None)
     seqs = pipeline.sequence_table(ev, _info(spark, d), hours=24, feature_set="A")
     total = F.aggregate(F.flatten("value"), F.lit(0.0), lambda acc, x: acc + x)
     return round_doubles(seqs.select("hadm_id", "num_stamps", total.alias("value_sum"), "hospital_expire_flag"))
@@ -680,7 +705,7 @@ def q_profile_summary(spark, d):
     f"SELECT '{c}' AS col_name, bool_or({c} IS NULL) AS has_null FROM hourly_raw"
     for c in ["hadm_id", "time"] + FEATS_A) + ") t")
 def q_null_audit(spark, d):
-    hourly = sequences.hourly_features(events_pipeline(spark, d, None, D.OUTLIER_RULES_15), FEATS_A)
+    hourly = sequences.hourly_features(late_events_pipeline(spark, d, SEQ_HOURS), FEATS_A)
     return profile.null_audit(hourly)
 
 
@@ -828,7 +853,7 @@ def q_roc_auc_rank(spark, d):
 def q_stream_clean_24h(spark, d):
     from ..streaming import ingest
     events = _events(spark, d)
-    stream = ingest.read_event_stream(spark, d, events.schema, glob="events.parquet")
+    stream = ingest.read_event_stream(spark, f"{d.rstrip('/')}/events.parquet", events.schema)
     cleaned = ingest.clean_event_stream(A.chart_from_events(stream), A.stays_from_events(events), 24,
                                         groups=A.EVENT_ITEM_GROUPS, unit_rules=A.EVENT_UNIT_RULES)
     base = scratch_path(spark, "stream-clean")

@@ -95,6 +95,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/{name}-{uuid.uuid4().hex}"
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder written by ``scratch_path`` users, on whatever file system it lies."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     try:
         return int(spark.conf.get("spark.sql.shuffle.partitions"))
