@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from icuflow.llm import chat, decontaminate, langid, minhash_dedup, quality_model, quality_rules, sentencepiece_codec, substring_dedup, suffix_dedup, urls
+from icuflow.llm import chat, decontaminate, langid, minhash_dedup, oracles, quality_model, quality_rules, sentencepiece_codec, substring_dedup, suffix_dedup, urls
 from icuflow.sources.tables import table as load
 
 
@@ -56,4 +56,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_chat_format": chat.SQL}
+    return {"op1_minhash_dedup": oracles.OP1, "op3_suffix_dedup": oracles.OP3, "op4_decontaminate": oracles.OP4,
+            "op6_chat_format": chat.SQL, "op8_substring_dedup": oracles.OP8}
