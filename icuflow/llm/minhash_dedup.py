@@ -45,6 +45,7 @@ NODE = 48
 DEPTH = 3
 ESTIMATE = 0.5
 ROUNDS = 6
+FIRST_NODES = 4
 PAIRS_A_COPY = 1000
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -201,7 +202,9 @@ def _small_pairs(nodes: DataFrame, reps: DataFrame, classes: DataFrame | None) -
 
 def _leader_pairs(large: DataFrame, classes: DataFrame | None, round_: int) -> DataFrame:
     """Members of large nodes with a leader of the node; members already in its class are done."""
-    rows = large if classes is None else large.join(classes, F.col("rep") == F.col("member"), "left")
+    # The first round takes a quarter of the nodes: each member lies in many, and what it links there
+    # need not be looked at again.  Later rounds take all of them.
+    rows = large.where(F.pmod("node", F.lit(FIRST_NODES)) == 0) if classes is None else large.join(classes, F.col("rep") == F.col("member"), "left")
     rows = rows.select("node", "rep", "n", (F.col("rep") if classes is None else F.coalesce("class", "rep")).alias("cls"))
     near = 4 * F.least("n", "leader.n") >= 3 * F.greatest("n", "leader.n")
     one = rows.groupBy("node").agg(F.min(F.struct("rep", "n", "cls")).alias("leader")).select(apart("node").alias("at"), "leader")
@@ -266,12 +269,16 @@ def near_duplicates(docs: DataFrame, percent: int = 75, shingle: int = SHINGLE,
     sketches = stage(texts.mapInArrow(_sketches(shingle), "doc_id long, n long, d1 long, d2 long, sig binary"), "minhash-sketches")
     reps = stage(sketches.where("n > 0").groupBy("n", "d1", "d2").agg(F.min("doc_id").alias("rep"), F.min("sig").alias("sig")), "minhash-reps")
     small, large = _tree_nodes(reps, trees)
-    links = tried = classes = sets = None
+    any_large = not large.isEmpty()
+    tried = classes = sets = None
     for round_ in range(1, ROUNDS + 1):
         found = stage(_small_pairs(small, reps, classes), "minhash-candidates") if round_ <= 2 else None
-        pairs = _leader_pairs(large, classes, round_)
-        if found is not None:
-            pairs = pairs.unionByName(found.where("u <> v"))
+        if round_ > 2 and not any_large:
+            break
+        pairs = found.where("u <> v") if found is not None else None
+        if any_large:
+            leaders = _leader_pairs(large, classes, round_)
+            pairs = leaders if pairs is None else pairs.unionByName(leaders)
         pairs = pairs.distinct()
         if tried is not None:
             pairs = pairs.join(tried.withColumnsRenamed({"u": "tu", "v": "tv"}), (F.col("u") == F.col("tu")) & (F.col("v") == F.col("tv")), "left_anti")
@@ -286,7 +293,7 @@ def near_duplicates(docs: DataFrame, percent: int = 75, shingle: int = SHINGLE,
         if round_ > 2 and new.isEmpty():
             break
         if round_ == 1 or not new.isEmpty():
-            links = new if links is None else links.unionByName(new)
+            links = new if classes is None else new.unionByName(classes.select(F.col("member").alias("u"), F.col("class").alias("v")))
             classes = components(links, "minhash-classes").withColumnsRenamed({"node": "member", "component": "class"})
     discard(sets, small, large)
     own = (sketches.where("n > 0").select("doc_id", "n", "d1", "d2")
