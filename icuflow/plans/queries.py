@@ -862,7 +862,7 @@ def q_stream_clean_24h(spark, d):
 
 
 def queries() -> dict[str, Query]:
-    from . import model_queries  # noqa: F401  (registers the model queries)
+    from . import clinical, model_queries  # noqa: F401  (they register their queries)
     return dict(QUERIES)
 
 
