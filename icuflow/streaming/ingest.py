@@ -22,7 +22,13 @@ from ..session import persist, shuffle_partitions
 
 def read_event_stream(spark: SparkSession, directory: str, schema, glob: str | None = None,
                       max_files_per_trigger: int | None = None) -> DataFrame:
-    """Parquet files under ``directory`` as an unbounded table (explicit schema)."""
+    """Parquet files under ``directory`` as an unbounded table (explicit schema).
+
+    A single file is read as the only match in its folder.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(directory)
+    if path.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(path).isFile():
+        directory, glob = path.getParent().toString(), path.getName()
     r = spark.readStream.schema(schema)
     if glob:
         r = r.option("pathGlobFilter", glob)
