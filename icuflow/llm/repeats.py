@@ -15,8 +15,8 @@ piece's content and its place, not the text.
 3. An anchor with more than ``GROUP_PIECES`` distinct pieces is not gathered:
    its windows are compared one by one, as an aggregation by a 128-bit hash of
    the window that Spark combines before the shuffle.
-4. Anchors that a sample shows to be frequent (at most ``HOT_KEYS`` of them,
-   by their share) are pre-aggregated by piece and joined back, so that no task
+4. Anchors that a sample shows to be frequent (they would fill a ``HOT_SHARE``-th of a
+   shuffle partition, so there are at most ``HOT_SHARE`` for each) are pre-aggregated by piece and joined back, so that no task
    gets all rows of an anchor.  The sample decides on this route only; the
    result is the same by either.
 """
@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from icuflow.llm.common import apart, discard, stage, text_groups
 
-HOT_KEYS = 2000
+HOT_SHARE = 2
 HOT_SAMPLE = 64
 HOT_LEAST = 16
 GROUP_PIECES = 10_000
@@ -167,11 +167,11 @@ def settle(rows: DataFrame) -> DataFrame:
     sampled = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(HOT_SAMPLE)) == 0)
     counts = sampled.groupBy("h").agg(F.count("*").alias("rows"))
     total = sampled.count()
-    # Keys with 1/HOT_KEYS of the sampled rows or more: never more than HOT_KEYS of them.
-    hot = [r["h"] for r in counts.where(F.col("rows") >= max(HOT_LEAST, total / HOT_KEYS)).select("h").limit(HOT_KEYS).collect()]
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    most = HOT_SHARE * parts  # keys with 1/most of the sampled rows or more: never more than that many
+    hot = [r["h"] for r in counts.where(F.col("rows") >= max(HOT_LEAST, total / most)).select("h").limit(most).collect()]
     is_hot = F.col("h").isin(hot) if hot else F.lit(False)
     cold = rows.where(~is_hot)
-    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     out = (cold.repartition(parts, "h").sortWithinPartitions("h", "ph", "doc_id", "start").mapInArrow(_settle, SETTLED_SCHEMA))
     if not hot:
         return out

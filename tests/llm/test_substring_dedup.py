@@ -62,6 +62,7 @@ def test_large_and_hot_groups_and_segments_give_the_same(spark, monkeypatch):
     assert got(substring_dedup.digest(df)) == want
     monkeypatch.setattr(repeats, "HOT_SAMPLE", 1)
     monkeypatch.setattr(repeats, "HOT_LEAST", 2)
+    monkeypatch.setattr(repeats, "HOT_SHARE", 10**6)
     assert got(substring_dedup.digest(df)) == want
     monkeypatch.setattr(repeats, "SEGMENT", 40)
     assert got(substring_dedup.digest(df)) == want

@@ -63,6 +63,7 @@ def test_large_and_hot_groups_give_the_same(spark, monkeypatch, pieces, hot):
     if hot == 1:
         monkeypatch.setattr(repeats, "HOT_SAMPLE", 1)
         monkeypatch.setattr(repeats, "HOT_LEAST", 2)
+        monkeypatch.setattr(repeats, "HOT_SHARE", 10**6)
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     assert got(suffix_dedup.digest(df)) == brute(rows, 100)
 
