@@ -15,8 +15,9 @@ def hourly_means(df: DataFrame, subject: str = "subject_id", hadm: str = "hadm_i
                  item: str = "itemid", time_col: str = "charttime", value: str = "value",
                  hour: str = "time") -> DataFrame:
     """F10 + A5: mean per (subject, admission, item, calendar hour)."""
-    return (df.withColumn(hour, hour_key(time_col))
-            .groupBy(subject, hadm, item, hour).agg(F.avg(value).alias(value)))
+    per = df.groupBy(subject, hadm, item, F.date_trunc("hour", time_col).alias("_hour")).agg(F.avg(value).alias("_mean"))
+    # The key is written as text once per group, not once per event.
+    return per.select(subject, hadm, item, hour_key("_hour").alias(hour), F.col("_mean").alias(value))
 
 
 def hourly_pivot(df: DataFrame, features: Sequence[str], hadm: str = "hadm_id", item: str = "itemid",
@@ -36,7 +37,8 @@ def hourly_features(df: DataFrame, features: Sequence[str], hadm: str = "hadm_id
     map-side partial aggregation instead of two exchanges.
     """
     aggs = [F.avg(F.when(F.col(item) == F.lit(f), F.col(value))).alias(f) for f in features]
-    return df.withColumn(hour, hour_key(time_col)).groupBy(hadm, hour).agg(*aggs)
+    per = df.groupBy(hadm, F.date_trunc("hour", time_col).alias("_hour")).agg(*aggs)
+    return per.select(hadm, hour_key("_hour").alias(hour), *features)
 
 
 def add_demographics(hourly: DataFrame, patients_info: DataFrame, hadm: str = "hadm_id",
