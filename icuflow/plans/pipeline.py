@@ -38,8 +38,8 @@ def prepare_events(patients: DataFrame, admissions: DataFrame, icustays: DataFra
     * typing: null drop, category codes, double parse, unit conversion;
     * set A uses chart only, set B adds labs; items become feature groups.
     """
-    info = cohort.select_cohort(patients, admissions, icustays, min_age)
-    stays = cohort.stay_start(icustays, info)
+    started = cohort.cohort_with_start(patients, admissions, icustays, min_age)
+    info, stays = started.drop("intime"), started.select("subject_id", "hadm_id", "intime")
     cols = list(clean.EVENT_COLUMNS)
 
     chart_w = windows.chart_window(chart, stays, hours, chart_items)
@@ -124,8 +124,8 @@ def run_preparation(spark, data_dir: str, out_dir: str, fmt: str = "csv", single
     from ..sources.csv import write_csv, write_stage
     t = load_raw_tables(spark, data_dir)
     scratch = scratch_path(spark, "preparation")
-    info = write_stage(cohort.select_cohort(t["patients"], t["admissions"], t["icustays"], min_age), f"{scratch}/info")
-    stays = write_stage(cohort.stay_start(t["icustays"], info), f"{scratch}/stays")
+    started = write_stage(cohort.cohort_with_start(t["patients"], t["admissions"], t["icustays"], min_age), f"{scratch}/cohort")
+    info, stays = started.drop("intime"), started.select("subject_id", "hadm_id", "intime")
     out = out_dir.rstrip("/")
     paths: dict[str, str] = {}
 
