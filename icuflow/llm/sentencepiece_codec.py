@@ -39,7 +39,7 @@ from icuflow.llm.common import GROUP_BYTES, keyed_texts, null_ids
 
 MODEL = os.environ.get("SENTENCEPIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
 MARK = "▁"
-CACHE_WORDS = 400_000
+CACHE_WORDS = 800_000
 CELLS = 1 << 17
 _NEVER = np.int64(1 << 40)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -173,8 +173,8 @@ class Pairs:
         return ok
 
 
-def encode_equal(v: Vocabulary, codes: np.ndarray, pairs: Pairs | None = None) -> list[list[int]]:
-    """Piece ids of words of one length; codes: words x characters."""
+def encode_equal(v: Vocabulary, codes: np.ndarray, pairs: Pairs | None = None) -> list[bytes]:
+    """Piece ids (32-bit) of words of one length; codes: words x characters."""
     n, length = codes.shape
     pairs = pairs or Pairs(v)
     most = min(v.longest, length)
@@ -208,18 +208,20 @@ def encode_equal(v: Vocabulary, codes: np.ndarray, pairs: Pairs | None = None) -
     while end.any():
         steps.append(np.where(end > 0, last[end, rows], -1))
         end = end - back[end, rows]
-    path = np.stack(steps[::-1], 1) if steps else np.zeros((n, 0), np.int32)
-    out = [ids[ids.count(-1):] for ids in path.tolist()]
+    path = np.stack(steps[::-1], 1).astype(np.int32) if steps else np.zeros((n, 0), np.int32)
+    raw, wide = path.tobytes(), 4 * path.shape[1]
+    empty = 4 * (path < 0).sum(1)
+    out = [raw[w * wide + k:(w + 1) * wide] for w, k in enumerate(empty.tolist())]
     for w in np.flatnonzero((path == v.unknown).any(1)).tolist():
         ids, at = [], 0
-        for p in out[w]:
+        for p in np.frombuffer(out[w], np.int32).tolist():
             if p == v.unknown:
                 ids.extend(v.byte_ids[list(chr(int(codes[at, w])).encode("utf-8", "surrogatepass"))].tolist())
                 at += 1
             else:
                 ids.append(p)
                 at += len(v.pieces[p])
-        out[w] = ids
+        out[w] = np.array(ids, np.int32).tobytes()
     return out
 
 
@@ -247,13 +249,43 @@ class Encoder:
                 codes = np.frombuffer("".join(some).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(len(some), length).astype(np.uint64)
                 self.seen.update(zip(some, encode_equal(self.v, codes, self.pairs), strict=True))
 
-    def encode(self, texts: list[str | None]) -> list[list[int] | None]:
+    def encode_raw(self, texts: list[str | None]) -> list[bytes | None]:
+        """The ids of each text as 32-bit integers."""
         split = [self.words(t or "") for t in texts]
         if len(self.seen) > CACHE_WORDS:
             self.seen = {}
         self.learn({w for ws in split for w in ws} - self.seen.keys())
-        seen = self.seen
-        return [None if t is None else [i for w in ws for i in seen[w]] for t, ws in zip(texts, split, strict=True)]
+        known = self.seen.__getitem__
+        return [None if t is None else b"".join(map(known, ws)) for t, ws in zip(texts, split, strict=True)]
+
+    def encode(self, texts: list[str | None]) -> list[list[int] | None]:
+        return [None if r is None else np.frombuffer(r, np.int32).tolist() for r in self.encode_raw(texts)]
+
+
+def _id_lists(raws: list[bytes | None]) -> pa.ListArray:
+    offsets = np.concatenate([[0], np.cumsum([len(r) // 4 if r is not None else 0 for r in raws])]).astype(np.int32)
+    flat = np.frombuffer(b"".join(r for r in raws if r is not None), np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat, pa.int32()), mask=pa.array([r is None for r in raws], pa.bool_()))
+
+
+class Decoder:
+    """Texts of id sequences: one table look-up per id, except where several bytes make a character."""
+
+    def __init__(self, v: Vocabulary):
+        self.v, n = v, len(v.pieces)
+        self.text = [" " if p == MARK else p.replace(MARK, " ") for p in v.pieces]
+        self.by_run = np.zeros(n, bool)  # bytes of 0x80 and more
+        for i in np.flatnonzero(v.special).tolist():
+            self.text[i] = ""
+        for i, b in v.byte_of.items():
+            self.text[i] = chr(b)
+            self.by_run[i] = b >= 0x80
+
+    def decode(self, ids: np.ndarray) -> str:
+        if len(ids) and (ids.min() < 0 or ids.max() >= len(self.text) or self.by_run[ids].any()):
+            return decode_ids(self.v, ids.tolist())
+        text = "".join(map(self.text.__getitem__, ids.tolist()))
+        return text[1:] if self.v.dummy_prefix and text.startswith(" ") else text
 
 
 def decode_ids(v: Vocabulary, ids: list[int] | None) -> str | None:
@@ -299,8 +331,8 @@ def encode(docs: DataFrame, model: str = MODEL, id_col: str = "doc_id", text_col
         for b in batches:
             first = 0
             for texts in _in_groups(b.column(1)):
-                ids = encoder.encode(texts.to_pylist())
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(first, len(texts)), pa.array(ids, pa.list_(pa.int32()))], names=["doc_id", "ids"])
+                ids = _id_lists(encoder.encode_raw(texts.to_pylist()))
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(first, len(texts)), ids], names=["doc_id", "ids"])
                 first += len(texts)
 
     return null_ids(keyed_texts(docs, id_col, text_col).mapInArrow(run, "doc_id long, ids array<int>"))
@@ -311,11 +343,11 @@ def decode(encoded: DataFrame, model: str = MODEL, id_col: str = "doc_id", ids_c
     shared = encoded.sparkSession.sparkContext.broadcast(vocabulary(model))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        v = shared.value
+        decoder = Decoder(shared.value)
         for b in batches:
             for k in range(0, b.num_rows, 256):
                 part = b.slice(k, 256)
-                text = [decode_ids(v, x) for x in part.column(1).to_pylist()]
+                text = [decoder.decode(x.values.to_numpy(zero_copy_only=False)) if x.is_valid else None for x in part.column(1)]
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(text, pa.string())], names=["doc_id", "ids", "text"])
 
     return encoded.select(F.col(id_col).alias("doc_id"), F.col(ids_col).alias("ids")).mapInArrow(run, "doc_id long, ids array<int>, text string")
@@ -329,18 +361,19 @@ def tokenize(docs: DataFrame, model: str = MODEL, text_col: str = "text") -> Dat
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(shared.value)
+        encoder, decoder = Encoder(shared.value), Decoder(shared.value)
         for b in batches:
             first = 0
             for texts in _in_groups(b.column(at)):
                 texts = texts.to_pylist()
-                ids = encoder.encode(texts)
+                ids = encoder.encode_raw(texts)
+                back = [None if r is None else decoder.decode(np.frombuffer(r, np.int32)) for r in ids]
                 part = b.slice(first, len(texts))
                 first += len(texts)
                 yield pa.RecordBatch.from_arrays(
                     [part.column(k) for k in range(part.num_columns)]
-                    + [pa.array(ids, pa.list_(pa.int32())), pa.array([len(x or ()) for x in ids], pa.int64()),
-                       pa.array([decode_ids(encoder.v, x) == t for x, t in zip(ids, texts, strict=True)], pa.bool_())],
+                    + [_id_lists(ids), pa.array([len(x or b"") // 4 for x in ids], pa.int64()),
+                       pa.array([x == t for x, t in zip(back, texts, strict=True)], pa.bool_())],
                     names=[*b.schema.names, "ids", "n_tokens", "round_trip"])
 
     schema = T.StructType([*docs.schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType())),
