@@ -1,4 +1,4 @@
-"""Global positions and running sums over a total order, fully distributed.
+"""Global positions over a total order, fully distributed.
 
 Spark's window functions without ``PARTITION BY`` move every row into one
 task (H13).  This operator instead:
@@ -9,19 +9,16 @@ task (H13).  This operator instead:
    job sees identical partitions even after an executor is lost;
 3. aggregates one total row per partition (at most ``num_partitions`` rows,
    a bounded summary) and turns them into per-partition offsets;
-4. adds offsets and local running sums in each partition with Arrow
-   batches (``mapInPandas``), without another shuffle.
+4. adds offset and local position inside the JVM, without another shuffle.
 
-Used for exact positional splits, stratified folds, ROC curves, AUC and
-exact quartiles.
+Used for splits and folds along orders other than (hash, key), and for the
+quantiles that histogram refinement leaves open.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
-import numpy as np
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -53,18 +50,15 @@ def partitions_for(rows: int | None, spark) -> int:
     return max(1, by_size, by_cores)
 
 
-def with_prefix(df: DataFrame, order: Sequence[Column | str], sums: Mapping[str, Column | str] | None = None,
-                index_col: str = "pos", num_partitions: int | None = None, rows: int | None = None,
+def with_prefix(df: DataFrame, order: Sequence[Column | str], index_col: str = "pos", num_partitions: int | None = None, rows: int | None = None,
                 unique_order: bool = False) -> DataFrame:
-    """Add a 0-based global ``index_col`` along ``order`` and inclusive running sums.
+    """Add a 0-based global ``index_col`` along ``order``.
 
-    ``sums`` maps output name -> numeric column; nulls count as 0.  Put a
-    unique tie-breaker last in ``order`` when positions must be reproducible.
+    Put a unique tie-breaker last in ``order`` when positions must be reproducible.
     ``rows`` (if known) sizes the range partitions.  ``unique_order=True``
     states that no two rows tie on ``order`` (e.g. one row per key after a
     group-by), which makes the row-id tie-breaker unnecessary.
     """
-    sums = dict(sums or {})
     n = num_partitions or partitions_for(rows, df.sparkSession)
     # A row id as last sort key: rows that tie on ``order`` (a hot value may
     # hold a third of the data) still get distinct range keys, so the range
@@ -79,64 +73,25 @@ def with_prefix(df: DataFrame, order: Sequence[Column | str], sums: Mapping[str,
         sortable = [f.name for f in df.schema.fields if isinstance(f.dataType, _ORDERABLE) and f.name not in named]
         base = df.sortWithinPartitions(*order, *sortable).withColumn("_tb", F.monotonically_increasing_id())
         order = [*order, F.col("_tb")]
-    out_types = {}
-    for name, col in sums.items():
-        c = F.col(col) if isinstance(col, str) else col
-        base = base.withColumn(f"_v_{name}", c)
-        dt = base.schema[f"_v_{name}"].dataType
-        integral = isinstance(dt, (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.BooleanType))
-        out_types[name] = T.LongType() if integral else T.DoubleType()
-        base = base.withColumn(f"_v_{name}", F.coalesce(F.col(f"_v_{name}").cast(out_types[name]), F.lit(0).cast(out_types[name])))
     ranged = reliable_checkpoint(base.repartitionByRange(n, *order).sortWithinPartitions(*order)).drop("_tb")
 
     totals = (ranged.groupBy(F.spark_partition_id().alias("_pid"))
-              .agg(F.count(F.lit(1)).alias("_n"), *[F.sum(f"_v_{k}").alias(f"_t_{k}") for k in sums])
-              .collect())
+              .agg(F.count(F.lit(1)).alias("_n")).collect())
     totals = sorted(totals, key=lambda r: r["_pid"])
-    offsets: dict[int, tuple[int, dict[str, float]]] = {}
-    run_n, run_s = 0, {k: 0 for k in sums}
+    offsets: dict[int, int] = {}
+    run = 0
     for r in totals:
-        offsets[r["_pid"]] = (run_n, dict(run_s))
-        run_n += r["_n"]
-        for k in sums:
-            run_s[k] += r[f"_t_{k}"] or 0
-
-    if not sums:
-        # Positions only: stay in the JVM.  Inside a checkpointed partition the
-        # row order is fixed, so monotonically_increasing_id() encodes
-        # (partition id << 33) + local position deterministically.  The
-        # offsets table has one row per partition (bounded by the partition
-        # count), so broadcasting it is safe at any data size.
-        offs = ranged.sparkSession.createDataFrame(
-            [(int(p), int(o)) for p, (o, _) in offsets.items()], "_pid int, _off long")
-        with_id = (ranged.withColumn("_mid", F.monotonically_increasing_id())
-                   .withColumn("_pid", F.shiftright(F.col("_mid"), 33).cast("int")))
-        local = F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1))
-        return (with_id.join(F.broadcast(offs), on="_pid", how="left")
-                .withColumn(index_col, (F.coalesce(F.col("_off"), F.lit(0)) + local).cast("long"))
-                .drop("_mid", "_pid", "_off"))
-
-    value_cols = [f"_v_{k}" for k in sums]
-    fields = [f for f in ranged.schema.fields if f.name not in value_cols]
-    schema = T.StructType(fields + [T.StructField(index_col, T.LongType(), False)]
-                          + [T.StructField(k, out_types[k], False) for k in sums])
-    names = [f.name for f in schema.fields]
-    kinds = dict(out_types)
-
-    def add_positions(batches):
-        pid = TaskContext.get().partitionId()
-        pos, running = offsets.get(pid, (0, {k: 0 for k in kinds}))
-        running = dict(running)
-        for pdf in batches:
-            m = len(pdf)
-            pdf[index_col] = np.arange(pos, pos + m, dtype=np.int64)
-            pos += m
-            for k, kind in kinds.items():
-                vals = pdf[f"_v_{k}"].to_numpy(dtype=np.int64 if isinstance(kind, T.LongType) else np.float64)
-                cs = np.cumsum(vals) + running[k]
-                if m:
-                    running[k] = cs[-1]
-                pdf[k] = cs
-            yield pdf[names]
-
-    return ranged.mapInPandas(add_positions, schema)
+        offsets[r["_pid"]] = run
+        run += r["_n"]
+
+    # Inside a checkpointed partition the row order is fixed, so
+    # monotonically_increasing_id() encodes (partition id << 33) + local
+    # position deterministically.  The offsets table has one row per partition
+    # (bounded by the partition count), so broadcasting it is safe at any size.
+    offs = ranged.sparkSession.createDataFrame([(int(p), int(o)) for p, o in offsets.items()], "_pid int, _off long")
+    with_id = (ranged.withColumn("_mid", F.monotonically_increasing_id())
+               .withColumn("_pid", F.shiftright(F.col("_mid"), 33).cast("int")))
+    local = F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1))
+    return (with_id.join(F.broadcast(offs), on="_pid", how="left")
+            .withColumn(index_col, (F.coalesce(F.col("_off"), F.lit(0)) + local).cast("long"))
+            .drop("_mid", "_pid", "_off"))
