@@ -30,17 +30,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from icuflow.llm import repeats as R
-from icuflow.llm.common import GROUP_BYTES, keyed_texts, null_ids
+from icuflow.llm.common import keyed_texts, null_ids
 
 MODEL = os.environ.get("SENTENCEPIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
 MARK = "▁"
 CACHE_WORDS = 800_000
-CELLS = 1 << 17
+CELLS = 1 << 19
+# Texts are encoded in groups of about this many characters: more new words of a length advance together.
+GROUP_CHARS = 4 << 20
 _NEVER = np.int64(1 << 40)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -229,7 +232,9 @@ class Encoder:
     """Encodes texts; remembers up to CACHE_WORDS words, which changes the speed only."""
 
     def __init__(self, v: Vocabulary):
-        self.v, self.pairs, self.seen = v, Pairs(v), {}
+        self.v, self.pairs = v, Pairs(v)
+        self.seen: dict[str, bytes] = {}  # by the word with its marks
+        self.plain: dict[str, bytes] = {}  # by the word without its one mark
         self.split = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+", re.S) if v.words_split else re.compile(".+", re.S)
 
     def words(self, text: str) -> list[str]:
@@ -238,7 +243,7 @@ class Encoder:
         text = text.replace(" ", MARK)
         return self.split.findall(MARK + text if self.v.dummy_prefix else text)
 
-    def learn(self, new: set[str]) -> None:
+    def learn(self, new: set[str]) -> Iterator[tuple[str, bytes]]:
         by: dict[int, list[str]] = {}
         for w in new:
             by.setdefault(len(w), []).append(w)
@@ -247,16 +252,21 @@ class Encoder:
             for k in range(0, len(ws), step):
                 some = ws[k:k + step]
                 codes = np.frombuffer("".join(some).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(len(some), length).astype(np.uint64)
-                self.seen.update(zip(some, encode_equal(self.v, codes, self.pairs), strict=True))
+                yield from zip(some, encode_equal(self.v, codes, self.pairs), strict=True)
 
     def encode_raw(self, texts: list[str | None]) -> list[bytes | None]:
-        """The ids of each text as 32-bit integers."""
-        split = [self.words(t or "") for t in texts]
-        if len(self.seen) > CACHE_WORDS:
-            self.seen = {}
-        self.learn({w for ws in split for w in ws} - self.seen.keys())
-        known = self.seen.__getitem__
-        return [None if t is None else b"".join(map(known, ws)) for t, ws in zip(texts, split, strict=True)]
+        """The ids of each text as 32-bit integers.  Where single spaces part the words, they are split
+        at them and stand for themselves with one mark; else the marks are written and matched."""
+        if len(self.seen) + len(self.plain) > CACHE_WORDS:
+            self.seen, self.plain = {}, {}
+        simple = self.v.dummy_prefix and self.v.words_split
+        split = [(self.plain, t.split(" ")) if simple and t and "  " not in t and t[0] != " " and t[-1] != " " and MARK not in t
+                 else (self.seen, self.words(t or "")) for t in texts]
+        marked = set().union(*[ws for of, ws in split if of is self.seen]).difference(self.seen)
+        single = set().union(*[ws for of, ws in split if of is self.plain]).difference(self.plain)
+        self.seen.update(self.learn(marked))
+        self.plain.update((w[1:], ids) for w, ids in self.learn({MARK + w for w in single}))
+        return [None if t is None else b"".join(map(of.__getitem__, ws)) for t, (of, ws) in zip(texts, split, strict=True)]
 
     def encode(self, texts: list[str | None]) -> list[list[int] | None]:
         return [None if r is None else np.frombuffer(r, np.int32).tolist() for r in self.encode_raw(texts)]
@@ -308,11 +318,11 @@ def decode_ids(v: Vocabulary, ids: list[int] | None) -> str | None:
 
 
 def _in_groups(column: pa.Array) -> Iterator[pa.Array]:
-    """Slices of about GROUP_BYTES of text."""
-    sizes = np.cumsum([len(t) if t is not None else 0 for t in column.to_pylist()]) if len(column) else np.zeros(0)
+    """Slices of about GROUP_CHARS of text."""
+    sizes = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64))
     first = 0
     while first < len(column):
-        last = max(first + 1, int(np.searchsorted(sizes, (sizes[first - 1] if first else 0) + GROUP_BYTES, side="right")))
+        last = max(first + 1, int(np.searchsorted(sizes, (sizes[first - 1] if first else 0) + GROUP_CHARS, side="right")))
         yield column.slice(first, last - first)
         first = last
 
