@@ -10,8 +10,6 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from icuflow.session import scratch_path
-
 # Texts are processed in groups of about this many bytes, so that the arrays a
 # task holds stay small however many rows Spark puts in an Arrow batch.  One
 # longer text forms a group of its own and is still processed whole.
@@ -70,6 +68,7 @@ def row_filter(df: DataFrame, text_col: str, judge, setup=lambda: None) -> DataF
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the cluster's shared folder and read it back: lineage is cut, and a
     lost executor costs a re-read.  Shuffle files of the finished job are then released."""
+    from icuflow.session import scratch_path  # only here: tasks load this module without the rest of the library
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
