@@ -25,12 +25,14 @@ from __future__ import annotations
 
 import functools
 import os
+import pickle
 import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -332,12 +334,17 @@ def vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)
 
 
+def _share(spark, model: str):
+    """The vocabulary as a broadcast; its class goes with it, so that tasks need not import this package."""
+    return spark.sparkContext.broadcast(cloudpickle.dumps(vocabulary(model)))
+
+
 def encode(docs: DataFrame, model: str = MODEL, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, ids) of every whole text."""
-    shared = docs.sparkSession.sparkContext.broadcast(vocabulary(model))
+    shared = _share(docs.sparkSession, model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(shared.value)
+        encoder = Encoder(pickle.loads(shared.value))
         for b in batches:
             first = 0
             for texts in _in_groups(b.column(1)):
@@ -350,10 +357,10 @@ def encode(docs: DataFrame, model: str = MODEL, id_col: str = "doc_id", text_col
 
 def decode(encoded: DataFrame, model: str = MODEL, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
     """(doc_id, ids, text): the text that the ids stand for."""
-    shared = encoded.sparkSession.sparkContext.broadcast(vocabulary(model))
+    shared = _share(encoded.sparkSession, model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        decoder = Decoder(shared.value)
+        decoder = Decoder(pickle.loads(shared.value))
         for b in batches:
             for k in range(0, b.num_rows, 256):
                 part = b.slice(k, 256)
@@ -366,12 +373,13 @@ def decode(encoded: DataFrame, model: str = MODEL, id_col: str = "doc_id", ids_c
 def tokenize(docs: DataFrame, model: str = MODEL, text_col: str = "text") -> DataFrame:
     """The documents, unchanged, with ids, n_tokens and round_trip (decoding gives the text back); columns
     that bear these names already are replaced."""
-    shared = docs.sparkSession.sparkContext.broadcast(vocabulary(model))
+    shared = _share(docs.sparkSession, model)
     docs = docs.drop("ids", "n_tokens", "round_trip")
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, decoder = Encoder(shared.value), Decoder(shared.value)
+        v = pickle.loads(shared.value)
+        encoder, decoder = Encoder(v), Decoder(v)
         for b in batches:
             first = 0
             for texts in _in_groups(b.column(at)):
