@@ -14,9 +14,12 @@ an estimate of 0.5).  Candidates are confirmed on the full sets.  Only the
 classes matter, so comparing goes in rounds: first each member with its most
 similar predecessor; then, with the confirmed classes known, every candidate
 pair that still crosses classes.  Nodes that stay large at ``DEPTH`` (big groups
-of near copies) are compared with a leader of the node, and members outside the
-leader's class with further leaders, in rounds until nothing new is found; each
-member meets leaders in every tree and branch it lies in.
+of near copies) are first compared with leaders of the node, in up to ``ROUNDS``
+rounds; this only joins classes cheaply.  Then every pair of members of a large
+node that still crosses classes is compared as in small nodes, in blocks dealt to
+tasks: signatures give the groups that candidate pairs connect, and inside these
+the full sets are intersected.  Only pairs within a node's or group's most
+frequent class are left out, so the work grows with what is still open.
 
 Defined cases: a text that is null or has no words has an empty set and is its
 own class; fewer words than a shingle are one shingle; rows repeating a doc_id
@@ -30,7 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from icuflow.llm import repeats as R
@@ -47,6 +50,11 @@ ESTIMATE = 0.5
 ROUNDS = 6
 FIRST_NODES = 4
 PAIRS_A_COPY = 1000
+# A block of members of a large node, and of shingles (a member counts MEMBER more) compared at once.
+BLOCK_MEMBERS = 1024
+BLOCK_SHINGLES = 1 << 19
+MEMBER = 512
+COLUMNS = 2048
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _CODES = R.mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
@@ -261,6 +269,147 @@ def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.mapInArrow(run, "u long, v long")
 
 
+def _open_nodes(large: DataFrame, classes: DataFrame) -> DataFrame:
+    """(grp, k, rep, n, cls) of the large nodes whose members are of several classes; nodes of equal members once."""
+    rows = (large.join(classes, F.col("rep") == F.col("member"), "left")
+            .select(F.col("node").alias("grp"), _size_class().alias("k"), "rep", "n", F.coalesce("class", "rep").alias("cls")))
+    nodes = (rows.groupBy("grp").agg(F.min("cls").alias("low"), F.max("cls").alias("high"), F.count("*").alias("members"),
+                                     F.bit_xor(F.xxhash64("rep")).alias("x1"), F.bit_xor(F.xxhash64("rep", F.lit(1))).alias("x2"))
+             .where("low < high").groupBy("members", "x1", "x2").agg(F.min("grp").alias("at")).select(apart("at").alias("at")))
+    return rows.join(nodes, apart("grp") == F.col("at")).drop("at")
+
+
+def _size_class() -> Column:
+    # Sets of similarity 2/3 or more differ in size by less than 1.5: they are of the same or adjacent classes.
+    return F.floor(F.log("n") / np.log(1.5)).cast("long")
+
+
+def _block_pairs(rows: DataFrame, weight: Column, limit: int) -> DataFrame:
+    """The rows (grp, k, cls, rep, n) under each pair of blocks they are in: (pair, side, rep, n, cls).  Blocks are
+    parts of a group's size class of bounded weight; blocks of its most frequent class do not meet each other."""
+    main = (rows.groupBy("grp", "cls").agg(F.count("*").alias("c")).groupBy("grp").agg(F.max_by("cls", F.struct("c", "cls")).alias("most"))
+            .select(apart("grp").alias("at"), "most"))
+    rows = rows.join(main, apart("grp") == F.col("at")).withColumn("main", F.col("cls") == F.col("most"))
+    rows = stage(rows.select(F.xxhash64("grp", "k", "main").alias("unit"), "grp", "k", "main", "rep", "n", "cls"), "minhash-open")
+    units = rows.groupBy("unit", "grp", "k", "main").agg(F.ceil(F.sum(weight) / limit).cast("long").alias("blocks"))
+    blocks = units.select("grp", "k", "main", F.explode(F.transform(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1),
+                                                                    lambda i: F.xxhash64("unit", i))).alias("one"))
+    other = blocks.select(F.col("grp").alias("grp2"), F.explode(F.array("k", F.col("k") - 1)).alias("k2"), F.col("k").alias("own"),
+                          F.col("main").alias("main2"), F.col("one").alias("two"))
+    pairs = stage(blocks.join(other, (F.col("grp") == F.col("grp2")) & (F.col("k") == F.col("k2")))
+                  .where(~(F.col("main") & F.col("main2")) & ((F.col("own") > F.col("k")) | (F.col("one") <= F.col("two"))))
+                  .select("one", "two", F.xxhash64("one", "two").alias("pair")), "minhash-blocks")
+    rows = (rows.join(units.select(apart("unit").alias("at"), "blocks"), apart("unit") == F.col("at"))
+            .select(F.xxhash64("unit", F.pmod(F.xxhash64("rep"), F.col("blocks"))).alias("block"), "rep", "n", "cls"))
+    sides = (pairs.select(F.col("one").alias("at"), "pair", F.lit(0).cast("long").alias("side"))
+             .unionByName(pairs.where("one <> two").select(F.col("two").alias("at"), "pair", F.lit(1).cast("long").alias("side"))))
+    return rows.join(sides, F.col("block") == F.col("at")).select("pair", "side", "rep", "n", "cls")
+
+
+def _stars(likes):
+    """Over rows (pair, side, rep, n, cls, bytes) sorted by pair: links (u, v) that connect what ``likes`` connects,
+    each member with one other of its group at most."""
+    def links(side, rep, n, cls, held):
+        a, b = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+        b = b if len(b) else a
+        if not len(a):
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        some = (cls[a][:, None] != cls[b][None, :]) & (rep[a][:, None] != rep[b][None, :])
+        ok = np.zeros((len(rep), len(rep)), bool)
+        if some.any():
+            ok[np.ix_(a, b)] = some & likes(n[a], n[b], [held[k] for k in a], [held[k] for k in b])
+        ok |= ok.T
+        label = np.full(len(rep), -1)
+        for k in np.flatnonzero(ok.any(1)):
+            if label[k] < 0:
+                label[k], front = k, np.array([k])
+                while len(front):
+                    front = np.flatnonzero(ok[front].any(0) & (label < 0))
+                    label[front] = k
+        linked = np.flatnonzero((label >= 0) & (label != np.arange(len(rep))))
+        return rep[label[linked]], rep[linked]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def out(cols):
+            u, v = links(*cols)
+            return pa.RecordBatch.from_arrays([R.long_array(u), R.long_array(v)], names=["u", "v"])
+
+        pair, held = None, None
+        for b in batches:
+            if b.num_rows == 0:
+                continue
+            key = b.column(0).to_numpy()
+            cols = [b.column(k).to_numpy() for k in range(1, 5)]
+            bytes_ = b.column(5).to_pylist()
+            cut = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1], [True]]))
+            for x, y in zip(cut[:-1], cut[1:], strict=True):
+                part = [*(c[x:y] for c in cols), bytes_[x:y]]
+                if held is not None and pair == key[x]:
+                    held = [*(np.concatenate([p, q]) for p, q in zip(held[:4], part[:4], strict=True)), held[4] + part[4]]
+                    continue
+                if held is not None:
+                    yield out(held)
+                pair, held = key[x], part
+        if held is not None:
+            yield out(held)
+    return run
+
+
+def _alike(percent: int):
+    """Estimate and size of two lists of signatures, as for the members of a small node."""
+    def likes(n, m, x, y):
+        x, y = (np.frombuffer(b"".join(z), np.uint32).reshape(len(z), COORDINATES) for z in (x, y))
+        same = np.zeros((len(x), len(y)), np.uint8)
+        for k in range(COORDINATES):
+            same += x[:, k, None] == y[None, :, k]
+        return (same >= ESTIMATE * COORDINATES) & (100 * np.minimum(n[:, None], m[None, :]) >= percent * np.maximum(n[:, None], m[None, :]))
+    return likes
+
+
+def _similar(percent: int):
+    """100 * intersection >= percent * union, on two lists of full sets."""
+    def likes(n, m, x, y):
+        sets = [np.frombuffer(z, np.uint64) for z in x + y]
+        owner = np.repeat(np.arange(len(sets)), [len(z) for z in sets])
+        _, column, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        again = times[column] > 1
+        owner, column = owner[again], (np.cumsum(times > 1) - 1)[column[again]]
+        order = np.argsort(column, kind="stable")
+        owner, column = owner[order], column[order]
+        common = np.zeros((len(x), len(y)), np.int64)
+        last = int(column[-1]) + 1 if len(column) else 0
+        for c in range(0, last, COLUMNS):  # dense products of 0 and 1: exact
+            i, j = np.searchsorted(column, [c, c + COLUMNS])
+            dense = np.zeros((len(sets), COLUMNS), np.float32)
+            dense[owner[i:j], column[i:j] - c] = 1
+            common += (dense[:len(x)] @ dense[len(x):].T).astype(np.int64)
+        return 100 * common >= percent * (n[:, None] + m[None, :] - common)
+    return likes
+
+
+def _open_links(open_: DataFrame, reps: DataFrame, classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links that connect all pairs of ``open_`` of different classes and a similarity of ``percent`` or more."""
+    parts = int(open_.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def compared(rows, weight, limit, content, likes):
+        met = _block_pairs(rows, weight, limit).join(content, F.col("rep") == F.col("r"))
+        return (met.select("pair", "side", "rep", "n", "cls", "held").repartition(parts, "pair").sortWithinPartitions("pair")
+                .mapInArrow(_stars(likes), "u long, v long"))
+
+    maybe = compared(open_, F.lit(1), BLOCK_MEMBERS, reps.select(F.col("rep").alias("r"), F.col("sig").alias("held")), _alike(percent))
+    groups = components(maybe, "minhash-groups")
+    rows = (groups.join(reps.select("rep", "n"), F.col("node") == F.col("rep"))
+            .join(classes, F.col("rep") == F.col("member"), "left")
+            .select(F.col("component").alias("grp"), _size_class().alias("k"), "rep", "n", F.coalesce("class", "rep").alias("cls")))
+    return compared(rows, F.col("n") + MEMBER, BLOCK_SHINGLES, sets.select(F.col("rep").alias("r"), F.col("set").alias("held")), _similar(percent))
+
+
+def _joined(links: DataFrame, classes: DataFrame | None) -> DataFrame:
+    if classes is not None:
+        links = links.unionByName(classes.select(F.col("member").alias("u"), F.col("class").alias("v")))
+    return components(links, "minhash-classes").withColumnsRenamed({"node": "member", "component": "class"})
+
+
 def near_duplicates(docs: DataFrame, percent: int = 75, shingle: int = SHINGLE, trees: int = TREES,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document: n_shingles, component_id (smallest doc_id reachable over confirmed links), kept.
@@ -293,8 +442,13 @@ def near_duplicates(docs: DataFrame, percent: int = 75, shingle: int = SHINGLE,
         if round_ > 2 and new.isEmpty():
             break
         if round_ == 1 or not new.isEmpty():
-            links = new if classes is None else new.unionByName(classes.select(F.col("member").alias("u"), F.col("class").alias("v")))
-            classes = components(links, "minhash-classes").withColumnsRenamed({"node": "member", "component": "class"})
+            classes = _joined(new, classes)
+    if any_large:  # the rounds' draws may have missed pairs: compare all that still cross classes
+        open_ = stage(_open_nodes(large, classes), "minhash-open-nodes")
+        if not open_.isEmpty():
+            new = stage(_open_links(open_, reps, classes, sets, percent), "minhash-links")
+            if not new.isEmpty():
+                classes = _joined(new, classes)
     discard(sets, small, large)
     own = (sketches.where("n > 0").select("doc_id", "n", "d1", "d2")
            .join(reps.select(F.col("n").alias("rn"), F.col("d1").alias("r1"), F.col("d2").alias("r2"), "rep"),

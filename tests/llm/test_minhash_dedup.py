@@ -84,6 +84,33 @@ def test_large_nodes_match_all_pairs(spark, monkeypatch):
     assert got(minhash_dedup.near_duplicates(df)) == brute(rows)
 
 
+def family(members, planted):
+    """Members of similarity 196 / 272 = 0.72 to each other: a common text with a tail each; of each planted pair
+    the tails share 6 to 9 words, for 0.76 to 0.78."""
+    base = " ".join(f"b{i}" for i in range(200))
+    rows = []
+    for k in range(members):
+        tail = [f"t{k}x{i}" for i in range(38)]
+        if k % 2 and k // 2 < planted:
+            shared = 6 + k // 2 % 4
+            tail[:shared] = [f"t{k - 1}x{i}" for i in range(shared)]
+        rows.append((k, base + " " + " ".join(tail)))
+    random.Random(5).shuffle(rows)
+    return rows
+
+
+@pytest.mark.parametrize("block", [1024, 100])
+def test_pairs_that_meet_only_in_large_nodes(spark, monkeypatch, block):
+    monkeypatch.setattr(minhash_dedup, "BLOCK_MEMBERS", block)
+    monkeypatch.setattr(minhash_dedup, "BLOCK_SHINGLES", block * 700)
+    few = family(40, 6)
+    assert sum(c != d for d, (_, c, _) in brute(few).items()) == 6
+    members, planted = 700, 60
+    df = spark.createDataFrame(family(members, planted), "doc_id long, text string").repartition(3)
+    want = {k: (234, k - (k % 2 if k // 2 < planted else 0)) for k in range(members)}
+    assert {d: x[:2] for d, x in got(minhash_dedup.near_duplicates(df)).items()} == want
+
+
 def test_empty_table_null_and_repeated_ids_and_extra_columns(spark):
     assert got(minhash_dedup.near_duplicates(spark.createDataFrame([], "doc_id long, text string"))) == {}
     t = " ".join(f"w{i}" for i in range(40))
