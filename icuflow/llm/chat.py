@@ -8,6 +8,13 @@ nobody gets its role from its neighbours.  The transcripts of a batch advance
 together, one line at a time.  A turn is rendered as ``<|role|>``, its text and
 ``<|end|>``, on lines of their own.
 
+A long conversation is rendered in parts of ``PART_TURNS`` turn numbers, a row
+each, but its roles are those of one parse of the whole.  Each part gives the
+score of the best path from every state before it to every state at its end; these
+tables, chained in part order, tell the state before and at the end of each part.
+Turns whose numbers lie ``PART_TURNS`` or more apart (only turns of different parts
+can) are not neighbours: what was said before, or whether anything was, is unknown.
+
 Defined cases: an empty transcript has no turns; lines before the first marker
 are a turn of the likeliest role; a null role or text in a table of turns is
 unmarked or empty; turns with equal numbers follow by role and text; an empty
@@ -25,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ROLES = ("system", "user", "assistant")
-# Turns of one conversation are parsed in parts of so many turn numbers, so that none is unbounded.
+# Turns of one conversation are read and rendered in parts of so many turn numbers, so that none is unbounded.
 PART_TURNS = 256
 _NAMES = {"system": "system|context|instructions", "user": "user|human|question|q|customer|prompt|instruction",
           "assistant": "assistant|ai|bot|answer|a|response|model"}
@@ -54,11 +61,23 @@ def read_line(line: str) -> tuple[int, str, tuple[bool, bool, bool]]:
     return NO_MARKER, line, (not line.strip(), line.rstrip().endswith("?"), len(line) > 80)
 
 
-def viterbi(markers: list[np.ndarray], features: list[np.ndarray], first: np.ndarray) -> list[np.ndarray]:
-    """Likeliest states of each transcript: role + 3 * (goes on).  All transcripts advance together."""
-    n, longest = len(markers), max((len(m) for m in markers), default=0)
-    if longest == 0:
-        return [np.zeros(0, np.int64) for _ in markers]
+def _moves() -> np.ndarray:
+    move = np.full((6, 6), -np.inf)
+    for r in range(3):
+        for state in (r, r + 3):
+            move[state, :3] = np.log(_END * _NEXT[r])
+            move[state, r + 3] = np.log(1 - _END)
+    return move
+
+
+_MOVE = _moves()
+# What may be before a transcript: one of the six states, the beginning of the conversation, or unknown turns.
+BEGINNING, UNKNOWN = 6, 7
+_ENTER = np.concatenate([_MOVE, [[*np.log(_FIRST), *[-np.inf] * 3], [*np.log(_ANYWHERE), *[-np.inf] * 3]]])
+
+
+def _emissions(markers: list[np.ndarray], features: list[np.ndarray], longest: int) -> tuple[np.ndarray, np.ndarray]:
+    n = len(markers)
     emit = np.zeros((n, longest, 6))
     live = np.zeros((n, longest), bool)
     for k, (m, f) in enumerate(zip(markers, features, strict=True)):
@@ -67,22 +86,32 @@ def viterbi(markers: list[np.ndarray], features: list[np.ndarray], first: np.nda
             emit[k, :len(m), :3] = np.log(_BEGIN[:, m].T) + shape
             emit[k, :len(m), 3:] = np.log(_GO_ON[m])[:, None] + shape
             live[k, :len(m)] = True
-    move = np.full((6, 6), -np.inf)
-    for r in range(3):
-        for state in (r, r + 3):
-            move[state, :3] = np.log(_END * _NEXT[r])
-            move[state, r + 3] = np.log(1 - _END)
+    return emit, live
+
+
+def viterbi(markers: list[np.ndarray], features: list[np.ndarray], first: np.ndarray,
+            enter: list[int | None] | None = None, leave: list[int | None] | None = None) -> list[np.ndarray]:
+    """Likeliest states of each transcript: role + 3 * (goes on).  All transcripts advance together.  ``enter``
+    and ``leave``: what is before a transcript (None: ``first``) and the state of its last line (None: the best)."""
+    n, longest = len(markers), max((len(m) for m in markers), default=0)
+    if longest == 0:
+        return [np.zeros(0, np.int64) for _ in markers]
+    emit, live = _emissions(markers, features, longest)
     score = np.full((n, 6), -np.inf)
-    score[:, :3] = np.log(first) + emit[:, 0, :3]
+    score[:, :3] = np.log(first)
+    for k, state in enumerate(enter or []):
+        if state is not None:
+            score[k] = _ENTER[state]
+    score = score + emit[:, 0]
     back = np.zeros((n, longest, 6), np.int8)
     for t in range(1, longest):
-        all_ways = score[:, :, None] + move
+        all_ways = score[:, :, None] + _MOVE
         back[:, t] = all_ways.argmax(1)
         score = np.where(live[:, t, None], all_ways.max(1) + emit[:, t], score)
     out = []
     for k, m in enumerate(markers):
         path = np.zeros(len(m), np.int64)
-        state = int(score[k].argmax())
+        state = int(score[k].argmax()) if leave is None or leave[k] is None else leave[k]
         for t in range(len(m) - 1, -1, -1):
             path[t] = state
             state = int(back[k, t, state])
@@ -90,19 +119,48 @@ def viterbi(markers: list[np.ndarray], features: list[np.ndarray], first: np.nda
     return out
 
 
-def parse(transcripts: list[str | None], starts: list[bool] | None = None) -> list[list[tuple[str, str]]]:
-    """Turns (role, text) of each transcript; ``starts``: whether it is the beginning of its conversation."""
+def passages(markers: list[np.ndarray], features: list[np.ndarray]) -> np.ndarray:
+    """Per transcript, 8 x 6: the score of the best path from what may be before it to each state at its end.
+    Each has a line at least."""
+    emit, live = _emissions(markers, features, max((len(m) for m in markers), default=0))
+    score = _ENTER[None] + emit[:, :1]
+    for t in range(1, emit.shape[1]):
+        ways = (score[:, :, :, None] + _MOVE).max(2) + emit[:, t, None]
+        score = np.where(live[:, t, None, None], ways, score)
+    return score
+
+
+def chain(tables: np.ndarray, low: list[int], high: list[int]) -> list[tuple[int, int]]:
+    """(what is before, state at the end) of each part on the best path through the passages of a conversation,
+    whose parts have the turn numbers ``low`` to ``high``."""
+    out: list[tuple[int, int]] = []
+    cuts = [0, *[k for k in range(1, len(low)) if low[k] - high[k - 1] >= PART_TURNS], len(low)]
+    for x, y in zip(cuts[:-1], cuts[1:], strict=True):
+        before = BEGINNING if x == 0 and low[0] < PART_TURNS else UNKNOWN
+        score, back = tables[x, before], []
+        for table in tables[x + 1:y, :6]:
+            ways = score[:, None] + table
+            back.append(ways.argmax(0).astype(np.int8))
+            score = ways.max(0)
+        states = [int(score.argmax())]
+        for b in reversed(back):
+            states.append(int(b[states[-1]]))
+        states.reverse()
+        out.extend(zip([before, *states[:-1]], states, strict=True))
+    return out
+
+
+def _read(transcripts: list[str | None]) -> tuple[list, list[np.ndarray], list[np.ndarray]]:
     lines = [[read_line(x) for x in t.split("\n")] if t else [] for t in transcripts]
-    markers = [np.array([x[0] for x in ls], np.int64) for ls in lines]
-    features = [np.array([x[2] for x in ls], bool).reshape(len(ls), 3) for ls in lines]
-    starts = [True] * len(lines) if starts is None else starts
-    paths: list = [None] * len(lines)
-    for at_start, first in ((True, _FIRST), (False, _ANYWHERE)):
-        pick = [k for k, s in enumerate(starts) if bool(s) == at_start]
-        for k, p in zip(pick, viterbi([markers[k] for k in pick], [features[k] for k in pick], first), strict=True):
-            paths[k] = p
+    return (lines, [np.array([x[0] for x in ls], np.int64) for ls in lines],
+            [np.array([x[2] for x in ls], bool).reshape(len(ls), 3) for ls in lines])
+
+
+def parse(transcripts: list[str | None], enter: list[int | None] | None = None, leave: list[int | None] | None = None) -> list[list[tuple[str, str]]]:
+    """Turns (role, text) of each transcript; ``enter`` and ``leave`` as in viterbi."""
+    lines, markers, features = _read(transcripts)
     out = []
-    for ls, path in zip(lines, paths, strict=True):
+    for ls, path in zip(lines, viterbi(markers, features, _FIRST, enter, leave), strict=True):
         turns: list[tuple[str, list[str]]] = []
         for (_, text, _), state in zip(ls, path.tolist(), strict=True):
             if state < 3 or not turns:
@@ -117,21 +175,28 @@ def render(turns: list[tuple[str, str]]) -> str:
     return "\n".join(f"<|{role}|>\n{text}\n<|end|>" for role, text in turns)
 
 
-def format_transcripts(transcripts: DataFrame, id_cols: list[str], text_col: str = "transcript", start_col: str | None = None) -> DataFrame:
-    """id_cols, n_turns, roles (comma-joined) and rendered for each transcript."""
-    rows = transcripts.select(*id_cols, F.col(text_col).alias("_t"), (F.col(start_col) if start_col else F.lit(True)).alias("_s"))
+def _like_lengths(text: list[str | None]) -> Iterator[list[int]]:
+    """Transcripts of like length advance together; a padded batch holds a bounded number of lines."""
+    order = sorted(range(len(text)), key=lambda k: (text[k] or "").count("\n"))
+    while order:
+        longest = (text[order[-1]] or "").count("\n") + 1
+        some = order[-max(1, 50_000 // longest):]
+        del order[-len(some):]
+        yield some
+
+
+def format_transcripts(transcripts: DataFrame, id_cols: list[str], text_col: str = "transcript",
+                       enter_col: str | None = None, leave_col: str | None = None) -> DataFrame:
+    """id_cols, n_turns, roles (comma-joined) and rendered for each transcript; the other columns as in viterbi."""
+    state = lambda c: (F.col(c) if c else F.lit(None)).cast("int")
+    rows = transcripts.select(*id_cols, F.col(text_col).alias("_t"), state(enter_col).alias("_e"), state(leave_col).alias("_l"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            text, start = b.column(b.num_columns - 2).to_pylist(), b.column(b.num_columns - 1).to_pylist()
-            # Transcripts of like length advance together; a padded batch holds a bounded number of lines.
-            order = sorted(range(len(text)), key=lambda k: (text[k] or "").count("\n"))
+            text, enter, leave = (b.column(b.num_columns - k).to_pylist() for k in (3, 2, 1))
             parsed: list = [None] * len(text)
-            while order:
-                longest = (text[order[-1]] or "").count("\n") + 1
-                some = order[-max(1, 50_000 // longest):]
-                del order[-len(some):]
-                for k, turns in zip(some, parse([text[k] for k in some], [start[k] for k in some]), strict=True):
+            for some in _like_lengths(text):
+                for k, turns in zip(some, parse(*([x[k] for k in some] for x in (text, enter, leave))), strict=True):
                     parsed[k] = turns
             yield pa.RecordBatch.from_arrays(
                 [b.column(k) for k in range(len(id_cols))]
@@ -142,6 +207,42 @@ def format_transcripts(transcripts: DataFrame, id_cols: list[str], text_col: str
     return rows.mapInArrow(run, f"{ids}, n_turns long, roles string, rendered string")
 
 
+def _states(parts: DataFrame) -> DataFrame:
+    """(key, at, enter, leave) of the transcripts (key, at, transcript, low, high) of conversations of several parts."""
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            text = b.column(2).to_pylist()
+            tables: list = [None] * len(text)
+            for some in _like_lengths(text):
+                _, markers, features = _read([text[k] for k in some])
+                for k, table in zip(some, passages(markers, features), strict=True):
+                    tables[k] = table.tobytes()
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(3), b.column(4), pa.array(tables, pa.binary())],
+                                             names=["key", "at", "low", "high", "passage"])
+
+    def chained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def out(key, rows):
+            at, low, high, tables = (list(x) for x in zip(*rows, strict=True))
+            both = chain(np.frombuffer(b"".join(tables)).reshape(-1, 8, 6), low, high)
+            return pa.RecordBatch.from_arrays([pa.array([key] * len(at), pa.string()), pa.array(at, pa.int64()), pa.array([x for x, _ in both], pa.int32()),
+                                               pa.array([y for _, y in both], pa.int32())], names=["key", "at", "enter", "leave"])
+
+        key, rows = None, []
+        for b in batches:
+            for k, *row in zip(*(b.column(c).to_pylist() for c in range(5)), strict=True):
+                if rows and k != key:
+                    yield out(key, rows)
+                    rows = []
+                key = k
+                rows.append(row)
+        if rows:
+            yield out(key, rows)
+
+    n = int(parts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return (parts.select("key", "at", "transcript", "low", "high").mapInArrow(read, "key string, at long, low long, high long, passage binary")
+            .repartition(n, "key").sortWithinPartitions("key", "at").mapInArrow(chained, "key string, at long, enter int, leave int"))
+
+
 def _marker(style: Column, role: Column) -> Column:
     """How a turn's speaker is written in one of five styles of transcripts; in the last, by number only."""
     pick = lambda s, u, a: F.when(role == "system", s).when(role == "user", u).when(role == "assistant", a).otherwise("Speaker 9: ")
@@ -151,19 +252,29 @@ def _marker(style: Column, role: Column) -> Column:
 
 
 def transcripts_of(turns: DataFrame, id_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> DataFrame:
-    """(conv_id, part, transcript, starts): the turns written as transcripts, in a style that differs between conversations."""
+    """(conv_id, part, transcript, low, high): the turns written as transcripts, in a style that differs between conversations."""
     t = turns.select(F.col(id_col).alias("conv_id"), F.coalesce(F.col(turn_col).cast("long"), F.lit(0)).alias("turn"),
                      F.coalesce(F.col(role_col), F.lit("")).alias("role"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     style = F.pmod(F.xxhash64("conv_id"), F.lit(5))
     t = t.withColumns({"part": F.floor(F.col("turn") / PART_TURNS).cast("long"), "line": F.concat(_marker(style, F.col("role")), "text")})
-    rows = t.groupBy("conv_id", "part").agg(F.array_sort(F.collect_list(F.struct("turn", "role", "text", "line"))).alias("x"))
-    return rows.select("conv_id", "part", F.array_join(F.transform("x", lambda r: r["line"]), "\n").alias("transcript"),
-                       (F.col("part") == 0).alias("starts"))
+    rows = t.groupBy("conv_id", "part").agg(F.array_sort(F.collect_list(F.struct("turn", "role", "text", "line"))).alias("x"),
+                                          F.min("turn").alias("low"), F.max("turn").alias("high"))
+    return rows.select("conv_id", "part", F.array_join(F.transform("x", lambda r: r["line"]), "\n").alias("transcript"), "low", "high")
 
 
 def digest(turns: DataFrame) -> DataFrame:
     """conv_id, part, n_turns, roles and rendered_sha256 of the conversations, written as transcripts and parsed back."""
-    out = format_transcripts(transcripts_of(turns), ["conv_id", "part"], start_col="starts")
+    # The key stands for the conversation as text, so that a null one is a key too.
+    key = F.when(F.col("conv_id").isNull(), "").otherwise(F.concat(F.lit("="), F.col("conv_id").cast("string")))
+    number = F.floor(F.coalesce(F.col("turn").cast("long"), F.lit(0)) / PART_TURNS)
+    several = (turns.groupBy(key.alias("several")).agg(F.min(number).alias("low"), F.max(number).alias("high")).where("low < high").select("several"))
+    parts = transcripts_of(turns).withColumn("key", key)
+    # Only turns of long conversations are written twice.
+    long_ = transcripts_of(turns.join(several, key == F.col("several"), "left_semi")).select(key.alias("key"), F.col("part").alias("at"), "transcript", "low", "high")
+    states = _states(long_).withColumnRenamed("key", "of")
+    rows = parts.join(states, (F.col("key") == F.col("of")) & (F.col("part") == F.col("at")), "left")
+    rows = rows.withColumn("enter", F.coalesce("enter", F.when(F.col("part") > 0, UNKNOWN).otherwise(BEGINNING)))
+    out = format_transcripts(rows, ["conv_id", "part"], enter_col="enter", leave_col="leave")
     return out.select("conv_id", "part", "n_turns", "roles", F.sha2(F.col("rendered").cast("binary"), 256).alias("rendered_sha256"))
 
 

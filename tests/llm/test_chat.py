@@ -47,6 +47,38 @@ def test_edge_cases(spark):
     assert got == {(1, 0): (2, "user,assistant"), (None, 0): (1, "user"), (2, 0): (1, "user"), (2, 1): (1, "user")}
 
 
+def test_long_conversations_are_parsed_as_if_uncut(spark):
+    ids = [r[0] for r in spark.range(200).selectExpr("id", "pmod(xxhash64(id), 5) s").where("s = 4").limit(3).collect()]
+    rnd = np.random.default_rng(7)
+    rows = []
+    for c in ids[:2]:
+        # An odd number of turns before the cut: parts begin with either speaker, and some turns repeat a speaker.
+        role = 0
+        for k in range(1000):
+            rows.append((c, k + 3, ("user", "assistant")[role], "is it so?" if rnd.random() < 0.3 else "word " * int(rnd.integers(1, 30))))
+            role = role if rnd.random() < 0.05 else 1 - role
+    rows += [(ids[2], k, ("user", "assistant")[k % 2], "x") for k in range(1, 601)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(3)
+    got = {}
+    for r in sorted(chat.digest(df).collect()):
+        got.setdefault(r["conv_id"], []).extend(r["roles"].split(","))
+    for c in ids:
+        mark = {"user": "Speaker 1: ", "assistant": "Speaker 2: "}
+        text = "\n".join(mark[r[2]] + r[3] for r in sorted(r for r in rows if r[0] == c))
+        whole = [r for r, _ in chat.parse([text])[0]]
+        _, (m,), (f,) = chat._read([text])
+        shape = np.where(f[:, None, :], np.log(chat._FEATURES), np.log(1 - chat._FEATURES)).sum(2)
+
+        def weight(roles):
+            x = [chat.ROLES.index(r) for r in roles]
+            return (np.log(chat._FIRST[x[0]]) + sum(np.log(chat._END * chat._NEXT[p, q]) for p, q in zip(x[:-1], x[1:], strict=True))
+                    + sum(np.log(chat._BEGIN[q, k]) + e[q] for q, k, e in zip(x, m, shape, strict=True)))
+
+        # Paths can tie, so random turns need the score of the uncut parse; alternating ones its roles.
+        assert len(got[c]) == len(whole) and abs(weight(got[c]) - weight(whole)) < 1e-6
+        assert c != ids[2] or got[c] == whole == ["user", "assistant"] * 300
+
+
 def test_query_against_sql(spark):
     sf = "/root/testdata/sf0.01"
     con = duckdb.connect()
