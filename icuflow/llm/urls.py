@@ -6,7 +6,9 @@ end.  A rule (host, path prefix) covers its host and all subdomains; the longest
 covering rule decides.
 
 The URLs that rules accept and those they reject each train a variable-order
-Markov model of characters: contexts of 0 to ``ORDER`` characters, each order
+Markov model of the characters of the whole URL after its scheme (host with A-Z
+lower-cased, then path, query and fragment as written; all of a URL without
+``://``; a null URL is empty): contexts of 0 to ``ORDER`` characters, each order
 smoothed by the next shorter one (Witten-Bell).  All their n-grams are counted,
 as Spark aggregations; no table of counts leaves the executors.  Every distinct
 window of ``ORDER`` + 1 characters gets its log ratio once, and a URL's score is
@@ -14,8 +16,8 @@ the sum over its windows divided by its length.  One rule-decided URL in
 ``CALIBRATE`` is kept out of the counts; on these a logistic curve is fitted to a
 histogram of scores, and URLs with a probability of 0.5 or more are accepted.
 
-Defined cases: a null URL or one without ``://`` has an empty host and path and
-is judged by the model on the empty string; without training URLs of both kinds
+Defined cases: a null URL or one without ``://`` has an empty host and path, and
+is judged by the model; without training URLs of both kinds
 (or calibration URLs of both) the model accepts a score of 0 or more; repeated
 URLs are scored once and count as often as they occur; an empty table gives an
 empty result; other columns are ignored.
@@ -46,6 +48,15 @@ def host_path(url: Column) -> tuple[Column, Column]:
     return F.translate(host, _UPPER, _LOWER), path
 
 
+def model_text(url: Column) -> Column:
+    """What the model reads: the URL after its scheme, the host lower-cased; without ``://`` all of it."""
+    url = F.coalesce(url, F.lit(""))
+    at = F.instr(url, "://")
+    rest = F.substr(url, at + 3)
+    host = F.regexp_extract(rest, "^([^/?#]*)", 1)
+    return F.when(at > 0, F.concat(F.translate(host, _UPPER, _LOWER), F.substr(rest, F.char_length(host) + 1))).otherwise(url)
+
+
 def rule_of(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
     """The longest covering rule, as host followed by path, and its verdict; null if none covers."""
     name = verdict = F.lit(None).cast("string")
@@ -112,9 +123,9 @@ def _logistic(bins: list[tuple[float, float, float]], steps: int = 50) -> tuple[
 def judge(pages: DataFrame, rules=RULES, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
     """Per page: host, path, covering rule, score, probability of acceptance and verdict."""
     host, path = host_path(F.col("url"))
-    p = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url")).withColumns({"host": host, "path": path}).drop("url")
+    p = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url")).withColumns({"host": host, "path": path, "text": model_text(F.col("url"))}).drop("url")
     rule, kind = rule_of(F.col("host"), F.col("path"), rules)
-    p = p.withColumns({"rule": rule, "kind": kind, "text": F.translate(F.concat("host", "path"), _UPPER, _LOWER)})
+    p = p.withColumns({"rule": rule, "kind": kind})
     urls = stage(p.groupBy("text", "kind").agg(F.count("*").alias("times"))
                  .withColumn("held", F.pmod(F.xxhash64("text"), F.lit(CALIBRATE)) == 0), "urls")
     counted = (urls.where(F.col("kind").isNotNull() & ~F.col("held")).select(F.explode(_windows("text")).alias("window"), "kind", "times")

@@ -84,6 +84,15 @@ def test_model_separates_what_it_learnt(spark):
     assert got[5000] == "allow" and got[5001] == "block"
 
 
+def test_the_model_reads_query_fragment_and_texts_without_scheme(spark):
+    rows = [(i, f"http://h{i % 50}.org/?q=fine") for i in range(200)] + [(1000 + i, f"http://h{i % 50}.com/de/?q=spam#x") for i in range(200)]
+    rows += [(5000, "http://h.net/?q=fine"), (5001, "http://h.net/?q=spam#x"), (5002, "h.org/?q=fine"), (5003, "h.com/de/?q=spam#x"), (5004, None), (5005, "http://H.net/?q=fine")]
+    got = {r["page_id"]: r for r in urls.judge(spark.createDataFrame(rows, "page_id long, url string")).where("page_id >= 5000").collect()}
+    assert [got[k]["verdict"] for k in range(5000, 5004)] == ["allow", "block", "allow", "block"]
+    assert got[5000]["score"] == got[5005]["score"] and got[5004]["score"] is not None
+    assert all((got[k]["host"], got[k]["path"]) == ("", "") for k in (5002, 5003, 5004))
+
+
 def test_empty_and_repeated_and_extra_columns(spark):
     assert urls.digest(spark.createDataFrame([], "page_id long, url string")).collect() == []
     df = spark.createDataFrame([(1, "http://x.net/", "a"), (1, "http://x.net/", "a"), (None, None, "b")], "page_id long, url string, host string")
