@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import dictionary as D
 from ..functions.columns import feature_array, hour_key, minmax_scale, pad_array, sex_code
+from .split import arithmetic_hash
 
 
 def hourly_means(df: DataFrame, subject: str = "subject_id", hadm: str = "hadm_id",
@@ -103,9 +104,21 @@ def pad_sequences(seqs: DataFrame, target_len: int, width: int, seq: str = "valu
     return seqs.withColumn(out, pad_array(seq, target_len, width, fill))
 
 
-def sort_by_length(seqs: DataFrame, length: str = "num_stamps", key: str = "hadm_id") -> DataFrame:
-    """Longest sequences first (ties by key, so the order is total)."""
-    return seqs.orderBy(F.col(length).desc(), F.col(key).asc())
+def length_batches(seqs: DataFrame, batches: int, width: int, seed: int = 1, key: str = "hadm_id", seq: str = "value",
+                   length: str = "num_stamps", fill: float = -1.0) -> DataFrame:
+    """U3 + F17: batches by a hash of the key; inside each, longest first, padded to the batch's own longest.
+
+    Adds ``batch``, ``place`` (0 = longest, ties by key), ``batch_steps`` and ``padded``.  Batches hold about
+    rows / ``batches`` sequences, whatever the lengths, so no order over all rows is needed: both windows
+    are over one batch.  A sequence without steps is padded throughout.
+    """
+    rows = seqs.withColumn("batch", F.pmod(arithmetic_hash(key, seed), F.lit(batches)).cast("int"))
+    one = Window.partitionBy("batch")
+    placed = rows.withColumns({
+        "place": F.row_number().over(one.orderBy(F.col(length).desc(), F.col(key).asc())) - 1,
+        "batch_steps": F.max(length).over(one)})
+    lacking = F.array_repeat(F.array_repeat(F.lit(float(fill)), width), F.col("batch_steps") - F.coalesce(F.size(seq), F.lit(0)))
+    return placed.withColumn("padded", F.concat(F.coalesce(F.col(seq), F.array().cast("array<array<double>>")), lacking))
 
 
 def sequences_with_label(seqs: DataFrame, patients_info: DataFrame, hadm: str = "hadm_id",

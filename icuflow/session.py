@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -54,6 +56,19 @@ def persist(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK) -
     return df.persist(level)
 
 
+@contextmanager
+def kept(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> Iterator[DataFrame]:
+    """``df`` persisted for the actions of the block and released after it.
+
+    A DataFrame derived from it and returned still works: it is computed anew, without the copy.
+    """
+    copy = persist(df, level)
+    try:
+        yield copy
+    finally:
+        copy.unpersist()
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and stage files.
 
