@@ -15,9 +15,9 @@ from ..functions.columns import (categorical_code, outlier_flag, parse_double,
 EVENT_COLUMNS = ("subject_id", "hadm_id", "itemid", "charttime", "value")
 
 
-def drop_incomplete(df: DataFrame, cols: Sequence[str] = EVENT_COLUMNS) -> DataFrame:
-    """Keep only the given columns and drop rows with any null among them."""
-    return df.select(*cols).na.drop(how="any", subset=list(cols))
+def drop_incomplete(df: DataFrame, cols: Sequence[str] = EVENT_COLUMNS, keep: Sequence[str] = ()) -> DataFrame:
+    """Keep only the given columns and drop rows with any null among them; ``keep`` columns stay, null or not."""
+    return df.select(*cols, *keep).na.drop(how="any", subset=list(cols))
 
 
 def _as_timestamp(df: DataFrame, col: str) -> DataFrame:
@@ -28,24 +28,24 @@ def _as_timestamp(df: DataFrame, col: str) -> DataFrame:
 
 def type_chart_events(df: DataFrame, cols: Sequence[str] = EVENT_COLUMNS,
                       codes: Sequence[tuple[str, str]] = D.CATEGORY_CODES,
-                      unit_rules=D.UNIT_RULES) -> DataFrame:
+                      unit_rules=D.UNIT_RULES, keep: Sequence[str] = ()) -> DataFrame:
     """P9 -> F6/F7 -> F1 -> F3 -> F8 for chart events (X1, X2 as expressions).
 
     Nulls are dropped first, so text that cannot be parsed survives as a
     null value (as the original job does).
     """
     subject, hadm, item, time_col, value = cols
-    out = drop_incomplete(df, cols)
+    out = drop_incomplete(df, cols, keep)
     out = out.withColumn(value, categorical_code(F.col(value).cast("string"), codes))
     out = _as_timestamp(out, time_col)
     out = out.withColumn(value, parse_double(value))
     return out.withColumn(value, unit_convert(item, value, unit_rules))
 
 
-def type_lab_events(df: DataFrame, cols: Sequence[str] = EVENT_COLUMNS) -> DataFrame:
+def type_lab_events(df: DataFrame, cols: Sequence[str] = EVENT_COLUMNS, keep: Sequence[str] = ()) -> DataFrame:
     """P9 -> F1 -> F3 for lab events (no category codes, no unit change)."""
     subject, hadm, item, time_col, value = cols
-    out = drop_incomplete(df, cols)
+    out = drop_incomplete(df, cols, keep)
     out = _as_timestamp(out, time_col)
     return out.withColumn(value, parse_double(F.col(value).cast("string")))
 

@@ -11,8 +11,7 @@ task (H13).  This operator instead:
    a bounded summary) and turns them into per-partition offsets;
 4. adds offset and local position inside the JVM, without another shuffle.
 
-Used for splits and folds along orders other than (hash, key), and for the
-quantiles that histogram refinement leaves open.
+Used for splits and folds along orders other than (hash, key).
 """
 
 from __future__ import annotations

@@ -736,7 +736,7 @@ def q_distinct_items(spark, d):
 @register("count_distinct_admissions", sql_events_pipeline(24, D.OUTLIER_RULES_13) + "\n"
           "SELECT count(DISTINCT hadm_id) AS n_distinct FROM cleaned")
 def q_count_distinct_admissions(spark, d):
-    return profile.count_distinct(events_pipeline(spark, d, 24, D.OUTLIER_RULES_13), "hadm_id")
+    return profile.count_distinct(events_pipeline(spark, d, 24, D.OUTLIER_RULES_13), "hadm_id", dense=True)
 
 
 def _flow_sql() -> str:
@@ -754,11 +754,13 @@ def _flow_sql() -> str:
 
 @register("cohort_flow", _flow_sql())
 def q_cohort_flow(spark, d):
-    """Events / admissions / patients after each preparation stage (single pass of flags)."""
+    """Events / admissions / patients after each preparation stage (single pass of flags, bitmaps of the dense ids)."""
     events = _events(spark, d)
     chart = A.chart_from_events(events)
     stays = A.stays_from_events(events).select("hadm_id", "intime")
-    joined = windows.with_hours(chart.join(stays, on="hadm_id", how="left"))
+    # The key's hash is a second join key: the counts then exchange anew and a hot admission can be split.
+    stays = stays.select(F.col("hadm_id").alias("_stay"), F.xxhash64("hadm_id").alias("_hash"), "intime")
+    joined = windows.with_hours(chart.join(stays, (F.col("hadm_id") == F.col("_stay")) & (F.xxhash64("hadm_id") == F.col("_hash")), "left"))
     complete = F.lit(True)
     for c in clean.EVENT_COLUMNS:
         complete = complete & F.col(c).isNotNull()
@@ -769,7 +771,7 @@ def q_cohort_flow(spark, d):
     return profile.stage_flow(grouped.withColumn("_complete", complete),
                               [("chart", F.lit(True)), ("window_48h", F.col("hours") < 48.0),
                                ("window_24h", in24), ("typed_24h", in24 & F.col("_complete")),
-                               ("cleaned_24h", kept)])
+                               ("cleaned_24h", kept)], dense=True)
 
 
 @register("weighted_mean",

@@ -141,10 +141,11 @@ def test_stage_flow_equals_cohort_flow(spark):
     assert [tuple(r) for r in a] == [tuple(r) for r in b]
 
 
-@pytest.mark.parametrize("rounds", [8, 1, 0])
-def test_summary_quantiles_every_path(spark, monkeypatch, rounds):
-    """Constant buckets, refined cells and the ordered-scan fallback all agree with pandas."""
-    monkeypatch.setattr(profile, "REFINE_ROUNDS", rounds)
+@pytest.mark.parametrize("accuracy,buckets", [(10_000, 1024), (50, 1024), (10, 2), (200, 3)])
+def test_summary_quantiles_every_path(spark, monkeypatch, accuracy, buckets):
+    """Tight brackets, brackets of half the table and many refining rounds all agree with pandas."""
+    monkeypatch.setattr(profile, "ACCURACY", accuracy)
+    monkeypatch.setattr(profile, "BUCKETS", buckets)
     rng = np.random.default_rng(7)
     a = np.concatenate([np.full(200, 5.0), rng.normal(0, 1, 300), [1e6, -1e6], 1e-9 * rng.random(100)])
     b = np.round(rng.exponential(3.0, a.size), 3)
@@ -158,6 +159,64 @@ def test_summary_quantiles_every_path(spark, monkeypatch, rounds):
             assert got[c][f"q{int(round(q * 100))}"] == pytest.approx(pdf[c].quantile(q), rel=1e-12, abs=1e-15)
 
 
+def test_summary_scans_the_table_twice(spark):
+    """Moments and sketch, then counts: no third scan, whatever the values."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def rows(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    rng = np.random.default_rng(1)
+    x = np.concatenate([rng.normal(size=3000) * 10.0 ** rng.integers(-300, 300, 3000), np.full(1500, 2.5)])
+    df = spark.createDataFrame([(float(v),) for v in x], "a double").mapInArrow(rows, "a double")
+    got = profile.summary(df, ["a"], (0.01, 0.5, 0.99)).first()
+    want = [float(np.sort(x)[int(q * 4499)] + (np.sort(x)[min(int(q * 4499) + 1, 4499)] - np.sort(x)[int(q * 4499)]) * (q * 4499 - int(q * 4499))) for q in (0.01, 0.5, 0.99)]
+    assert [got["q1"], got["q50"], got["q99"]] == pytest.approx(want, rel=1e-12) and seen.value == 2 * len(x)
+
+
+def test_summary_with_nan_and_infinite_values(spark):
+    inf, nan = float("inf"), float("nan")
+    xs = [-inf] * 3 + [-1.7e308, -5e-324, 0.0, 5e-324, 1e-323, 1.7e308] + [inf] * 4 + [nan] * 5 + [None] * 3
+    got = profile.summary(spark.createDataFrame([(v,) for v in xs], "a double"), ["a"], tuple(k / 17 for k in range(18))).first()
+    order = sorted((v for v in xs if v is not None and v == v)) + [nan] * 5
+    assert got["count"] == 18 and [str(got[6 + k]) for k in range(18)] == [str(v) for v in order]
+
+
+def test_bitmaps_count_as_distinct_does(spark):
+    """Negative, zero, repeated and null ids, ids at the ends of a bitmap, and a third of the rows on one id."""
+    ids = [-40_000, -32_768, -32_767, -1, 0, 1, 32_767, 32_768, 32_769, 65_536, 65_537, 10**12, None]
+    rows = [(ids[i % len(ids)] if i % 3 else 7, i % 5, float(i % 11)) for i in range(3000)]
+    df = spark.createDataFrame(rows, "hadm_id long, subject_id long, v double").repartition(6)
+    stages = [("all", F.lit(True)), ("some", F.col("v") > 4), ("few", (F.col("v") > 4) & (F.col("subject_id") == 2)), ("none", F.col("v") > 99), ("null", F.lit(None).cast("boolean"))]
+    a = [tuple(r) for r in profile.stage_flow(df, stages, dense=True).orderBy("step").collect()]
+    assert a == [tuple(r) for r in profile.stage_flow(df, stages).orderBy("step").collect()]
+    assert profile.count_distinct(df, "hadm_id", dense=True).first()[0] == len(ids) == profile.count_distinct(df, "hadm_id").first()[0]
+    assert [tuple(r)[2:] for r in profile.stage_flow(df.limit(0), stages, dense=True).collect()] == [(0, 0, 0)] * 5
+
+
+def test_hot_admission_of_the_flow_is_split(spark):
+    """The flow's join splits an admission that holds a third of the events: no admission is tied to one task."""
+    from icuflow.operators import windows
+    n, keys = 60_000, ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes",
+                       "spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.adaptive.skewJoin.skewedPartitionFactor", "spark.sql.adaptive.forceOptimizeSkewedJoin")
+    keep = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k, v in zip(keep, ("-1", "32k", "16k", "1.5", "true"), strict=True):
+            spark.conf.set(k, v)
+        ev = spark.range(0, n, 1, 8).select(F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 4000).alias("hadm_id"), F.timestamp_seconds(F.col("id")).alias("charttime"))
+        stays = ev.select("hadm_id").distinct().withColumn("intime", F.timestamp_seconds(F.lit(0)))
+        joined = windows.with_hours(windows.attach_stay_start(ev, stays)).withColumn("subject_id", F.col("hadm_id"))
+        flow = profile.stage_flow(joined, [("all", F.lit(True)), ("early", F.col("hours") < 1)], dense=True)
+        got = {r["stage"]: (r["events"], r["admissions"]) for r in flow.collect()}
+        assert "skew=true" in flow._jdf.queryExecution().executedPlan().toString()
+        assert got["all"] == (n, 4000) and got["early"][0] == 3600
+    finally:
+        for k, v in keep.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 @pytest.mark.parametrize("buckets", [1, 7])
 def test_roc_points_bucketed_match_brute_force(spark, monkeypatch, buckets):
     """Cumulative counts across quantile buckets, with tied, NaN and null scores (NaN first, null last)."""
