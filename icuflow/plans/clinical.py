@@ -16,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import dictionary as D
+from ..session import remove_path, scratch_path
+from ..sources.csv import load_csv_table, write_csv
 from ..sources.tables import table
 from . import analog as A
 from . import pipeline
@@ -172,3 +174,38 @@ for _h in (24, 48):
 def q_pipeline_events(spark, d):
     """Typed, converted and grouped events of chart and labs, row by row."""
     return Q.round_doubles(prepared(spark, d, 48, "B").events.select("subject_id", "hadm_id", "itemid", "charttime", "value"))
+
+
+def _cell_sql(hours: int, feature_set: str) -> str:
+    own = ", age, gender_01" if feature_set == "B" else ", NULL::DOUBLE AS age, NULL::INTEGER AS gender_01"
+    feats = ", ".join(f if f in _features(feature_set) else f"NULL::DOUBLE AS {f}" for f in _features("B"))
+    return f"SELECT {hours} AS hours, '{feature_set}' AS feature_set, hadm_id, {feats}{own}, hospital_expire_flag FROM ({sql_features(hours, feature_set)})"
+
+
+@Q.register("pipeline_features_all_cells", " UNION ALL ".join(_cell_sql(h, s) for h in (24, 48) for s in ("A", "B")))
+def q_pipeline_features_all_cells(spark, d):
+    """The feature tables of both windows and both sets from one scan of each event table."""
+    return Q.round_doubles(pipeline.feature_cells(**raw_tables(spark, d)))
+
+
+@Q.register("preparation_outputs", sql_events(48, "B") + f"""
+SELECT 'chartLab48Item20' AS output, subject_id, hadm_id, g AS itemid, charttime, {Q.r6('value')} AS value FROM grouped
+UNION ALL SELECT 'chart24Item17', subject_id, hadm_id, g, charttime, {Q.r6('value')} FROM ({sql_events(24, 'A')} SELECT * FROM grouped)
+UNION ALL SELECT 'patientsInfo', subject_id, hadm_id, gender, NULL, {Q.r6('age')} FROM cohort""")
+def q_preparation_outputs(spark, d):
+    """The raw tables as CSV, the whole preparation job over them, and three of its 14 outputs read back."""
+    base = scratch_path(spark, "preparation-query")
+    for name, df in raw_tables(spark, d).items():
+        text = df.withColumn("valueuom", F.lit("unit")) if name in ("chart", "lab") else df
+        text = text.withColumns({c: F.col(c).cast("string") for c, kind in df.dtypes if kind.startswith("timestamp")})
+        write_csv(text.toDF(*[c.upper() for c in text.columns]), f"{base}/data/{pipeline.RAW_TABLES[name]}.csv")
+    paths = pipeline.run_preparation(spark, f"{base}/data", f"{base}/out", resume_dir=f"{base}/stages")
+    remove_path(spark, f"{base}/data")
+    events = "SUBJECT_ID long, HADM_ID long, ITEMID string, CHARTTIME timestamp, VALUE double"
+    read = lambda name, schema: load_csv_table(spark, paths[name], schema=schema).withColumn("output", F.lit(name))
+    info = read("patientsInfo", "SUBJECT_ID long, HADM_ID long, AGE double, GENDER string, HOSPITAL_EXPIRE_FLAG int").select(
+        "output", F.col("SUBJECT_ID").alias("subject_id"), F.col("HADM_ID").alias("hadm_id"), F.col("GENDER").alias("itemid"), F.lit(None).cast("timestamp_ntz").alias("charttime"), F.col("AGE").alias("value"))
+    out = [read(n, events).select("output", *[F.col(c).alias(c.lower()) for c in ("SUBJECT_ID", "HADM_ID", "ITEMID", "CHARTTIME", "VALUE")])
+           for n in ("chartLab48Item20", "chart24Item17")]
+    out = [e.withColumn("charttime", F.col("charttime").cast("timestamp_ntz")) for e in out]
+    return Q.round_doubles(out[0].unionByName(out[1]).unionByName(info))

@@ -8,6 +8,7 @@ length (24 / 48 h) and feature set (A / B) instead of eight copied scripts.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions import dictionary as D
 from ..operators import clean, cohort, features, sequences, windows
-from ..session import persist, remove_path, scratch_path
+from ..session import persist, scratch_path
 
 
 @dataclass
@@ -60,6 +61,57 @@ def mean_feature_table(events: DataFrame, patients_info: DataFrame, feature_set:
     return features.feature_table(cleaned, patients_info, feature_set)
 
 
+CELLS = ((24, "A"), (24, "B"), (48, "A"), (48, "B"))
+
+
+def cell_events(patients: DataFrame, admissions: DataFrame, icustays: DataFrame, chart: DataFrame, lab: DataFrame,
+                cells: Sequence[tuple[int, str]] = CELLS, min_age: float = 18.0) -> tuple[DataFrame, DataFrame]:
+    """(patients info, events) of several (hours, feature set) cells from one scan of each event table.
+
+    The events are those of the longest window, typed and grouped once; the array ``cells``
+    of a row lists the places of the cells it belongs to.
+    """
+    started = cohort.cohort_with_start(patients, admissions, icustays, min_age)
+    info, stays = started.drop("intime"), started.select("subject_id", "hadm_id", "intime")
+    cols, longest = list(clean.EVENT_COLUMNS), max(h for h, _ in cells)
+    chart_w = windows.chart_window(chart, stays, longest, D.CHART_ITEMS).select(*cols, "hours")
+    lab_w = windows.interval_join(windows.select_items(lab, D.LAB_ITEMS), stays, longest, key="subject_id", stay_cols=("hadm_id",)).select(*cols, "hours")
+    both = (clean.type_chart_events(chart_w, cols, keep=["hours"]).withColumn("from_lab", F.lit(False))
+            .unionByName(clean.type_lab_events(lab_w, cols, keep=["hours"]).withColumn("from_lab", F.lit(True))))
+    # The lower bounds agree per source, so a shorter window is a filter on the longest.
+    mine = [F.when((F.col("hours") < F.lit(float(h))) & (F.lit(s.upper() == "B") | ~F.col("from_lab")), k) for k, (h, s) in enumerate(cells)]
+    return info, clean.assign_groups(both.withColumn("cells", F.array_compact(F.array(*mine))))
+
+
+def feature_cells(patients: DataFrame, admissions: DataFrame, icustays: DataFrame, chart: DataFrame, lab: DataFrame,
+                  cells: Sequence[tuple[int, str]] = CELLS, rules=D.OUTLIER_RULES_13, min_age: float = 18.0) -> DataFrame:
+    """The mean-feature tables of all cells as one plan: hours, feature_set, then the columns of set B.
+
+    One aggregation per (admission, feature) takes the means of every cell, a second turns
+    them into rows.  In set A the features and demographics of set B alone are null.
+    """
+    info, events = cell_events(patients, admissions, icustays, chart, lab, cells, min_age)
+    events = clean.drop_outliers(events, rules, "itemid", "value")
+    inside = [F.array_contains("cells", k) for k in range(len(cells))]
+    means = events.groupBy("hadm_id", "itemid").agg(
+        *[F.avg(F.when(c, F.col("value"))).alias(f"m{k}") for k, c in enumerate(inside)],
+        *[F.bool_or(c).alias(f"in{k}") for k, c in enumerate(inside)])
+    feats = D.FEATURES_SET_B
+    wide = means.groupBy("hadm_id").agg(
+        *[F.first(F.when(F.col("itemid") == f, F.col(f"m{k}")), ignorenulls=True).alias(f"m{k}_{f}") for k in range(len(cells)) for f in feats],
+        *[F.bool_or(f"in{k}").alias(f"in{k}") for k in range(len(cells))])
+    structs = []
+    for k, (h, s) in enumerate(cells):
+        constants = D.imputation_for(s)
+        row = [F.coalesce(F.col(f"m{k}_{f}"), F.lit(float(constants[f]))) if f in constants else F.lit(None).cast("double") for f in feats]
+        structs.append(F.when(F.col(f"in{k}"), F.struct(F.lit(h).alias("hours"), F.lit(s.upper()).alias("feature_set"), *[c.alias(f) for c, f in zip(row, feats, strict=True)])))
+    rows = wide.select("hadm_id", F.explode(F.array_compact(F.array(*structs))).alias("cell")).select("hadm_id", "cell.*")
+    static = features.static_info(info)
+    joined = rows.join(static, "hadm_id", "left")
+    in_b = F.col("feature_set") == "B"
+    return joined.withColumns({"age": F.when(in_b, F.col("age")), "gender_01": F.when(in_b, F.col("gender_01"))})
+
+
 def hourly_table(events: DataFrame, patients_info: DataFrame, feature_set: str = "A",
                  rules=D.OUTLIER_RULES_15) -> DataFrame:
     """Outliers (15 rules) -> hourly (admission, hour) x feature means (+ demographics in B)."""
@@ -87,9 +139,7 @@ def sequence_table(events: DataFrame, patients_info: DataFrame, hours: int = 24,
 def load_raw_tables(spark, data_dir: str) -> dict[str, DataFrame]:
     """Read the five raw CSV tables (all-string, malformed rows dropped) and type their keys."""
     from ..sources.csv import load_csv_table
-    names = {"patients": "PATIENTS", "admissions": "ADMISSIONS", "chart": "CHARTEVENTS",
-             "lab": "LABEVENTS", "icustays": "ICUSTAYS"}
-    raw = {k: load_csv_table(spark, f"{data_dir.rstrip('/')}/{v}.csv") for k, v in names.items()}
+    raw = {k: load_csv_table(spark, f"{data_dir.rstrip('/')}/{v}.csv") for k, v in RAW_TABLES.items()}
 
     def lower(df):
         return df.toDF(*[c.lower() for c in df.columns])
@@ -112,58 +162,64 @@ OUTPUTS = ("chartWithTimeSelected", "chart24Hr", "chart48Hr", "lab24Hr", "lab48H
            "chartLab48Item20")
 
 
+RAW_TABLES = {"patients": "PATIENTS", "admissions": "ADMISSIONS", "chart": "CHARTEVENTS", "lab": "LABEVENTS", "icustays": "ICUSTAYS"}
+
+
 def run_preparation(spark, data_dir: str, out_dir: str, fmt: str = "csv", single_file: bool = False,
-                    min_age: float = 18.0) -> dict[str, str]:
+                    min_age: float = 18.0, resume_dir: str | None = None) -> dict[str, str]:
     """The whole preparation job: five raw CSV tables -> the 14 outputs.
 
     The cohort, the selected chart events and the 48 h windows are each computed once
-    and written as stages in the scratch folder; every output and every 24 h
-    set is read from a stage, so no join runs twice.  The stages are deleted
-    at the end.  Returns output name -> path.
+    and written as stages; every output and every 24 h set is read from a stage, so no
+    join runs twice.  With ``resume_dir``, a folder that outlives the driver, a job that
+    died goes on from its first missing stage or output (``sources.stages``), unless an
+    input file has changed; without it the stages go to the scratch folder.  They are
+    deleted at the end.  Returns output name -> path.
     """
-    from ..sources.csv import write_csv, write_stage
+    from ..sources.csv import write_csv
+    from ..sources.stages import Stages
     t = load_raw_tables(spark, data_dir)
-    scratch = scratch_path(spark, "preparation")
-    started = write_stage(cohort.cohort_with_start(t["patients"], t["admissions"], t["icustays"], min_age), f"{scratch}/cohort")
+    job = Stages(spark, resume_dir or scratch_path(spark, "preparation"), f"1 {min_age} {fmt} {single_file}")
+    for name, file in RAW_TABLES.items():
+        job.source(name, f"{data_dir.rstrip('/')}/{file}.csv")
+    started = job.stage("cohort", ["patients", "admissions", "icustays"],
+                        lambda: cohort.cohort_with_start(t["patients"], t["admissions"], t["icustays"], min_age))
     info, stays = started.drop("intime"), started.select("subject_id", "hadm_id", "intime")
     out = out_dir.rstrip("/")
     paths: dict[str, str] = {}
 
-    def emit(name: str, df: DataFrame) -> None:
-        p = f"{out}/{name}.{fmt}"
-        df = df.toDF(*[c.upper() for c in df.columns])   # the consumers of the files read upper-case headers
-        if fmt == "csv":
-            write_csv(df, p, single_file)
-        else:
-            df.write.mode("overwrite").parquet(p)
-        paths[name] = p
+    def emit(name: str, df: DataFrame, made_from: list[str]) -> None:
+        target = f"{out}/{name}.{fmt}"
+
+        def write() -> None:
+            upper = df.toDF(*[c.upper() for c in df.columns])   # the consumers of the files read upper-case headers
+            if fmt == "csv":
+                write_csv(upper, target, single_file)
+            else:
+                upper.write.mode("overwrite").parquet(target)
+
+        paths[name] = job.effect(f"output_{name}", made_from, target, write)
 
     raw_cols = ["subject_id", "hadm_id", "itemid", "charttime", "value", "valueuom"]
-    selected = write_stage(windows.attach_stay_start(windows.select_items(t["chart"], D.CHART_ITEMS), stays),
-                           f"{scratch}/selected")
-    emit("chartWithTimeSelected", selected.select(*raw_cols, "intime"))
-    chart48 = write_stage(windows.open_window(windows.with_hours(selected), 48).select(*raw_cols, "hours"),
-                          f"{scratch}/chart48")
-    lab_sel = windows.select_items(t["lab"], D.LAB_ITEMS)
-    lab48 = write_stage(windows.interval_join(lab_sel, stays, 48, key="subject_id", stay_cols=("hadm_id",))
-                        .select(*raw_cols, "hours"), f"{scratch}/lab48")
-    win = {"chart48Hr": chart48, "chart24Hr": windows.open_window(chart48, 24),
-           "lab48Hr": lab48, "lab24Hr": windows.open_window(lab48, 24)}
-    for name, df in win.items():
-        emit(name, df.select(*raw_cols))
+    selected = job.stage("selected", ["cohort", "chart"],
+                         lambda: windows.attach_stay_start(windows.select_items(t["chart"], D.CHART_ITEMS), stays))
+    emit("chartWithTimeSelected", selected.select(*raw_cols, "intime"), ["selected"])
+    chart48 = job.stage("window_chart", ["selected"], lambda: windows.open_window(windows.with_hours(selected), 48).select(*raw_cols, "hours"))
+    lab48 = job.stage("window_lab", ["cohort", "lab"], lambda: windows.interval_join(
+        windows.select_items(t["lab"], D.LAB_ITEMS), stays, 48, key="subject_id", stay_cols=("hadm_id",)).select(*raw_cols, "hours"))
     cols = list(clean.EVENT_COLUMNS)
     typed = {}
-    for h in (24, 48):
-        c = write_stage(clean.type_chart_events(win[f"chart{h}Hr"].select(*cols), cols), f"{scratch}/typed_chart{h}")
-        lab = write_stage(clean.type_lab_events(win[f"lab{h}Hr"].select(*cols), cols), f"{scratch}/typed_lab{h}")
-        typed[f"chart{h}"] = c
-        typed[f"chartLab{h}"] = clean.union_events(c, lab)
-    for name, df in typed.items():
-        emit(name, df)
-    emit("patientsInfo", info)
-    emit("chart24Item17", clean.assign_groups(typed["chart24"]))
-    emit("chart48Item17", clean.assign_groups(typed["chart48"]))
-    emit("chartLab24Item20", clean.assign_groups(typed["chartLab24"]))
-    emit("chartLab48Item20", clean.assign_groups(typed["chartLab48"]))
-    remove_path(spark, scratch)
+    for h in (48, 24):
+        chart_h, lab_h = windows.open_window(chart48, h), windows.open_window(lab48, h)
+        emit(f"chart{h}Hr", chart_h.select(*raw_cols), ["window_chart"])
+        emit(f"lab{h}Hr", lab_h.select(*raw_cols), ["window_lab"])
+        c = job.stage(f"typed_chart{h}", ["window_chart"], lambda df=chart_h: clean.type_chart_events(df.select(*cols), cols))
+        lab = job.stage(f"typed_lab{h}", ["window_lab"], lambda df=lab_h: clean.type_lab_events(df.select(*cols), cols))
+        typed[f"chart{h}", 17] = c, [f"typed_chart{h}"]
+        typed[f"chartLab{h}", 20] = clean.union_events(c, lab), [f"typed_chart{h}", f"typed_lab{h}"]
+    emit("patientsInfo", info, ["cohort"])
+    for (name, items), (df, made_from) in typed.items():
+        emit(name, df, made_from)
+        emit(f"{name}Item{items}", clean.assign_groups(df), made_from)
+    job.clear()
     return paths
