@@ -32,6 +32,9 @@ HIDDEN, ATTENTION = 16, 8
 SAMPLE = 3000
 THRESHOLD = 0.3
 GROUP_BYTES = 1 << 19
+# Fitting ends when an epoch's mean loss is at most LOSS_END, or PATIENCE epochs have not brought it below
+# LOSS_FALL of the best before them: a few labels take many epochs, many labels few.
+LOSS_END, LOSS_FALL, PATIENCE = 0.01, 0.98, 10
 
 
 def passages(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -83,8 +86,15 @@ def forward(p: dict, x: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, tupl
     return _sigmoid(z @ p["c"] + p["b"]), (h, t, g, a, z, bag)
 
 
-def fit(texts: list[bytes], labels: np.ndarray, epochs: int = 12, rate: float = 0.01, seed: int = 3) -> dict:
-    """Adam on the log loss; the gradient passes through attention and encoder."""
+def converged(losses: list[float]) -> bool:
+    """The mean losses of the epochs so far have stopped falling."""
+    if losses and losses[-1] <= LOSS_END:
+        return True
+    return len(losses) > PATIENCE and min(losses[-PATIENCE:]) > LOSS_FALL * min(losses[:-PATIENCE])
+
+
+def fit(texts: list[bytes], labels: np.ndarray, epochs: int | None = None, rate: float = 0.01, seed: int = 3) -> dict:
+    """Adam on the log loss until it stops falling, or for ``epochs``; the gradient passes through attention and encoder."""
     share = (float(labels.sum()) + 1) / (len(labels) + 2)
     if len(labels) == 0 or labels.min() >= 0.5 or labels.max() < 0.5:
         return {"constant": share}
@@ -95,13 +105,15 @@ def fit(texts: list[bytes], labels: np.ndarray, epochs: int = 12, rate: float =
     p = {k: v.astype(np.float32) for k, v in p.items()}
     m, v = ({k: np.zeros_like(a) for k, a in p.items()} for _ in range(2))
     step, beta = 0, (0.9, 0.999)
-    for _ in range(epochs):
-        order = rng.permutation(len(texts))
+    losses: list[float] = []
+    while len(losses) < epochs if epochs is not None else not converged(losses):
+        order, loss = rng.permutation(len(texts)), 0.0
         for k in range(0, len(order), 64):
             pick = order[k:k + 64]
             offsets = np.concatenate([[0], np.cumsum([len(texts[i]) for i in pick])])
             x, first = passages(np.frombuffer(b"".join(texts[i] for i in pick), np.uint8), offsets)
             y, (h, t, g, a, z, bag) = forward(p, x, first)
+            loss -= float((np.where(labels[pick] > 0.5, np.log(y), np.log(1 - y))).sum())
             d = ((y - labels[pick]) / len(pick)).astype(np.float32)
             dz = d[:, None] * p["c"]
             da = (h * dz[bag]).sum(1)
@@ -115,6 +127,7 @@ def fit(texts: list[bytes], labels: np.ndarray, epochs: int = 12, rate: float =
                 m[n] = beta[0] * m[n] + (1 - beta[0]) * gr
                 v[n] = beta[1] * v[n] + (1 - beta[1]) * gr * gr
                 p[n] = (p[n] - rate * (m[n] / (1 - beta[0] ** step)) / (np.sqrt(v[n] / (1 - beta[1] ** step)) + 1e-8)).astype(np.float32)
+        losses.append(loss / len(texts))
     return p
 
 

@@ -69,3 +69,25 @@ def test_quality_edge_cases(spark):
     kept = quality_model.keep(docs, none)
     assert kept.columns == docs.columns and kept.count() == 5
     assert quality_model.keep(docs, none, threshold=0.6).count() == 0
+
+
+def test_fitting_goes_on_until_the_loss_stops_falling():
+    assert not quality_model.converged([]) and quality_model.converged([0.7, 0.3, quality_model.LOSS_END])
+    falling = [0.7 * 0.9 ** k for k in range(20)]
+    assert not any(quality_model.converged(falling[:k]) for k in range(1, 20)) and quality_model.converged(falling[:3] + [falling[2]] * quality_model.PATIENCE)
+    # A handful of labels is learnt as well as thousands are.
+    rng = np.random.default_rng(2)
+    good = [" ".join(rng.choice(["the", "river", "was", "quiet", "and", "people", "walked", "home"], 60)).encode() for _ in range(20)]
+    bad = [" ".join(rng.choice(["buy", "NOW", "$$$", "###", "click"], 60)).encode() for _ in range(6)]
+    p = quality_model.fit(good + bad, np.array([1] * 20 + [0] * 6, np.float32))
+    offsets = np.concatenate([[0], np.cumsum([len(t) for t in good + bad])])
+    y, _ = quality_model.forward(p, *quality_model.passages(np.frombuffer(b"".join(good + bad), np.uint8), offsets))
+    assert ((y > 0.5) == ([True] * 20 + [False] * 6)).all()
+
+
+def test_few_labels_reject_bad_documents(spark):
+    """At the smallest scale nearly all graded documents are judged right, held-out ones too."""
+    small = "/root/testdata/sf0.001"
+    labels = spark.read.parquet(f"{small}/labels.parquet")
+    rows = queries.op10_quality_model(spark, small).join(labels, "doc_id").collect()
+    assert sum(r["predicted"] != r["quality"] for r in rows) <= 0.03 * len(rows)
