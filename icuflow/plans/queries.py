@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import dictionary as D
-from ..functions.columns import categorical_code, item_group, outlier_flag, parse_double, unit_convert
+from ..functions.columns import categorical_code, item_group, outlier_flag, parse_double, parse_timestamp, unit_convert
 from ..operators import clean, cohort, features, metrics, profile, sequences, split, windows
 from ..session import persist, scratch_path
 from ..sources.csv import load_csv_table, write_csv
@@ -278,6 +278,20 @@ def q_features_48h_setA(spark, d):
     return round_doubles(features.feature_table(ev, _info(spark, d), "A"))
 
 
+@register("feature_vector", sql_events_pipeline(24, D.OUTLIER_RULES_13) + ",\n" + SQL_INFO + ",\n"
+          + "wide AS (" + sql_pivot("cleaned", FEATS_B, impute=D.IMPUTE_SET_B) + "),\n"
+          + "inputs AS (SELECT w.hadm_id, [" + ", ".join(f"w.{f}" for f in FEATS_B) + f", {r6('i.age')}, CASE WHEN i.gender = 'F' THEN 0 ELSE 1 END] AS v "
+          + "FROM wide w JOIN info i ON w.hadm_id = i.hadm_id)\n"
+          + "SELECT hadm_id, CAST(k AS INTEGER) AS position, v[k + 1] AS value FROM inputs, range(len(v)) r(k)")
+def q_feature_vector(spark, d):
+    """The model input vector of every admission, place by place."""
+    from pyspark.ml.functions import vector_to_array
+    ev = events_pipeline(spark, d, 24, D.OUTLIER_RULES_13)
+    wide = features.feature_table(ev, _info(spark, d), "B")
+    vectors = features.assemble(wide, features.feature_columns("B"))
+    return round_doubles(vectors.select("hadm_id", F.posexplode(vector_to_array("features")).alias("position", "value")))
+
+
 # --------------------------------------------------------------------------
 # Sources (S1-S7)
 # --------------------------------------------------------------------------
@@ -296,6 +310,18 @@ def q_sql_view_projection(spark, d):
     return spark.sql("SELECT c_custkey, c_name, c_nationkey FROM icuflow_customer")
 
 
+@register("csv_view_by_file_name", "SELECT o_orderkey, o_custkey, o_orderdate FROM orders WHERE o_orderstatus = 'F'")
+def q_csv_view_by_file_name(spark, d):
+    """An untyped CSV read under the view name of its file, its times parsed from text."""
+    path = scratch_path(spark, "views") + "/icuflow_orders.csv"
+    orders = table(spark, d, "orders").select("o_orderkey", "o_custkey", F.col("o_orderdate").cast("string").alias("o_orderdate"), "o_orderstatus")
+    write_csv(orders, path)
+    load_csv_table(spark, path)
+    view = spark.sql("SELECT o_orderkey, o_custkey, o_orderdate FROM icuflow_orders WHERE o_orderstatus = 'F'")
+    return view.select(F.col("o_orderkey").cast("long"), F.col("o_custkey").cast("long"),
+                       parse_timestamp("o_orderdate").cast("timestamp_ntz").alias("o_orderdate"))
+
+
 # --------------------------------------------------------------------------
 # Cohort (P5, F4, A1, A2, J1-J3, J5)
 # --------------------------------------------------------------------------
