@@ -65,8 +65,36 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def word_names(codes: np.ndarray, begins: np.ndarray, ends: np.ndarray, salt: int = 5) -> np.ndarray:
+    """64-bit names of the words [begins, ends) of a byte sequence (``codes``: a number per byte).
+
+    A name adds up a random number for each (byte, place in the word).  Unlike a sum of powers
+    modulo 2^64, whose Thue-Morse words are equal for any base, this has no words that are
+    equal by construction, however long they are.
+    """
+    sizes = ends - begins
+    total = int(sizes.sum())
+    first = np.cumsum(sizes) - sizes
+    place = np.arange(total, dtype=np.int64) - np.repeat(first, sizes)
+    at = place + np.repeat(begins, sizes)
+    values = mix(codes[at] + mix_places(place))
+    sums = np.zeros(total + 1, np.uint64)
+    np.cumsum(values, dtype=np.uint64, out=sums[1:])
+    return mix(sums[first + sizes] - sums[first] + mix(sizes.astype(np.uint64) + np.uint64(salt)))
+
+
+def mix_places(place: np.ndarray) -> np.ndarray:
+    """A random number per place, from a table for the common ones."""
+    top = int(place.max(initial=0)) + 1
+    have = _powers.get(-1)
+    if have is None or len(have) < top:
+        _powers[-1] = have = mix(np.arange(1, max(top, 1 << 10) + 1, dtype=np.uint64) * np.uint64(0xD1B54A32D192ED03))
+    return have[place]
+
+
 class Hashes:
-    """Hashes of any substrings of a sequence of 64-bit codes, from prefix sums."""
+    """Hashes of any substrings of a sequence of 64-bit codes, from prefix sums: for substrings of a few hundred
+    codes at most.  (Sums of powers modulo 2^64 have Thue-Morse collisions from 1,024 codes on.)"""
 
     def __init__(self, codes: np.ndarray):
         n = len(codes)

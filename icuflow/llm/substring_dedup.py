@@ -57,7 +57,7 @@ def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
 
 
 def word_codes(data: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    return R.Hashes(_CODES[data]).of(begins, ends, 5)
+    return R.word_names(_CODES[data], begins, ends)
 
 
 class Level:

@@ -102,3 +102,19 @@ def test_query_against_brute_force_on_the_driver_table(spark):
     sf = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()
     assert got(queries.op8_substring_dedup(spark, sf)) == brute([tuple(r) for r in docs])
+
+
+def thue_morse(bits, letters):
+    a, b = letters
+    for _ in range(bits):
+        a, b = a + b, b + a
+    return a, b
+
+
+def test_words_whose_power_sums_are_equal_are_different_words(spark):
+    one, two = thue_morse(11, "ab")
+    rest = " ".join(f"w{i}" for i in range(19))
+    rows = [(1, f"{one} {rest}"), (2, f"{two} {rest}"), (3, f"{rest} {one}"), (4, f"{one} {rest}")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert got(substring_dedup.digest(df)) == brute(rows)
+    assert [r["n_removed"] for r in substring_dedup.digest(df).orderBy("doc_id").collect()] == [0, 0, 0, 20]

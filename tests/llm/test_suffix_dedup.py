@@ -109,3 +109,18 @@ def test_query_against_brute_force_on_the_driver_table(spark):
     sf = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()
     assert got(queries.op3_suffix_dedup(spark, sf)) == brute([tuple(r) for r in docs], 100)
+
+
+def thue_morse(bits, letters):
+    a, b = letters
+    for _ in range(bits):
+        a, b = a + b, b + a
+    return a, b
+
+
+def test_texts_whose_power_sums_are_equal_are_different_texts(spark):
+    one, two = thue_morse(11, "ab")
+    noise = "".join(chr(33 + (i * i * 7 + i // 3) % 90) for i in range(300))
+    rows = [(1, one), (2, two), (3, noise + one[:128]), (4, noise + two[:128]), (5, one)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert got(suffix_dedup.digest(df)) == brute(rows, 100)
