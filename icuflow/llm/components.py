@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from icuflow.llm.common import apart, stage
+from icuflow.llm.common import apart, discard, stage
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -32,8 +32,11 @@ def components(links: DataFrame, name: str = "components") -> DataFrame:
     edges = stage(links.select("u", "v").where("u <> v").distinct(), name)
     before = None
     while True:
-        edges = stage(_small_star(_large_star(edges)), name)
-        mark = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v") % 1_000_003)).first()
-        if mark == before:
+        new = stage(_small_star(_large_star(edges)), name)
+        mark = new.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()
+        # Both tables hold distinct rows: of as many, one within the other, they are equal.
+        done = mark == before and new.join(edges, ["u", "v"], "left_anti").isEmpty()
+        discard(edges)
+        edges, before = new, mark
+        if done:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
-        before = mark
