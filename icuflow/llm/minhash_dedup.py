@@ -66,7 +66,7 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, shingle: int = SHINGLE)
     """Distinct (document, shingle) of a group of texts, sorted; offsets of each document's set."""
     begins, ends, doc = word_bounds(data, offsets)
     n = len(offsets) - 1
-    codes = R.Hashes(_CODES[_LOWER[data]]).of(begins, ends, 5)
+    codes = R.word_names(_CODES[_LOWER[data]], begins, ends)
     first = np.searchsorted(doc, np.arange(n + 1))
     words = np.diff(first)
     full = first[doc] + words[doc] - np.arange(len(doc)) >= shingle
@@ -162,11 +162,11 @@ def _tree_nodes(reps: DataFrame, trees: int) -> tuple[DataFrame, DataFrame]:
     return few, rows
 
 
-def _candidates(everything: bool):
+def _candidates(everything: bool, percent: int):
     """Within each small node (rows sorted by node, rep): pairs whose estimate is ESTIMATE or more."""
     def pairs(rep, n, cls, sig):
         same = (sig[:, None, :] == sig[None, :, :]).sum(2)
-        ok = (same >= ESTIMATE * COORDINATES) & (4 * np.minimum(n[:, None], n[None, :]) >= 3 * np.maximum(n[:, None], n[None, :]))
+        ok = (same >= ESTIMATE * COORDINATES) & (100 * np.minimum(n[:, None], n[None, :]) >= percent * np.maximum(n[:, None], n[None, :]))
         ok &= np.tri(len(rep), k=-1, dtype=bool) & (rep[:, None] != rep[None, :])
         if everything:
             i, j = np.nonzero(ok & (cls[:, None] != cls[None, :]))
@@ -197,7 +197,7 @@ def _candidates(everything: bool):
     return run
 
 
-def _small_pairs(nodes: DataFrame, reps: DataFrame, classes: DataFrame | None) -> DataFrame:
+def _small_pairs(nodes: DataFrame, reps: DataFrame, classes: DataFrame | None, percent: int) -> DataFrame:
     rows = nodes.join(reps.select(F.col("rep").alias("r"), "sig"), F.col("rep") == F.col("r")).drop("r")
     if classes is None:
         rows = rows.withColumn("cls", F.col("rep"))
@@ -205,30 +205,56 @@ def _small_pairs(nodes: DataFrame, reps: DataFrame, classes: DataFrame | None) -
         rows = rows.join(classes, F.col("rep") == F.col("member"), "left").withColumn("cls", F.coalesce("class", "rep"))
     parts = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (rows.select("node", "rep", "n", "cls", "sig").repartition(parts, "node").sortWithinPartitions("node", "rep")
-            .mapInArrow(_candidates(classes is not None), "u long, v long"))
+            .mapInArrow(_candidates(classes is not None, percent), "u long, v long"))
 
 
-def _leader_pairs(large: DataFrame, classes: DataFrame | None, round_: int) -> DataFrame:
+def _members(large: DataFrame) -> DataFrame:
+    """(rep, n, nodes): a row for each member with the large nodes that it lies in, TREES * 2^(DEPTH - 1) at most."""
+    return large.groupBy("rep", "n").agg(F.collect_list("node").alias("nodes"))
+
+
+def _classed(members: DataFrame, classes: DataFrame | None) -> DataFrame:
+    """(node, rep, n, cls): classes meet the members, a row each; only then the nodes are listed."""
+    if classes is None:
+        known = members.withColumn("cls", F.col("rep"))
+    else:
+        known = members.join(classes, F.col("rep") == F.col("member"), "left").withColumn("cls", F.coalesce("class", "rep"))
+    return known.select(F.explode("nodes").alias("node"), "rep", "n", "cls")
+
+
+def _leader_pairs(members: DataFrame, classes: DataFrame | None, round_: int, percent: int) -> DataFrame:
     """Members of large nodes with a leader of the node; members already in its class are done."""
-    # The first round takes a quarter of the nodes: each member lies in many, and what it links there
-    # need not be looked at again.  Later rounds take all of them.
-    rows = large.where(F.pmod("node", F.lit(FIRST_NODES)) == 0) if classes is None else large.join(classes, F.col("rep") == F.col("member"), "left")
-    rows = rows.select("node", "rep", "n", (F.col("rep") if classes is None else F.coalesce("class", "rep")).alias("cls"))
-    near = 4 * F.least("n", "leader.n") >= 3 * F.greatest("n", "leader.n")
-    one = rows.groupBy("node").agg(F.min(F.struct("rep", "n", "cls")).alias("leader")).select(apart("node").alias("at"), "leader")
-    met = rows.join(one, apart("node") == F.col("at"))
-    pairs = met.where(near & (F.col("cls") != F.col("leader.cls"))).select(F.col("leader.rep").alias("u"), F.col("rep").alias("v"))
+    rows = _classed(members, classes)
     if classes is None:
-        return pairs
-    # Later rounds: another member of the first leader's class, and the first member outside it.
-    inside = F.col("cls") == F.col("leader.cls")
-    draw = F.xxhash64("node", "rep", F.lit(round_))
-    for pick, order in ((inside, draw), (~inside, draw)):
-        other = (met.where(pick).groupBy("node").agg(F.min_by(F.struct("rep", "n", "cls"), order).alias("leader"))
+        # The first round takes a quarter of the nodes: each member lies in many, and what it links there
+        # need not be looked at again.  Later rounds take all of them.
+        rows = rows.where(F.pmod("node", F.lit(FIRST_NODES)) == 0)
+    one = F.struct("rep", "n", "cls")
+    if classes is None:
+        picks = [rows.groupBy("node").agg(F.min(one).alias("leader"))]
+    else:
+        # Per node and class: the first member and a drawn one.  The leader is the first of all; later rounds
+        # also take a drawn member of its class and a drawn member of another.
+        draw = F.xxhash64("node", "rep", F.lit(round_))
+        per = rows.groupBy("node", "cls").agg(F.min(one).alias("first"), F.min(F.struct(draw.alias("draw"), one.alias("one"))).alias("drawn"))
+        nodes = (per.groupBy("node").agg(F.min("first").alias("leader"), F.count("*").alias("classes")).where("classes > 1")
                  .select(apart("node").alias("at"), "leader"))
-        pairs = pairs.unionByName(
-            met.where(~inside).drop("leader", "at").join(other, apart("node") == F.col("at"))
-            .where(near & (F.col("cls") != F.col("leader.cls"))).select(F.least("leader.rep", "rep").alias("u"), F.greatest("leader.rep", "rep").alias("v")))
+        met = per.join(nodes, apart("node") == F.col("at"))
+        inside = F.col("cls") == F.col("leader.cls")
+        picks = [nodes.select(apart("at").alias("node"), "leader")]
+        for which in (inside, ~inside):
+            picks.append(met.where(which).groupBy("node").agg(F.min("drawn").alias("drawn"), F.first("leader").alias("head"))
+                         .select("node", F.col("drawn.one").alias("leader"), F.col("head.cls").alias("head")))
+    pairs = None
+    for k, pick in enumerate(picks):
+        to = pick.select(apart("node").alias("at"), "leader", *(["head"] if k else []))
+        # The conditions are the join's own, so that it gives pairs to look at only.
+        meets = ((apart("node") == F.col("at")) & (F.col("cls") != F.col("leader.cls"))
+                 & (100 * F.least("n", "leader.n") >= percent * F.greatest("n", "leader.n")))
+        if k:
+            meets = meets & (F.col("cls") != F.col("head"))
+        found = rows.join(to, meets).select(F.least("leader.rep", "rep").alias("u"), F.greatest("leader.rep", "rep").alias("v"))
+        pairs = found if pairs is None else pairs.unionByName(found)
     return pairs
 
 
@@ -269,10 +295,9 @@ def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.mapInArrow(run, "u long, v long")
 
 
-def _open_nodes(large: DataFrame, classes: DataFrame) -> DataFrame:
+def _open_nodes(members: DataFrame, classes: DataFrame) -> DataFrame:
     """(grp, k, rep, n, cls) of the large nodes whose members are of several classes; nodes of equal members once."""
-    rows = (large.join(classes, F.col("rep") == F.col("member"), "left")
-            .select(F.col("node").alias("grp"), _size_class().alias("k"), "rep", "n", F.coalesce("class", "rep").alias("cls")))
+    rows = _classed(members, classes).select(F.col("node").alias("grp"), _size_class().alias("k"), "rep", "n", "cls")
     nodes = (rows.groupBy("grp").agg(F.min("cls").alias("low"), F.max("cls").alias("high"), F.count("*").alias("members"),
                                      F.bit_xor(F.xxhash64("rep")).alias("x1"), F.bit_xor(F.xxhash64("rep", F.lit(1))).alias("x2"))
              .where("low < high").groupBy("members", "x1", "x2").agg(F.min("grp").alias("at")).select(apart("at").alias("at")))
@@ -418,22 +443,24 @@ def near_duplicates(docs: DataFrame, percent: int = 75, shingle: int = SHINGLE,
     sketches = stage(texts.mapInArrow(_sketches(shingle), "doc_id long, n long, d1 long, d2 long, sig binary"), "minhash-sketches")
     reps = stage(sketches.where("n > 0").groupBy("n", "d1", "d2").agg(F.min("doc_id").alias("rep"), F.min("sig").alias("sig")), "minhash-reps")
     small, large = _tree_nodes(reps, trees)
-    any_large = not large.isEmpty()
+    members = stage(_members(large), "minhash-members")
+    discard(large)
+    any_large = not members.isEmpty()
     tried = classes = sets = None
     for round_ in range(1, ROUNDS + 1):
-        found = stage(_small_pairs(small, reps, classes), "minhash-candidates") if round_ <= 2 else None
+        found = stage(_small_pairs(small, reps, classes, percent), "minhash-candidates") if round_ <= 2 else None
         if round_ > 2 and not any_large:
             break
         pairs = found.where("u <> v") if found is not None else None
         if any_large:
-            leaders = _leader_pairs(large, classes, round_)
+            leaders = _leader_pairs(members, classes, round_, percent)
             pairs = leaders if pairs is None else pairs.unionByName(leaders)
         pairs = pairs.distinct()
         if tried is not None:
             pairs = pairs.join(tried.withColumnsRenamed({"u": "tu", "v": "tv"}), (F.col("u") == F.col("tu")) & (F.col("v") == F.col("tv")), "left_anti")
         pairs = stage(pairs, "minhash-pairs")
         if round_ == 1:
-            wanted = found.select(F.col("u").alias("rep")).unionByName(large.select("rep")).distinct()
+            wanted = found.select(F.col("u").alias("rep")).unionByName(members.select("rep")).distinct()
             sets = stage(_sets(texts, wanted, shingle), "minhash-sets")
         elif pairs.isEmpty():
             break
@@ -444,12 +471,12 @@ def near_duplicates(docs: DataFrame, percent: int = 75, shingle: int = SHINGLE,
         if round_ == 1 or not new.isEmpty():
             classes = _joined(new, classes)
     if any_large:  # the rounds' draws may have missed pairs: compare all that still cross classes
-        open_ = stage(_open_nodes(large, classes), "minhash-open-nodes")
+        open_ = stage(_open_nodes(members, classes), "minhash-open-nodes")
         if not open_.isEmpty():
             new = stage(_open_links(open_, reps, classes, sets, percent), "minhash-links")
             if not new.isEmpty():
                 classes = _joined(new, classes)
-    discard(sets, small, large)
+    discard(sets, small, members)
     own = (sketches.where("n > 0").select("doc_id", "n", "d1", "d2")
            .join(reps.select(F.col("n").alias("rn"), F.col("d1").alias("r1"), F.col("d2").alias("r2"), "rep"),
                  (F.col("n") == F.col("rn")) & (F.col("d1") == F.col("r1")) & (F.col("d2") == F.col("r2")))

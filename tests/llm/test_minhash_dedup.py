@@ -131,3 +131,31 @@ def test_query_against_brute_force_on_the_driver_table(spark):
     sf = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()
     assert got(queries.op1_minhash_dedup(spark, sf)) == brute([tuple(r) for r in docs])
+
+
+def thue_morse(bits, letters):
+    a, b = letters
+    for _ in range(bits):
+        a, b = a + b, b + a
+    return a, b
+
+
+def test_words_whose_power_sums_are_equal_are_different_words(spark):
+    """Thue-Morse words collide under any sum of powers modulo 2^64; alone and among others they stay apart."""
+    rows = []
+    for k, letters in enumerate(("ab", "xy", ("\u00e4", "\u00f6"))):
+        one, two = thue_morse(11, letters)
+        rows += [(10 * k, one), (10 * k + 1, two), (10 * k + 2, one), (10 * k + 3, f"a b c d {one} f g"), (10 * k + 4, f"a b c d {two} f g")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert got(minhash_dedup.near_duplicates(df)) == brute(rows)
+    assert [r for r in got(minhash_dedup.near_duplicates(df)).values()].count((1, 0, True)) == 1
+
+
+def test_a_lower_percent_also_lowers_the_size_filter(spark, monkeypatch):
+    words = [f"w{i}" for i in range(300)]
+    rows = [(1, " ".join(words[:104])), (2, " ".join(words[:76])), (3, " ".join(words[200:300])), (4, " ".join(words[200:273]))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = brute(rows, 70)
+    assert want[2][1] == 1 and got(minhash_dedup.near_duplicates(df, percent=70)) == want and got(minhash_dedup.near_duplicates(df)) == brute(rows)
+    monkeypatch.setattr(minhash_dedup, "NODE", 1)  # by way of the large nodes
+    assert got(minhash_dedup.near_duplicates(df, percent=70)) == want
