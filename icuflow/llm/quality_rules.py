@@ -76,16 +76,17 @@ def votes() -> dict[str, Column]:
         _vote(c("n_digits") * 5 > c("word_chars"), c("n_digits") * 20 <= c("word_chars"))), strict=True))
 
 
-def fit(patterns: list[tuple[tuple[int, ...], int]], iterations: int = 30, prior_share: float = 0.05) -> tuple[float, list]:
+def fit(patterns: list[tuple[tuple[int, ...], int]], prior_share: float = 0.05, tolerance: float = 1e-9, most: int = 10_000) -> tuple[float, list]:
     """Expectation-maximisation over counted vote patterns: (share of good, per rule (P(v|good), P(v|bad))).
 
-    ``prior_share`` of the documents count as pseudo-votes of a careful rule, which
-    keeps the meaning of the two classes and every probability above 0.
+    ``prior_share`` of the documents count as pseudo-votes of a careful rule, good and bad alike, which
+    keeps the meaning of the two classes and every probability above 0; the share of good documents
+    is free.  The steps end when no probability moves by more than ``tolerance``.
     """
     total = sum(n for _, n in patterns)
     good0, bad0 = {1: 0.90, 0: 0.08, -1: 0.02}, {1: 0.35, 0: 0.15, -1: 0.50}
     share, tables = 0.9, [(dict(good0), dict(bad0)) for _ in (patterns[0][0] if patterns else RULES)]
-    for _ in range(iterations if total else 0):
+    for _ in range(most if total else 0):
         weight = 1 + prior_share * total
         sums = [({v: weight * good0[v] for v in good0}, {v: weight * bad0[v] * 0.2 for v in bad0}) for _ in tables]
         good_n = 0.0
@@ -96,8 +97,13 @@ def fit(patterns: list[tuple[tuple[int, ...], int]], iterations: int = 30, prior
             for s, v in zip(sums, p, strict=True):
                 s[0][v] += n * q
                 s[1][v] += n * (1 - q)
-        share = min(0.999, max(0.5, (good_n + 0.9 * weight) / (total + weight)))
-        tables = [tuple({v: x / sum(side.values()) for v, x in side.items()} for side in s) for s in sums]
+        # One pseudo-document of either class keeps the share off 0 and 1.
+        new_share = (good_n + 1) / (total + 2)
+        new = [tuple({v: x / sum(side.values()) for v, x in side.items()} for side in s) for s in sums]
+        moved = max([abs(new_share - share), *(abs(x[v] - y[v]) for s, t in zip(new, tables, strict=True) for x, y in zip(s, t, strict=True) for v in x)])
+        share, tables = new_share, new
+        if moved <= tolerance:
+            break
     return share, tables
 
 

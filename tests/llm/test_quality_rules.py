@@ -2,6 +2,8 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from icuflow.llm import quality_rules, queries
@@ -50,6 +52,45 @@ def test_em_learns_which_rules_tell(spark):
     assert tell[0] > tell[3] > tell[4] > 0.2 and quality_rules.fit([])[0] == 0.9
 
 
+def _brute_em(votes, steps=3000):
+    """The same model document by document, in numpy, for a fixed number of steps."""
+    n, rules = votes.shape
+    prior = np.array([[0.90, 0.08, 0.02], [0.35, 0.15, 0.50]])  # P(1, 0, -1) of good and of bad documents
+    table = np.repeat(prior[:, None], rules, axis=1)
+    which = np.stack([votes == v for v in (1, 0, -1)], axis=2).astype(float)
+    share, weight = 0.9, 1 + 0.05 * n
+    for _ in range(steps):
+        logs = np.array([(which * np.log(table[c])).sum((1, 2)) for c in (0, 1)])
+        q = 1 / (1 + np.exp(-np.clip(np.log(share / (1 - share)) + logs[0] - logs[1], -50, 50)))
+        share = (q.sum() + 1) / (n + 2)
+        for c, (w, scale) in enumerate(((q, 1.0), (1 - q, 0.2))):
+            sums = np.einsum("n,nrv->rv", w, which) + weight * prior[c] * scale
+            table[c] = sums / sums.sum(1, keepdims=True)
+    return share, table, q
+
+
+@pytest.mark.parametrize("true_share", [0.2, 0.5, 0.85])
+def test_em_against_brute_force(true_share):
+    """At convergence: the share of good documents, every table, and the posteriors, mostly bad corpora included."""
+    rng = np.random.default_rng(5)
+    good = rng.random(5000) < true_share
+    votes = np.where(rng.random((5000, 7)) < 0.85, np.where(good, 1, -1)[:, None], rng.integers(-1, 2, (5000, 7)))
+    share, tables = quality_rules.fit(list(Counter(map(tuple, votes.tolist())).items()))
+    want, table, q = _brute_em(votes)
+    assert abs(share - want) < 1e-6 and abs(share - true_share) < 0.03
+    got = np.array([[[t[c][v] for v in (1, 0, -1)] for t in tables] for c in (0, 1)])
+    assert np.abs(got - table).max() < 1e-6 and ((q > 0.5) == good).mean() > 0.99
+
+
+def test_posterior_and_verdict_against_brute_force(spark):
+    sf = "/root/testdata/sf0.001"
+    figures = quality_rules.quality(spark.read.parquet(f"{sf}/documents.parquet")).toPandas()
+    votes = figures[[f"vote_{k}" for k in quality_rules.RULES]].to_numpy()
+    _, _, q = _brute_em(votes)
+    assert np.abs(q - figures["posterior"]).max() < 1e-5
+    assert (figures["kept"] == (~figures["base_failed"] & (figures["posterior"] >= 0.5))).all()
+
+
 def test_verdict_against_labels(spark):
     sf = "/root/testdata/sf0.01"
     labels = spark.read.parquet(f"{sf}/labels.parquet")
