@@ -1,6 +1,11 @@
 """Chat formatting: transcripts to canonical turns by a hidden Markov model.
 
-A transcript is read line by line.  A hidden state is a role with "begins a
+A transcript is written in one style: one way of marking speakers (``User:``, ``### User:``,
+``[user]`` ...) and one name for each role.  The style is a hidden variable of the whole
+transcript: of the marker-like lines it explains the most, names that go together preferred;
+a marker-like line of another style is text and keeps every character.
+
+In the style, a transcript is read line by line.  A hidden state is a role with "begins a
 turn" or "goes on"; a line shows a speaker marker (user-like, assistant-like,
 system-like, a numbered speaker, or none) and its other features: blank, ends as
 a question, long.  Viterbi finds the likeliest roles, so a marker that names
@@ -15,6 +20,11 @@ tables, chained in part order, tell the state before and at the end of each part
 Turns whose numbers lie ``PART_TURNS`` or more apart (only turns of different parts
 can) are not neighbours: what was said before, or whether anything was, is unknown.
 
+``transcripts_of`` writes turns so that they can be read back whole: a line of a text that looks
+like a marker gets a backslash, which ``escaped`` reading takes away again, and a role other
+than the three is written as a tag of its own name, which the turn keeps.  Plain reading
+leaves backslashes alone.
+
 Defined cases: an empty transcript has no turns; lines before the first marker
 are a turn of the likeliest role; a null role or text in a table of turns is
 unmarked or empty; turns with equal numbers follow by role and text; an empty
@@ -25,6 +35,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from urllib.parse import unquote_plus
 
 import numpy as np
 import pyarrow as pa
@@ -36,12 +47,28 @@ ROLES = ("system", "user", "assistant")
 PART_TURNS = 256
 _NAMES = {"system": "system|context|instructions", "user": "user|human|question|q|customer|prompt|instruction",
           "assistant": "assistant|ai|bot|answer|a|response|model"}
-_MARKERS = [(k, re.compile(rf"(?:(?:{names}): ?|#{{2,3}} (?:{names}):? ?|<\|(?:{names})\|> ?|\[(?:{names})\] ?|\*\*(?:{names}):\*\* ?)", re.I))
-            for k, names in enumerate(_NAMES.values())] + [(3, re.compile(r"speaker \d+: ?", re.I))]
-NO_MARKER = 4
+_ANY = "|".join(_NAMES.values())
+_ROLE_OF = {n: k for k, names in enumerate(_NAMES.values()) for n in names.split("|")}
+# Ways of writing a marker, numbered speakers, and a tag with any other name.
+_WRITTEN = [rf"({_ANY}): ?", rf"#{{2,3}} ({_ANY}):? ?", rf"<\|({_ANY})\|> ?", rf"\[({_ANY})\] ?", rf"\*\*({_ANY}):\*\* ?"]
+_NUMBERED, _TAG = r"speaker \d+: ?", r"<\|([^|\n]*)\|> ?"
+_SYNTAX = [re.compile(p, re.I) for p in _WRITTEN]
+_SPEAKER, _TAGGED = re.compile(_NUMBERED, re.I), re.compile(_TAG)
+# What an escaped line begins with, for Java and Python alike.
+_ESCAPED = "(?i)\\n(?=\\\\|" + "|".join(p.replace("(", "(?:", 1) for p in [*_WRITTEN, _NUMBERED, _TAG]) + ")"
+# Names that go together; of styles that explain as many lines these come first.
+_PAIRS = {("user", "assistant"), ("human", "ai"), ("human", "assistant"), ("q", "a"), ("question", "answer"), ("prompt", "response"),
+          ("instruction", "response"), ("customer", "bot"), ("user", "ai"), ("user", "bot"), ("user", "model")}
+SPEAKER, NO_MARKER = 3, 4
+# In escaped writing: a tag with a name of its own, a line that goes on for certain, and a role known for certain.
+NAMED, CONTINUED, CERTAIN = 5, 6, 7
 # P(marker | state): rows are the roles; a turn that begins shows a marker, one that goes on hardly ever does.
 _BEGIN = np.array([[0.888, 0.02, 0.02, 0.002, 0.07], [0.005, 0.65, 0.015, 0.28, 0.05], [0.005, 0.015, 0.65, 0.28, 0.05]])
 _GO_ON = np.array([0.0005, 0.0005, 0.0005, 0.0005, 0.998])
+# A tag tells nothing of the three roles; what escaped writing makes certain leaves next to nothing to the rest.
+_NEVER = 1e-12
+_BEGIN = np.concatenate([_BEGIN, np.full((3, 1), 0.3), np.full((3, 1), _NEVER), np.where(np.eye(3) > 0, 1.0, _NEVER)], axis=1)
+_GO_ON = np.concatenate([_GO_ON, [_NEVER, 1.0], np.full(3, _NEVER)])
 # P(next role | role) when a turn ends, and P(role) of the first turn.
 _NEXT = np.array([[0.02, 0.93, 0.05], [0.01, 0.06, 0.93], [0.01, 0.93, 0.06]])
 _FIRST = np.array([0.30, 0.65, 0.05])
@@ -51,14 +78,57 @@ _END = 0.5
 _FEATURES = np.array([[0.10, 0.05, 0.40], [0.10, 0.30, 0.30], [0.12, 0.15, 0.50]])
 
 
-def read_line(line: str) -> tuple[int, str, tuple[bool, bool, bool]]:
-    """Marker, the line without it, and its features."""
-    for k, pattern in _MARKERS:
+def look(line: str) -> tuple[int, str, int] | None:
+    """(way of writing, name, length) of a marker-like beginning; numbered speakers and tags have ways of their own."""
+    for k, pattern in enumerate(_SYNTAX):
         m = pattern.match(line)
         if m:
-            line = line[m.end():]
-            return k, line, (not line.strip(), line.rstrip().endswith("?"), len(line) > 80)
-    return NO_MARKER, line, (not line.strip(), line.rstrip().endswith("?"), len(line) > 80)
+            return k, m.group(1).lower(), m.end()
+    m = _SPEAKER.match(line)
+    if m:
+        return len(_SYNTAX), "", m.end()
+    return None
+
+
+def style(found: list[tuple[int, str, int] | None]) -> set[tuple[int, str]]:
+    """The (way, name) pairs that are markers in a transcript with these marker-like lines: of one way of
+    writing, one name for each role.  Numbered speakers go with any style."""
+    counts: dict[int, dict[str, int]] = {}
+    for f in found:
+        if f is not None and f[0] < len(_SYNTAX):
+            counts.setdefault(f[0], {}).setdefault(f[1], 0)
+            counts[f[0]][f[1]] += 1
+    best, most = set(), (-1, 0)
+    for way, names in counts.items():
+        by_role = [[n for n in names if _ROLE_OF[n] == k] or [""] for k in range(3)]
+        user, assistant = max(((u, a) for u in by_role[1] for a in by_role[2]),
+                              key=lambda x: (names.get(x[0], 0) + names.get(x[1], 0), (x[0], x[1]) in _PAIRS))
+        system = max(by_role[0], key=lambda n: names.get(n, 0))
+        chosen = {n for n in (user, assistant, system) if n}
+        score = (sum(names[n] for n in chosen), int((user, assistant) in _PAIRS))
+        if score > most:
+            best, most = {(way, n) for n in chosen}, score
+    return best | {(len(_SYNTAX), "")}
+
+
+def read_lines(transcript: str, escaped: bool = False) -> list[tuple[int, str, tuple[bool, bool, bool], str | None]]:
+    """Marker, line without it, its features and, of a tag, the name, for each line."""
+    lines = transcript.split("\n")
+    plain = [escaped and line.startswith("\\") for line in lines]  # escaped: text, whatever it looks like
+    tags = [_TAGGED.match(line) if escaped and not p else None for line, p in zip(lines, plain, strict=True)]
+    found = [None if p else look(line) for line, p in zip(lines, plain, strict=True)]
+    own = style(found)
+    out = []
+    for line, p, tag, f in zip(lines, plain, tags, found, strict=True):
+        marker, name = CONTINUED if escaped and out else NO_MARKER, None
+        if p:
+            line = line[1:]
+        elif f is not None and f[:2] in own:
+            marker, line = SPEAKER if f[0] == len(_SYNTAX) else _ROLE_OF[f[1]] + CERTAIN * escaped, line[f[2]:]
+        elif tag is not None:
+            marker, name, line = NAMED, unquote_plus(tag.group(1)), line[tag.end():]
+        out.append((marker, line, (not line.strip(), line.rstrip().endswith("?"), len(line) > 80), name))
+    return out
 
 
 def _moves() -> np.ndarray:
@@ -150,21 +220,22 @@ def chain(tables: np.ndarray, low: list[int], high: list[int]) -> list[tuple[int
     return out
 
 
-def _read(transcripts: list[str | None]) -> tuple[list, list[np.ndarray], list[np.ndarray]]:
-    lines = [[read_line(x) for x in t.split("\n")] if t else [] for t in transcripts]
+def _read(transcripts: list[str | None], escaped: bool = False) -> tuple[list, list[np.ndarray], list[np.ndarray]]:
+    lines = [read_lines(t, escaped) if t else [] for t in transcripts]
     return (lines, [np.array([x[0] for x in ls], np.int64) for ls in lines],
             [np.array([x[2] for x in ls], bool).reshape(len(ls), 3) for ls in lines])
 
 
-def parse(transcripts: list[str | None], enter: list[int | None] | None = None, leave: list[int | None] | None = None) -> list[list[tuple[str, str]]]:
-    """Turns (role, text) of each transcript; ``enter`` and ``leave`` as in viterbi."""
-    lines, markers, features = _read(transcripts)
+def parse(transcripts: list[str | None], enter: list[int | None] | None = None, leave: list[int | None] | None = None,
+          escaped: bool = False) -> list[list[tuple[str, str]]]:
+    """Turns (role, text) of each transcript; ``enter`` and ``leave`` as in viterbi, ``escaped`` as ``transcripts_of`` writes."""
+    lines, markers, features = _read(transcripts, escaped)
     out = []
     for ls, path in zip(lines, viterbi(markers, features, _FIRST, enter, leave), strict=True):
         turns: list[tuple[str, list[str]]] = []
-        for (_, text, _), state in zip(ls, path.tolist(), strict=True):
+        for (_, text, _, name), state in zip(ls, path.tolist(), strict=True):
             if state < 3 or not turns:
-                turns.append((ROLES[state % 3], [text]))
+                turns.append((ROLES[state % 3] if name is None else name, [text]))
             else:
                 turns[-1][1].append(text)
         out.append([(r, "\n".join(x)) for r, x in turns])
@@ -186,8 +257,9 @@ def _like_lengths(text: list[str | None]) -> Iterator[list[int]]:
 
 
 def format_transcripts(transcripts: DataFrame, id_cols: list[str], text_col: str = "transcript",
-                       enter_col: str | None = None, leave_col: str | None = None) -> DataFrame:
-    """id_cols, n_turns, roles (comma-joined) and rendered for each transcript; the other columns as in viterbi."""
+                       enter_col: str | None = None, leave_col: str | None = None, escaped: bool = False) -> DataFrame:
+    """id_cols, n_turns, roles (comma-joined) and rendered for each transcript; the other columns as in viterbi,
+    ``escaped`` as in parse."""
     state = lambda c: (F.col(c) if c else F.lit(None)).cast("int")
     rows = transcripts.select(*id_cols, F.col(text_col).alias("_t"), state(enter_col).alias("_e"), state(leave_col).alias("_l"))
 
@@ -196,7 +268,7 @@ def format_transcripts(transcripts: DataFrame, id_cols: list[str], text_col: str
             text, enter, leave = (b.column(b.num_columns - k).to_pylist() for k in (3, 2, 1))
             parsed: list = [None] * len(text)
             for some in _like_lengths(text):
-                for k, turns in zip(some, parse(*([x[k] for k in some] for x in (text, enter, leave))), strict=True):
+                for k, turns in zip(some, parse(*([x[k] for k in some] for x in (text, enter, leave)), escaped=escaped), strict=True):
                     parsed[k] = turns
             yield pa.RecordBatch.from_arrays(
                 [b.column(k) for k in range(len(id_cols))]
@@ -214,7 +286,7 @@ def _states(parts: DataFrame) -> DataFrame:
             text = b.column(2).to_pylist()
             tables: list = [None] * len(text)
             for some in _like_lengths(text):
-                _, markers, features = _read([text[k] for k in some])
+                _, markers, features = _read([text[k] for k in some], escaped=True)
                 for k, table in zip(some, passages(markers, features), strict=True):
                     tables[k] = table.tobytes()
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(3), b.column(4), pa.array(tables, pa.binary())],
@@ -245,7 +317,8 @@ def _states(parts: DataFrame) -> DataFrame:
 
 def _marker(style: Column, role: Column) -> Column:
     """How a turn's speaker is written in one of five styles of transcripts; in the last, by number only."""
-    pick = lambda s, u, a: F.when(role == "system", s).when(role == "user", u).when(role == "assistant", a).otherwise("Speaker 9: ")
+    other = F.when(role == "", "Speaker 9: ").otherwise(F.concat(F.lit("<|"), F.url_encode(role), F.lit("|> ")))
+    pick = lambda s, u, a: F.when(role == "system", s).when(role == "user", u).when(role == "assistant", a).otherwise(other)
     return (F.when(style == 0, pick("System: ", "User: ", "Assistant: ")).when(style == 1, pick("Context: ", "Human: ", "AI: "))
             .when(style == 2, pick("### System: ", "### Instruction: ", "### Response: "))
             .when(style == 3, pick("[system] ", "[user] ", "[assistant] ")).otherwise(pick("System: ", "Speaker 1: ", "Speaker 2: ")))
@@ -256,7 +329,7 @@ def transcripts_of(turns: DataFrame, id_col: str = "conv_id", turn_col: str = "t
     t = turns.select(F.col(id_col).alias("conv_id"), F.coalesce(F.col(turn_col).cast("long"), F.lit(0)).alias("turn"),
                      F.coalesce(F.col(role_col), F.lit("")).alias("role"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     style = F.pmod(F.xxhash64("conv_id"), F.lit(5))
-    t = t.withColumns({"part": F.floor(F.col("turn") / PART_TURNS).cast("long"), "line": F.concat(_marker(style, F.col("role")), "text")})
+    t = t.withColumns({"part": F.floor(F.col("turn") / PART_TURNS).cast("long"), "line": F.concat(_marker(style, F.col("role")), F.regexp_replace("text", _ESCAPED, "\n\\\\"))})
     rows = t.groupBy("conv_id", "part").agg(F.array_sort(F.collect_list(F.struct("turn", "role", "text", "line"))).alias("x"),
                                           F.min("turn").alias("low"), F.max("turn").alias("high"))
     return rows.select("conv_id", "part", F.array_join(F.transform("x", lambda r: r["line"]), "\n").alias("transcript"), "low", "high")
@@ -274,7 +347,7 @@ def digest(turns: DataFrame) -> DataFrame:
     states = _states(long_).withColumnRenamed("key", "of")
     rows = parts.join(states, (F.col("key") == F.col("of")) & (F.col("part") == F.col("at")), "left")
     rows = rows.withColumn("enter", F.coalesce("enter", F.when(F.col("part") > 0, UNKNOWN).otherwise(BEGINNING)))
-    out = format_transcripts(rows, ["conv_id", "part"], enter_col="enter", leave_col="leave")
+    out = format_transcripts(rows, ["conv_id", "part"], enter_col="enter", leave_col="leave", escaped=True)
     return out.select("conv_id", "part", "n_turns", "roles", F.sha2(F.col("rendered").cast("binary"), 256).alias("rendered_sha256"))
 
 

@@ -87,3 +87,38 @@ def test_query_against_sql(spark):
     got = queries.op6_chat_format(spark, sf).toPandas()[list(want.columns)]
     key = ["conv_id", "part"]
     assert got.sort_values(key).reset_index(drop=True).astype(str).equals(want.sort_values(key).reset_index(drop=True).astype(str))
+
+
+def test_a_marker_of_another_style_is_text():
+    turns = chat.parse(["User: Is this right?\nAnswer: 42\nwhy?\nAssistant: Because."])[0]
+    assert turns == [("user", "Is this right?\nAnswer: 42\nwhy?"), ("assistant", "Because.")]
+    turns = chat.parse(["### Human: see\nQ: a\n[user] b\n**A:** c\n\\\\server\\x\n### AI: yes\nModel: T"])[0]
+    assert turns == [("user", "see\nQ: a\n[user] b\n**A:** c\n\\\\server\\x"), ("assistant", "yes\nModel: T")]
+    assert chat.parse(["Q: one?\nA: two\nUser: no marker here\nQ: three?\nA: four"])[0] == [
+        ("user", "one?"), ("assistant", "two\nUser: no marker here"), ("user", "three?"), ("assistant", "four")]
+
+
+def _sql_rows(rows):
+    con = duckdb.connect()
+    con.execute("create table conversations (conv_id bigint, turn bigint, role varchar, text varchar)")
+    con.executemany("insert into conversations values (?, ?, ?, ?)", rows)
+    return sorted(con.execute(chat.SQL).fetchall())
+
+
+def test_any_texts_and_roles_render_as_the_sql_does(spark):
+    """Lines like markers of every style, backslashes, blank and odd lines, and roles beyond the three keep every character."""
+    rnd = np.random.default_rng(11)
+    starts = ["User: ", "assistant:", "### Response: ", "[user] ", "<|system|> ", "**A:** ", "Speaker 2: ", "Answer: ", "\\", "\\User: ", "\\\\", " User: ", "<|tool|> ",
+              "<||>", "a:", "Q:", "", "##", "# User", "é ", "\r", "context: "]
+    rows = []
+    for c in range(120):
+        for k in range(int(rnd.integers(1, 9))):
+            lines = [starts[int(rnd.integers(len(starts)))] + ("word " * int(rnd.integers(0, 4))).strip() for _ in range(int(rnd.integers(1, 5)))]
+            role = ["user", "assistant", "user", "assistant", "system", "tool", "Critic |> x", "a,b", "Re\u0301gie\nX"][int(rnd.integers(9))]
+            rows.append((c, k, role, "\n".join(lines)))
+    # Numbered speakers name no role: their roles are a guess and left out of this test.
+    named = {r[0] for r in spark.range(120).selectExpr("id", "pmod(xxhash64(id), 5) s").where("s < 4").collect()}
+    rows = [r for r in rows if r[0] in named]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    columns = ["conv_id", "part", "n_turns", "roles", "rendered_sha256"]
+    assert sorted(tuple(r) for r in chat.digest(df).select(columns).collect()) == _sql_rows(rows)
