@@ -9,8 +9,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import persist
-
 
 # Arrays of so many tasks are added on the driver itself.
 FEW = 4
@@ -48,7 +46,7 @@ def packed(df: DataFrame, size: int) -> tuple[DataFrame, int]:
     """``df`` (about ``size`` bytes) persisted for many passes, in as few partitions as give tasks of ``TASK_BYTES``.
     The caller releases it with ``unpersist``."""
     parts = max(1, -(-size // TASK_BYTES))
-    return persist(df.repartition(parts)), parts
+    return df.repartition(parts).persist(), parts
 
 
 def rows_of(column: pa.Array, width: int) -> np.ndarray:

@@ -188,6 +188,15 @@ def q_pipeline_features_all_cells(spark, d):
     return Q.round_doubles(pipeline.feature_cells(**raw_tables(spark, d)))
 
 
+@Q.register("pipeline_sequences_all_cells", " UNION ALL ".join(
+    f"SELECT {h} AS hours, '{s}' AS feature_set, * FROM ({sql_sequences(h, s)})" for h in (24, 48) for s in ("A", "B")))
+def q_pipeline_sequences_all_cells(spark, d):
+    """The sequence tables of both windows and both sets from one scan of each event table."""
+    seqs = pipeline.sequence_cells(**raw_tables(spark, d))
+    total = F.aggregate(F.flatten("value"), F.lit(0.0), lambda acc, x: acc + x)
+    return Q.round_doubles(seqs.select("hours", "feature_set", "hadm_id", "num_stamps", total.alias("value_sum"), "hospital_expire_flag"))
+
+
 @Q.register("preparation_outputs", sql_events(48, "B") + f"""
 SELECT 'chartLab48Item20' AS output, subject_id, hadm_id, g AS itemid, charttime, {Q.r6('value')} AS value FROM grouped
 UNION ALL SELECT 'chart24Item17', subject_id, hadm_id, g, charttime, {Q.r6('value')} FROM ({sql_events(24, 'A')} SELECT * FROM grouped)

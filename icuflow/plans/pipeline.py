@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import dictionary as D
+from ..functions.columns import hour_key, minmax_scale
 from ..operators import clean, cohort, features, sequences, windows
 from ..session import persist, scratch_path
 
@@ -112,6 +113,44 @@ def feature_cells(patients: DataFrame, admissions: DataFrame, icustays: DataFram
     return joined.withColumns({"age": F.when(in_b, F.col("age")), "gender_01": F.when(in_b, F.col("gender_01"))})
 
 
+def sequence_cells(patients: DataFrame, admissions: DataFrame, icustays: DataFrame, chart: DataFrame, lab: DataFrame,
+                   cells: Sequence[tuple[int, str]] = CELLS, rules=D.OUTLIER_RULES_15, min_age: float = 18.0) -> DataFrame:
+    """The sequence tables of all cells as one plan: hours, feature_set, hadm_id, value, num_stamps, label.
+
+    Hourly means of every cell come from one aggregation; scaling uses each cell's own minima and
+    maxima, two rows of numbers a cell.  The persisted hourly rows are read by that fit and by the sequences.
+    """
+    info, events = cell_events(patients, admissions, icustays, chart, lab, cells, min_age)
+    events = clean.drop_outliers(events, rules, "itemid", "value")
+    inside = [F.array_contains("cells", k) for k in range(len(cells))]
+    feats, numbers = D.FEATURES_SET_B, range(len(cells))
+    means = events.groupBy("hadm_id", F.date_trunc("hour", "charttime").alias("hour"), "itemid").agg(
+        *[F.avg(F.when(c, F.col("value"))).alias(f"m{k}") for k, c in enumerate(inside)],
+        *[F.bool_or(c).alias(f"in{k}") for k, c in enumerate(inside)])
+    wide = means.groupBy("hadm_id", "hour").agg(
+        *[F.first(F.when(F.col("itemid") == f, F.col(f"m{k}")), ignorenulls=True).alias(f"m{k}_{f}") for k in numbers for f in feats],
+        *[F.bool_or(f"in{k}").alias(f"in{k}") for k in numbers])
+    structs = [F.when(F.col(f"in{k}"), F.struct(F.lit(k).alias("cell"), *[F.col(f"m{k}_{f}").alias(f) for f in feats])) for k in numbers]
+    rows = wide.select("hadm_id", "hour", F.explode(F.array_compact(F.array(*structs))).alias("c")).select("hadm_id", hour_key("hour").alias("time"), "c.*")
+    hourly = persist(sequences.add_demographics(rows, info))
+    columns = [sequences.sequence_feature_columns(s) for _, s in cells]
+    every = max(columns, key=len)
+    fits = {r["cell"]: r for r in hourly.groupBy("cell").agg(*[g(c).alias(f"{n}_{c}") for c in every for n, g in (("lo", F.min), ("hi", F.max))]).collect()}
+    scaled = None
+    for k, r in fits.items():
+        row = F.array(*[F.coalesce(minmax_scale(c, r[f"lo_{c}"], r[f"hi_{c}"]), F.lit(-1.0)) for c in columns[k]])
+        scaled = F.when(F.col("cell") == k, row) if scaled is None else scaled.when(F.col("cell") == k, row)
+    rows = hourly.select("cell", "hadm_id", "time", (F.lit(None).cast("array<double>") if scaled is None else scaled).alias("row"))
+    limit = F.element_at(F.array(*[F.lit(D.MAX_STEPS[h]) for h, _ in cells]), F.col("cell") + 1)
+    keep = rows.groupBy("cell", "hadm_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") <= limit).select("cell", "hadm_id")
+    seqs = (rows.join(keep, ["cell", "hadm_id"], "left_semi").groupBy("cell", "hadm_id")
+            .agg(F.sort_array(F.collect_list(F.struct("time", "row"))).alias("s"))
+            .select("cell", "hadm_id", F.transform("s", lambda x: x["row"]).alias("value"), F.size("s").alias("num_stamps")))
+    names = F.array(*[F.struct(F.lit(h).alias("hours"), F.lit(s.upper()).alias("feature_set")) for h, s in cells])
+    named = seqs.withColumn("c", F.element_at(names, F.col("cell") + 1)).select("c.*", "hadm_id", "value", "num_stamps")
+    return sequences.sequences_with_label(named, info)
+
+
 def hourly_table(events: DataFrame, patients_info: DataFrame, feature_set: str = "A",
                  rules=D.OUTLIER_RULES_15) -> DataFrame:
     """Outliers (15 rules) -> hourly (admission, hour) x feature means (+ demographics in B)."""

@@ -51,9 +51,29 @@ def create_session(app_name: str = "icuflow", master: str | None = None,
     return spark
 
 
+_persisted: list[DataFrame] = []
+
+
 def persist(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> DataFrame:
-    """Persist a DataFrame that is reused by several actions."""
-    return df.persist(level)
+    """Persist a DataFrame that is reused by several actions.
+
+    A result that reads it lazily outlives the function that made it; ``release_persisted`` frees the
+    copies once the results are used.
+    """
+    copy = df.persist(level)
+    _persisted.append(copy)
+    return copy
+
+
+def release_persisted() -> int:
+    """Free every copy made by ``persist`` and not yet freed; results that still need one compute it anew."""
+    freed = 0
+    while _persisted:
+        copy = _persisted.pop()
+        if copy.storageLevel != StorageLevel.NONE:
+            copy.unpersist()
+            freed += 1
+    return freed
 
 
 @contextmanager
@@ -62,7 +82,7 @@ def kept(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> I
 
     A DataFrame derived from it and returned still works: it is computed anew, without the copy.
     """
-    copy = persist(df, level)
+    copy = df.persist(level)
     try:
         yield copy
     finally:

@@ -70,3 +70,20 @@ def test_hot_admission_is_split(spark):
     finally:
         for k, v in keep.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_persisted_copies_are_released(spark):
+    from pyspark import StorageLevel
+
+    from icuflow.session import kept, persist, release_persisted
+    release_persisted()
+    df = spark.range(10).withColumn("x", F.col("id") * 3)
+    with kept(df) as copy:
+        assert copy.count() == 10 and copy.storageLevel != StorageLevel.NONE
+        later = copy.where("x > 6")
+    assert df.storageLevel == StorageLevel.NONE and later.count() == 7
+    one = persist(spark.range(20).withColumn("y", F.col("id") + 1))
+    assert one.count() == 20 and release_persisted() == 1 and one.storageLevel == StorageLevel.NONE
+    result = Q.q_minmax_scaled(spark, SF)
+    n = result.count()
+    assert release_persisted() >= 1 and release_persisted() == 0 and result.count() == n

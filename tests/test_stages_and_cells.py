@@ -120,3 +120,18 @@ def test_four_cells_come_from_one_scan_of_each_event_table(spark, tmp_dir):
     only = pipeline.feature_cells(**t, cells=[(24, "A")])
     assert only.select("feature_set").distinct().collect()[0][0] == "A" and only.where("age is not null or POTA is not null").count() == 0
     assert len(D.FEATURES_SET_B) + 6 == len(only.columns)
+
+
+def test_sequences_of_the_four_cells_equal_those_made_alone(spark):
+    t = clinical.raw_tables(spark, SF)
+    rows = {(r.hours, r.feature_set, r.hadm_id): r for r in pipeline.sequence_cells(**t).collect()}
+    for hours, s in pipeline.CELLS:
+        p = pipeline.prepare_events(**t, hours=hours, feature_set=s)
+        alone = {r.hadm_id: r for r in pipeline.sequence_table(p.events, p.patients_info, hours, s).collect()}
+        assert alone and alone.keys() == {k[2] for k in rows if k[:2] == (hours, s)}
+        for k, r in alone.items():
+            got = rows[hours, s, k]
+            assert (got.num_stamps, got.hospital_expire_flag) == (r.num_stamps, r.hospital_expire_flag)
+            assert all(a == pytest.approx(b, rel=1e-9, abs=1e-12) for x, y in zip(got.value, r.value, strict=True) for a, b in zip(x, y, strict=True))
+    empty = {n: df.limit(0) for n, df in t.items()}
+    assert pipeline.sequence_cells(**empty).collect() == [] and pipeline.feature_cells(**empty).collect() == []
