@@ -14,7 +14,6 @@ columns of either table are ignored.
 
 from __future__ import annotations
 
-import itertools
 import re
 from collections.abc import Iterator
 
@@ -24,11 +23,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from icuflow.llm.common import keyed_texts, null_ids, row_filter
+from pyspark.sql.types import ArrayType, LongType, StructField, StructType
+
+from icuflow.llm.common import discard, keyed_texts, null_ids, stage
 
 WINDOW = 13
-# An automaton holds the windows of at most this many item words; a larger
-# benchmark is scanned in several bounded automata, one pass over the text each.
+# An automaton holds the windows of at most this many item words; a larger benchmark is dealt
+# into shards by Spark and scanned shard by shard, each pass over the written result of the last.
 AUTOMATON_WORDS = 2_000_000
 
 _NORMAL = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
@@ -99,29 +100,60 @@ def _scan_one(auto, text: str | None) -> tuple[int, list, set, list]:
     return len(words), runs, items, _spans(plain, runs)
 
 
-def _shards(benchmark: DataFrame, automaton_words: int, item_col: str, item_text_col: str) -> list[list]:
-    """Items in shares of at most ``automaton_words`` words, for one bounded automaton each."""
-    shards, now, size = [], [], 0
-    for r in benchmark.select(F.col(item_col).cast("string"), F.col(item_text_col)).toLocalIterator():
-        n = len(normalise(r[1]).split())
-        if now and size + n > automaton_words:
-            shards, now, size = [*shards, now], [], 0
-        now, size = [*now, (r[0], r[1])], size + n
-    return [*shards, now]
+def _shards(benchmark: DataFrame, automaton_words: int, item_col: str, item_text_col: str) -> tuple[DataFrame, list[int]]:
+    """Items (shard, item, text), written once, and the shards that have some: shares of at most ``automaton_words``
+    words (one larger item alone).  Items are dealt by hash; only the shares' sizes come to the driver."""
+    words = F.size(F.regexp_extract_all(F.coalesce(F.col("text"), F.lit("")), F.lit("[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"), F.lit(0)))
+    items = stage(benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(item_text_col).alias("text")).distinct()
+                  .withColumn("words", words).where("words > 0"), "benchmark-items")
+    total = items.agg(F.sum("words")).first()[0] or 0
+    count = 1 if total <= automaton_words else -(-2 * total // automaton_words)
+    while True:
+        dealt = items.withColumn("shard", F.pmod(F.xxhash64("item", "text"), F.lit(count)).cast("long"))
+        sizes = dealt.groupBy("shard").agg(F.sum("words").alias("words"), F.count("*").alias("items"))
+        if sizes.where((F.col("words") > automaton_words) & (F.col("items") > 1)).isEmpty():
+            break
+        count *= 2
+    numbers = sorted(r["shard"] for r in sizes.select("shard").collect())
+    if len(numbers) < 2:
+        return dealt, numbers
+    # A shard is read by itself later: files sorted by shard let the others be skipped.
+    sorted_ = stage(dealt.repartitionByRange("shard").sortWithinPartitions("shard"), "benchmark-shards")
+    discard(items)
+    return sorted_, numbers
+
+
+def _items(shards: DataFrame, number: int) -> list[tuple[str | None, str | None]]:
+    """One shard's items: its words are bounded."""
+    return [(r["item"], r["text"]) for r in shards.where(F.col("shard") == number).select("item", "text").collect()]
+
+
+def _passes(rows: DataFrame, benchmark: DataFrame, automaton_words: int, item_col: str, item_text_col: str, one_pass) -> DataFrame:
+    """``one_pass(rows, shard's items, last)`` for one shard after the other, each over the written result of the one
+    before, so that a task holds one automaton and the driver one shard."""
+    shards, numbers = _shards(benchmark, automaton_words, item_col, item_text_col)
+    before = None
+    for k, number in enumerate(numbers or [None]):
+        last = k >= len(numbers) - 1
+        shared = rows.sparkSession.sparkContext.broadcast([] if number is None else _items(shards, number))
+        rows = one_pass(rows, shared, last)
+        if not last:
+            rows = stage(rows, "benchmark-pass")
+            shared.destroy()
+            if before is not None:
+                discard(before)
+            before = rows
+    return rows
 
 
 def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, automaton_words: int = AUTOMATON_WORDS,
          id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
          item_text_col: str = "text") -> DataFrame:
     """Per document: words, runs of hit words, items with occurring windows, hit spans in the original text."""
-    spark = docs.sparkSession
-    shards = _shards(benchmark, automaton_words, item_col, item_text_col)
-    out = keyed_texts(docs, id_col, text_col)
-    for k, items in enumerate(shards):
-        final = k == len(shards) - 1
-        out = out.mapInArrow(_pass(spark.sparkContext.broadcast(items), window, final),
-                             SCAN_SCHEMA if final else f"{SCAN_SCHEMA}, text string")
-    return null_ids(out)
+    def one(rows: DataFrame, shared, last: bool) -> DataFrame:
+        return rows.mapInArrow(_pass(shared, window, last), SCAN_SCHEMA if last else f"{SCAN_SCHEMA}, text string")
+
+    return null_ids(_passes(keyed_texts(docs, id_col, text_col), benchmark, automaton_words, item_col, item_text_col, one))
 
 
 _RUN = pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())]))
@@ -163,21 +195,31 @@ def keep(docs: DataFrame, benchmark: DataFrame, min_share: int = 20, window: int
          automaton_words: int = AUTOMATON_WORDS, text_col: str = "text", item_col: str = "item_id",
          item_text_col: str = "text") -> DataFrame:
     """The documents, unchanged, that are not contaminated."""
-    spark = docs.sparkSession
-    shared = [spark.sparkContext.broadcast(s) for s in _shards(benchmark, automaton_words, item_col, item_text_col)]
-
-    def judge(automata: list, data: np.ndarray, offsets: np.ndarray) -> list[bool]:
-        out = []
-        for a, z in itertools.pairwise(offsets):
-            text, words, runs = data[a:z].tobytes(), 0, []
-            for auto in automata:
-                words, more, _, _ = _scan_one(auto, text)
-                runs += more
-            hit = sum(b - a for a, b in _merge(runs))
-            out.append(not (hit and hit * min_share >= words))
-        return out
-
-    return row_filter(docs, text_col, judge, lambda: [_automaton(s.value, window) for s in shared])
+    at, width = docs.columns.index(text_col), len(docs.columns)
+    schema = docs.schema
+    runs_too = StructType([*schema.fields, StructField("_hit_runs", ArrayType(ArrayType(LongType())))])
+
+    def one(rows: DataFrame, shared, last: bool) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            auto = _automaton(shared.value, window)
+            for b in batches:
+                texts = b.column(at).to_pylist()
+                known = b.column(width).to_pylist() if b.num_columns > width else [[]] * len(texts)
+                words, runs = [], []
+                for text, old in zip(texts, known, strict=True):
+                    n, more, _, _ = _scan_one(auto, text)
+                    words.append(n)
+                    runs.append(_merge([(x, y) for x, y in old] + more))
+                columns = b.columns[:width]
+                if last:
+                    hits = [sum(y - x for x, y in r) for r in runs]
+                    stays = [not (h and h * min_share >= n) for h, n in zip(hits, words, strict=True)]
+                    yield pa.RecordBatch.from_arrays(columns, names=schema.names).filter(pa.array(stays, pa.bool_()))
+                else:
+                    yield pa.RecordBatch.from_arrays([*columns, pa.array(runs, pa.list_(pa.list_(pa.int64())))], names=runs_too.names)
+        return rows.mapInArrow(run, schema if last else runs_too)
+
+    return _passes(docs, benchmark, automaton_words, item_col, item_text_col, one)
 
 
 def digest(docs: DataFrame, benchmark: DataFrame, **kw) -> DataFrame:
