@@ -37,6 +37,8 @@ RULES = (("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "exa
 ORDER = 4
 CALIBRATE = 5
 BINS = 200
+# Contexts of fewer characters than SALTED are joined in SALTS copies.
+SALTED, SALTS = 2, 64
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -82,8 +84,12 @@ def _log_ratios(train: DataFrame, wanted: DataFrame) -> DataFrame:
                 .agg(F.sum("a").alias("na"), F.sum("b").alias("nb"), F.count_if(F.col("a") > 0).alias("ta"), F.count_if(F.col("b") > 0).alias("tb")))
     asked = wanted.select("window", F.explode(F.transform(orders, lambda k: F.struct(k.alias("k"), ends(k).alias("gram")))).alias("g"))
     asked = asked.select("window", F.col("g.k").alias("wk"), F.col("g.gram").alias("wgram"), F.substr("g.gram", F.lit(1), F.col("g.k")).alias("wctx"))
+    # The few contexts of the short orders meet nearly every window: each is sent in SALTS copies, dealt by the window.
+    salts = lambda k: F.when(F.col(k) < SALTED, SALTS).otherwise(1)
+    contexts = contexts.withColumn("salt", F.explode(F.sequence(F.lit(0), salts("k") - 1)))
+    asked = asked.withColumn("wsalt", F.pmod(F.xxhash64("window"), salts("wk")).cast("int"))
     rows = (asked.join(grams, (F.col("wk") == F.col("k")) & (F.col("wgram") == F.col("gram")), "left").drop("k", "gram")
-            .join(contexts, (F.col("wk") == F.col("k")) & (F.col("wctx") == F.col("ctx")), "left"))
+            .join(contexts, (F.col("wk") == F.col("k")) & (F.col("wctx") == F.col("ctx")) & (F.col("wsalt") == F.col("salt")), "left"))
     zero = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("double").alias(c)
     path = F.array_sort(F.collect_list(F.struct(F.col("wk").alias("k"), *[zero(c) for c in ("a", "b", "na", "nb", "ta", "tb")])))
 
@@ -128,10 +134,13 @@ def judge(pages: DataFrame, rules=RULES, id_col: str = "page_id", url_col: str =
     p = p.withColumns({"rule": rule, "kind": kind})
     urls = stage(p.groupBy("text", "kind").agg(F.count("*").alias("times"))
                  .withColumn("held", F.pmod(F.xxhash64("text"), F.lit(CALIBRATE)) == 0), "urls")
-    counted = (urls.where(F.col("kind").isNotNull() & ~F.col("held")).select(F.explode(_windows("text")).alias("window"), "kind", "times")
+    parts = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # Many tasks, though the texts are few bytes: each becomes a row per character.
+    counted = (urls.where(F.col("kind").isNotNull() & ~F.col("held")).repartition(parts, "text")
+               .select(F.explode(_windows("text")).alias("window"), "kind", "times")
                .groupBy("window").agg(F.sum(F.when(F.col("kind") == "allow", F.col("times")).otherwise(0)).alias("a"),
                                       F.sum(F.when(F.col("kind") == "block", F.col("times")).otherwise(0)).alias("b")))
-    texts = urls.select("text").distinct()
+    texts = urls.select("text").repartition(parts, "text").distinct()
     rows = texts.select("text", F.explode(_windows("text")).alias("window")).groupBy("text", "window").agg(F.count("*").alias("n"))
     ratios = stage(_log_ratios(counted, rows.select("window").distinct()), "url-ratios")
     both = rows.join(ratios.withColumnRenamed("window", "w"), F.col("window") == F.col("w"))

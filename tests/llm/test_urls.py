@@ -107,3 +107,10 @@ def test_query_on_the_driver_table(spark):
     for r in rows:
         host, path, rule, kind = brute_rule(pages[r["page_id"]])
         assert (r["host"], r["path"], r["rule"]) == (host, path, rule) and (kind is None or kind == r["verdict"])
+
+
+def test_a_very_long_url_is_judged_whole(spark):
+    rows = [(i, f"http://h{i % 50}.org/fine/fine") for i in range(200)] + [(1000 + i, f"http://h{i % 50}.com/de/spam/spam") for i in range(200)]
+    rows += [(5000, "http://h.net/" + "x" * 1000 + "fine/" * 20_000), (5001, "http://h.net/" + "x" * 1000 + "spam/" * 20_000)]
+    got = {r["page_id"]: r for r in urls.judge(spark.createDataFrame(rows, "page_id long, url string")).where("page_id >= 5000").collect()}
+    assert got[5000]["verdict"] == "allow" and got[5001]["verdict"] == "block" and len(got[5000]["path"]) == 101_001
