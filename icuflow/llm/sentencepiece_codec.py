@@ -50,11 +50,56 @@ _NEVER = np.int64(1 << 40)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
+# Words of more characters are cut where no piece holds both neighbours, before words of a length advance together.
+LONG = 32
+
+
+def _fields(data: bytes) -> dict[int, list]:
+    """Fields of a protocol buffer message by number: integers, or the bytes of what has a length."""
+    out: dict[int, list] = {}
+    at = 0
+
+    def number() -> int:
+        nonlocal at
+        value = shift = 0
+        while True:
+            b = data[at]
+            at += 1
+            value |= (b & 127) << shift
+            shift += 7
+            if b < 128:
+                return value
+
+    while at < len(data):
+        tag = number()
+        kind, value = tag & 7, None
+        if kind == 0:
+            value = number()
+        else:
+            size = number() if kind == 2 else {1: 8, 5: 4}[kind]
+            value, at = data[at:at + size], at + size
+        out.setdefault(tag >> 3, []).append(value)
+    return out
+
+
+def check_kind(model: bytes) -> None:
+    """Raise unless the model merges pairs (BPE) and leaves texts as they are: what this encoder reproduces."""
+    fields = _fields(model)
+    trainer = _fields(fields.get(2, [b""])[-1])
+    normaliser = _fields(fields.get(3, [b""])[-1])
+    if trainer.get(3, [1])[-1] != 2:
+        raise ValueError("the vocabulary is no BPE model")
+    if normaliser.get(2, [b""])[-1] or normaliser.get(4, [1])[-1] or not normaliser.get(5, [1])[-1]:
+        raise ValueError("the vocabulary's model changes texts before it splits them")
+
+
 class Vocabulary:
     """Pieces, their merge ranks and how each is put together; plain arrays, for a broadcast."""
 
     def __init__(self, path: str = MODEL):
         import sentencepiece
+        with open(path, "rb") as f:
+            check_kind(f.read())
         sp = sentencepiece.SentencePieceProcessor(model_file=path)
         n = sp.get_piece_size()
         self.pieces = [sp.id_to_piece(i) for i in range(n)]
@@ -86,6 +131,8 @@ class Vocabulary:
                     ids.pop(p)  # no merge makes it
         self.ranks_by_pair = SortedKeys([k for k, _ in pairs], [r for _, r in pairs])
         self.longest = max((len(p) for p in ids), default=1)
+        # Neighbouring characters of any piece: merging cannot pass between two that are none.
+        self.neighbours = np.array(sorted({ord(a) << 32 | ord(b) for p in ids for a, b in zip(p, p[1:])}), np.uint64)
         self.pieces_by_key = SortedKeys([int(_key(np.array([[ord(c) for c in p]], np.uint64))[0]) for p in ids], list(ids.values()))
 
 
@@ -245,7 +292,24 @@ class Encoder:
         text = text.replace(" ", MARK)
         return self.split.findall(MARK + text if self.v.dummy_prefix else text)
 
+    def cut(self, word: str) -> list[str]:
+        """A word's parts between neighbours that no piece holds: text without spaces is mostly such parts."""
+        codes = np.frombuffer(word.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+        pairs = (codes[:-1] << np.uint64(32)) | codes[1:]
+        at = np.minimum(np.searchsorted(self.v.neighbours, pairs), max(len(self.v.neighbours) - 1, 0))
+        held = self.v.neighbours[at] == pairs if len(self.v.neighbours) else np.zeros(len(pairs), bool)
+        ends = [0, *(np.flatnonzero(~held) + 1).tolist(), len(word)]
+        return [word[a:z] for a, z in zip(ends[:-1], ends[1:], strict=True)]
+
     def learn(self, new: set[str]) -> Iterator[tuple[str, bytes]]:
+        """The ids of words; those of a long word are its parts' one after the other."""
+        cuts = {w: self.cut(w) for w in new if len(w) > LONG}
+        parts = {p for ps in cuts.values() for p in ps}
+        ids = dict(self.learn_whole({w for w in new if len(w) <= LONG} | parts))
+        for w in new:
+            yield w, ids[w] if w not in cuts else b"".join(map(ids.__getitem__, cuts[w]))
+
+    def learn_whole(self, new: set[str]) -> Iterator[tuple[str, bytes]]:
         by: dict[int, list[str]] = {}
         for w in new:
             by.setdefault(len(w), []).append(w)

@@ -60,3 +60,37 @@ def test_empty_table_nulls_repeated_rows_and_extra_columns(spark):
     assert [r["n_tokens"] for r in S.digest(df).orderBy("doc_id").collect()][1:3] == [0, 0]
     out = S.tokenize(df.drop("ids").withColumnRenamed("doc_id", "n")).collect()
     assert sorted(r["round_trip"] for r in out if r["text"] is not None) == [True] * 4
+
+
+def test_text_without_spaces_equals_the_library_and_takes_no_longer(lib):
+    """Long runs of one script: ids of the library, in at most twice the time of spaced words of as many bytes."""
+    import time
+    rnd = random.Random(9)
+    v = S.vocabulary(S.MODEL)
+    chinese = ["".join(chr(rnd.randint(0x4E00, 0x9FA5)) for _ in range(20_000)) for _ in range(3)]
+    known = [p for p in v.pieces if len(p) == 1 and ord(p) > 0x3000]
+    mixed = ["".join(rnd.choice(known) if rnd.random() < 0.5 else rnd.choice("abcABC。、.-😀é") for _ in range(5000)) for _ in range(3)]
+    hard = ["a" * 3000, "ab" * 2000, "The" * 1500, "的" * 4000, "a" * 40 + "\n" * 40 + "日本" * 40]
+    spaced = [" ".join("".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rnd.randint(2, 9))) for _ in range(10_000)) for _ in range(3)]
+    assert S.Encoder(v).encode(chinese + mixed + hard) == [lib.encode(t) for t in chinese + mixed + hard]
+
+    def seconds(ts):
+        best = 1e9
+        for _ in range(3):
+            e, t0 = S.Encoder(v), time.process_time()
+            e.encode_raw(ts)
+            best = min(best, time.process_time() - t0)
+        return best
+
+    assert seconds(chinese) <= 2 * seconds(spaced)
+
+
+def test_other_kinds_of_models_are_refused():
+    def message(kind, normaliser=b"\x20\x00"):
+        trainer = b"\x18" + bytes([kind])
+        return b"\x12" + bytes([len(trainer)]) + trainer + b"\x1a" + bytes([len(normaliser)]) + normaliser
+
+    S.check_kind(message(2))
+    for bad in (message(1), message(3), b"", message(2, b""), message(2, b"\x20\x01"), message(2, b"\x20\x00\x12\x01x")):
+        with pytest.raises(ValueError):
+            S.check_kind(bad)
