@@ -68,10 +68,13 @@ def rule_of(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
     return name, verdict
 
 
-def _windows(text: str) -> Column:
-    """The windows of a text: ORDER characters before each character and the end, and that character."""
-    padded = F.concat(F.lit("\x02" * ORDER), F.col(text), F.lit("\x03"))
-    return F.transform(F.sequence(F.lit(1), F.char_length(text) + 1), lambda i: F.substr(padded, i, F.lit(ORDER + 1)))
+def _windows(df: DataFrame, *keep: str) -> DataFrame:
+    """``keep`` columns and a row for each window of ``text``: ORDER characters before each character and the end,
+    and that character.  The characters are an array, so that a window costs the same wherever it lies."""
+    padded = F.concat(F.lit("\x02" * ORDER), F.col("text"), F.lit("\x03"))
+    chars = df.select(*keep, F.split(padded, "").alias("_chars"))
+    at = lambda i: F.concat(*[F.get("_chars", i + j) for j in range(ORDER + 1)])
+    return chars.select(*keep, F.explode(F.transform(F.sequence(F.lit(0), F.size("_chars") - ORDER - 1), at)).alias("window"))
 
 
 def _log_ratios(train: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -136,12 +139,11 @@ def judge(pages: DataFrame, rules=RULES, id_col: str = "page_id", url_col: str =
                  .withColumn("held", F.pmod(F.xxhash64("text"), F.lit(CALIBRATE)) == 0), "urls")
     parts = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # Many tasks, though the texts are few bytes: each becomes a row per character.
-    counted = (urls.where(F.col("kind").isNotNull() & ~F.col("held")).repartition(parts, "text")
-               .select(F.explode(_windows("text")).alias("window"), "kind", "times")
+    counted = (_windows(urls.where(F.col("kind").isNotNull() & ~F.col("held")).repartition(parts, "text"), "kind", "times")
                .groupBy("window").agg(F.sum(F.when(F.col("kind") == "allow", F.col("times")).otherwise(0)).alias("a"),
                                       F.sum(F.when(F.col("kind") == "block", F.col("times")).otherwise(0)).alias("b")))
     texts = urls.select("text").repartition(parts, "text").distinct()
-    rows = texts.select("text", F.explode(_windows("text")).alias("window")).groupBy("text", "window").agg(F.count("*").alias("n"))
+    rows = _windows(texts, "text").groupBy("text", "window").agg(F.count("*").alias("n"))
     ratios = stage(_log_ratios(counted, rows.select("window").distinct()), "url-ratios")
     both = rows.join(ratios.withColumnRenamed("window", "w"), F.col("window") == F.col("w"))
     score = (both.groupBy("text").agg((F.sum(F.col("n") * F.col("ratio")) / F.sum("n")).alias("raw")))
