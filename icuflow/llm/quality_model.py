@@ -54,7 +54,9 @@ def passages(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     x = np.sqrt(x.reshape(n, BINS).astype(np.float32) / length[:, None])
     # The last column: share of words equal to the word before them.
     gap = (data <= 32).astype(np.int8)
-    begins = np.flatnonzero((gap == 0) & (np.concatenate([[1], gap[:-1]]) == 1)) if len(data) else np.zeros(0, np.int64)
+    before = np.concatenate([[1], gap])[:len(data)]
+    before[offsets[:-1][sizes > 0]] = 1  # a text's first byte begins a word, whatever text lies before it
+    begins = np.flatnonzero((gap == 0) & (before == 1))
     if len(begins) > 1:
         codes = np.add.reduceat(np.where(gap, 0, (data + np.uint64(1)) * _place(len(data), begins)), begins)
         again = (codes[1:] == codes[:-1]) & (owner[begins[1:]] == owner[begins[:-1]])
