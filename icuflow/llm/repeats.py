@@ -36,7 +36,8 @@ HOT_SHARE = 2
 HOT_SAMPLE = 64
 HOT_LEAST = 16
 GROUP_PIECES = 10_000
-SEGMENT = 1 << 20
+# Bytes (words) whose windows a task names at a time.  The arrays are some 60 times as large, in each Python worker.
+SEGMENT = 1 << 18
 ROW_SCHEMA = "h long, ph long, doc_id long, start long, n int"
 SETTLED_SCHEMA = "kind int, h long, doc_id long, start long, n int"
 PIECE_SCHEMA = "kind int, h long, doc_id long, start long, n int, piece binary"
