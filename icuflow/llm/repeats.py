@@ -193,7 +193,7 @@ def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def settle(rows: DataFrame) -> DataFrame:
     """Rows of ``SETTLED_SCHEMA``: repeats to remove, and pieces still to compare."""
-    sampled = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(HOT_SAMPLE)) == 0)
+    sampled = rows.where(F.pmod(F.xxhash64("doc_id", "start"), F.lit(HOT_SAMPLE)) == 0)
     counts = sampled.groupBy("h").agg(F.count("*").alias("rows"))
     total = sampled.count()
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
