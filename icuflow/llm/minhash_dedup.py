@@ -296,12 +296,23 @@ def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _open_nodes(members: DataFrame, classes: DataFrame) -> DataFrame:
-    """(grp, k, rep, n, cls) of the large nodes whose members are of several classes; nodes of equal members once."""
+    """(grp, k, rep, n, cls, main) of the large nodes whose members are of several classes; nodes of equal members
+    once.  ``main`` marks the node's most frequent class, so that the rows meet their nodes in one join only."""
     rows = _classed(members, classes).select(F.col("node").alias("grp"), _size_class().alias("k"), "rep", "n", "cls")
-    nodes = (rows.groupBy("grp").agg(F.min("cls").alias("low"), F.max("cls").alias("high"), F.count("*").alias("members"),
-                                     F.bit_xor(F.xxhash64("rep")).alias("x1"), F.bit_xor(F.xxhash64("rep", F.lit(1))).alias("x2"))
-             .where("low < high").groupBy("members", "x1", "x2").agg(F.min("grp").alias("at")).select(apart("at").alias("at")))
-    return rows.join(nodes, apart("grp") == F.col("at")).drop("at")
+    per = rows.groupBy("grp", "cls").agg(F.count("*").alias("c"), F.bit_xor(F.xxhash64("rep")).alias("x1"),
+                                         F.bit_xor(F.xxhash64("rep", F.lit(1))).alias("x2"))
+    nodes = (per.groupBy("grp").agg(F.count("*").alias("classes"), F.sum("c").alias("members"), F.bit_xor("x1").alias("x1"),
+                                    F.bit_xor("x2").alias("x2"), F.max_by("cls", F.struct("c", "cls")).alias("most"))
+             .where("classes > 1").groupBy("members", "x1", "x2").agg(F.min(F.struct("grp", "most")).alias("one"))
+             .select(apart("one.grp").alias("at"), "one.most"))
+    return rows.join(nodes, apart("grp") == F.col("at")).select("grp", "k", "rep", "n", "cls", (F.col("cls") == F.col("most")).alias("main"))
+
+
+def _most_frequent(rows: DataFrame) -> DataFrame:
+    """The rows (grp, cls, ...) with ``main``, which marks their group's most frequent class."""
+    most = (rows.groupBy("grp", "cls").agg(F.count("*").alias("c")).groupBy("grp").agg(F.max_by("cls", F.struct("c", "cls")).alias("most"))
+            .select(apart("grp").alias("at"), "most"))
+    return rows.join(most, apart("grp") == F.col("at")).withColumn("main", F.col("cls") == F.col("most")).drop("at", "most")
 
 
 def _size_class() -> Column:
@@ -310,11 +321,8 @@ def _size_class() -> Column:
 
 
 def _block_pairs(rows: DataFrame, weight: Column, limit: int) -> DataFrame:
-    """The rows (grp, k, cls, rep, n) under each pair of blocks they are in: (pair, side, rep, n, cls).  Blocks are
+    """The rows (grp, k, cls, rep, n, main) under each pair of blocks they are in: (pair, side, rep, n, cls).  Blocks are
     parts of a group's size class of bounded weight; blocks of its most frequent class do not meet each other."""
-    main = (rows.groupBy("grp", "cls").agg(F.count("*").alias("c")).groupBy("grp").agg(F.max_by("cls", F.struct("c", "cls")).alias("most"))
-            .select(apart("grp").alias("at"), "most"))
-    rows = rows.join(main, apart("grp") == F.col("at")).withColumn("main", F.col("cls") == F.col("most"))
     rows = stage(rows.select(F.xxhash64("grp", "k", "main").alias("unit"), "grp", "k", "main", "rep", "n", "cls"), "minhash-open")
     units = rows.groupBy("unit", "grp", "k", "main").agg(F.ceil(F.sum(weight) / limit).cast("long").alias("blocks"))
     blocks = units.select("grp", "k", "main", F.explode(F.transform(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1),
@@ -426,7 +434,7 @@ def _open_links(open_: DataFrame, reps: DataFrame, classes: DataFrame, sets: Dat
     rows = (groups.join(reps.select("rep", "n"), F.col("node") == F.col("rep"))
             .join(classes, F.col("rep") == F.col("member"), "left")
             .select(F.col("component").alias("grp"), _size_class().alias("k"), "rep", "n", F.coalesce("class", "rep").alias("cls")))
-    return compared(rows, F.col("n") + MEMBER, BLOCK_SHINGLES, sets.select(F.col("rep").alias("r"), F.col("set").alias("held")), _similar(percent))
+    return compared(_most_frequent(rows), F.col("n") + MEMBER, BLOCK_SHINGLES, sets.select(F.col("rep").alias("r"), F.col("set").alias("held")), _similar(percent))
 
 
 def _joined(links: DataFrame, classes: DataFrame | None) -> DataFrame:

@@ -159,3 +159,17 @@ def test_a_lower_percent_also_lowers_the_size_filter(spark, monkeypatch):
     assert want[2][1] == 1 and got(minhash_dedup.near_duplicates(df, percent=70)) == want and got(minhash_dedup.near_duplicates(df)) == brute(rows)
     monkeypatch.setattr(minhash_dedup, "NODE", 1)  # by way of the large nodes
     assert got(minhash_dedup.near_duplicates(df, percent=70)) == want
+
+
+def test_open_nodes_carry_their_most_frequent_class(spark):
+    """Node 1 is open, node 2 has its members again, node 3 is of one class, node 4 is open by a member without links:
+    each row meets its node once and comes out with its node's most frequent class marked."""
+    nodes = {1: [10, 11, 12, 13], 2: [10, 11, 12, 13], 3: [10, 11], 4: [10, 11, 14], 5: [12, 13]}
+    of = {r: sorted(g for g, m in nodes.items() if r in m) for r in range(10, 15)}
+    members = spark.createDataFrame([(r, 20, g) for r, g in of.items()], "rep long, n long, nodes array<long>")
+    classes = spark.createDataFrame([(10, 10), (11, 10), (12, 10)], "member long, class long")
+    rows = minhash_dedup._open_nodes(members, classes)
+    got_ = sorted((r["grp"], r["rep"], r["cls"], r["main"]) for r in rows.select("grp", "rep", "cls", "main").collect())
+    assert [x for x in got_ if x[0] in (1, 2)] == [(1, 10, 10, True), (1, 11, 10, True), (1, 12, 10, True), (1, 13, 13, False)]
+    assert [x for x in got_ if x[0] == 4] == [(4, 10, 10, True), (4, 11, 10, True), (4, 14, 14, False)]
+    assert {r for r in got_ if r[0] == 5} == {(5, 12, 10, False), (5, 13, 13, True)} and not [x for x in got_ if x[0] == 3]
