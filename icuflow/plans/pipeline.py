@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import dictionary as D
@@ -84,29 +84,32 @@ def cell_events(patients: DataFrame, admissions: DataFrame, icustays: DataFrame,
     return info, clean.assign_groups(both.withColumn("cells", F.array_compact(F.array(*mine))))
 
 
+def _cell_names(cells: Sequence[tuple[int, str]]) -> Column:
+    return F.array(*[F.struct(F.lit(h).alias("hours"), F.lit(s.upper()).alias("feature_set")) for h, s in cells])
+
+
 def feature_cells(patients: DataFrame, admissions: DataFrame, icustays: DataFrame, chart: DataFrame, lab: DataFrame,
                   cells: Sequence[tuple[int, str]] = CELLS, rules=D.OUTLIER_RULES_13, min_age: float = 18.0) -> DataFrame:
     """The mean-feature tables of all cells as one plan: hours, feature_set, then the columns of set B.
 
-    One aggregation per (admission, feature) takes the means of every cell, a second turns
-    them into rows.  In set A the features and demographics of set B alone are null.
+    An event is listed once for each cell it belongs to, so one aggregation of ordinary width gives the
+    means of every cell.  In set A the features and demographics of set B alone are null.
     """
     info, events = cell_events(patients, admissions, icustays, chart, lab, cells, min_age)
     events = clean.drop_outliers(events, rules, "itemid", "value")
-    inside = [F.array_contains("cells", k) for k in range(len(cells))]
-    means = events.groupBy("hadm_id", "itemid").agg(
-        *[F.avg(F.when(c, F.col("value"))).alias(f"m{k}") for k, c in enumerate(inside)],
-        *[F.bool_or(c).alias(f"in{k}") for k, c in enumerate(inside)])
     feats = D.FEATURES_SET_B
-    wide = means.groupBy("hadm_id").agg(
-        *[F.first(F.when(F.col("itemid") == f, F.col(f"m{k}")), ignorenulls=True).alias(f"m{k}_{f}") for k in range(len(cells)) for f in feats],
-        *[F.bool_or(f"in{k}").alias(f"in{k}") for k in range(len(cells))])
-    structs = []
-    for k, (h, s) in enumerate(cells):
-        constants = D.imputation_for(s)
-        row = [F.coalesce(F.col(f"m{k}_{f}"), F.lit(float(constants[f]))) if f in constants else F.lit(None).cast("double") for f in feats]
-        structs.append(F.when(F.col(f"in{k}"), F.struct(F.lit(h).alias("hours"), F.lit(s.upper()).alias("feature_set"), *[c.alias(f) for c, f in zip(row, feats, strict=True)])))
-    rows = wide.select("hadm_id", F.explode(F.array_compact(F.array(*structs))).alias("cell")).select("hadm_id", "cell.*")
+    each = events.select("hadm_id", "itemid", "value", F.explode("cells").alias("cell"))
+    wide = each.groupBy("hadm_id", "cell").agg(*[F.avg(F.when(F.col("itemid") == f, F.col("value"))).alias(f) for f in feats])
+    c = F.element_at(_cell_names(cells), F.col("cell") + 1)
+    filled = []
+    for f in feats:
+        value = F.lit(None).cast("double")
+        for s in dict.fromkeys(s.upper() for _, s in cells):
+            constants = D.imputation_for(s)
+            if f in constants:
+                value = F.when(F.col("c.feature_set") == s, F.coalesce(F.col(f), F.lit(float(constants[f])))).otherwise(value)
+        filled.append(value.alias(f))
+    rows = wide.withColumn("c", c).select("hadm_id", "c.*", *filled)
     static = features.static_info(info)
     joined = rows.join(static, "hadm_id", "left")
     in_b = F.col("feature_set") == "B"
@@ -117,37 +120,38 @@ def sequence_cells(patients: DataFrame, admissions: DataFrame, icustays: DataFra
                    cells: Sequence[tuple[int, str]] = CELLS, rules=D.OUTLIER_RULES_15, min_age: float = 18.0) -> DataFrame:
     """The sequence tables of all cells as one plan: hours, feature_set, hadm_id, value, num_stamps, label.
 
-    Hourly means of every cell come from one aggregation; scaling uses each cell's own minima and
-    maxima, two rows of numbers a cell.  The persisted hourly rows are read by that fit and by the sequences.
+    An event is listed once for each cell it belongs to, so one aggregation of ordinary width gives the
+    hourly means of every cell.  Scaling uses each cell's own minima and maxima, one row of numbers a
+    cell.  The persisted hourly rows are read by that fit and by the sequences.
     """
     info, events = cell_events(patients, admissions, icustays, chart, lab, cells, min_age)
     events = clean.drop_outliers(events, rules, "itemid", "value")
-    inside = [F.array_contains("cells", k) for k in range(len(cells))]
-    feats, numbers = D.FEATURES_SET_B, range(len(cells))
-    means = events.groupBy("hadm_id", F.date_trunc("hour", "charttime").alias("hour"), "itemid").agg(
-        *[F.avg(F.when(c, F.col("value"))).alias(f"m{k}") for k, c in enumerate(inside)],
-        *[F.bool_or(c).alias(f"in{k}") for k, c in enumerate(inside)])
-    wide = means.groupBy("hadm_id", "hour").agg(
-        *[F.first(F.when(F.col("itemid") == f, F.col(f"m{k}")), ignorenulls=True).alias(f"m{k}_{f}") for k in numbers for f in feats],
-        *[F.bool_or(f"in{k}").alias(f"in{k}") for k in numbers])
-    structs = [F.when(F.col(f"in{k}"), F.struct(F.lit(k).alias("cell"), *[F.col(f"m{k}_{f}").alias(f) for f in feats])) for k in numbers]
-    rows = wide.select("hadm_id", "hour", F.explode(F.array_compact(F.array(*structs))).alias("c")).select("hadm_id", hour_key("hour").alias("time"), "c.*")
+    feats = D.FEATURES_SET_B
+    each = events.select("hadm_id", F.date_trunc("hour", "charttime").alias("hour"), "itemid", "value", F.explode("cells").alias("cell"))
+    means = each.groupBy("hadm_id", "hour", "cell").agg(*[F.avg(F.when(F.col("itemid") == f, F.col("value"))).alias(f) for f in feats])
+    rows = means.select("hadm_id", hour_key("hour").alias("time"), "cell", *feats)
     hourly = persist(sequences.add_demographics(rows, info))
     columns = [sequences.sequence_feature_columns(s) for _, s in cells]
     every = max(columns, key=len)
     fits = {r["cell"]: r for r in hourly.groupBy("cell").agg(*[g(c).alias(f"{n}_{c}") for c in every for n, g in (("lo", F.min), ("hi", F.max))]).collect()}
-    scaled = None
-    for k, r in fits.items():
-        row = F.array(*[F.coalesce(minmax_scale(c, r[f"lo_{c}"], r[f"hi_{c}"]), F.lit(-1.0)) for c in columns[k]])
-        scaled = F.when(F.col("cell") == k, row) if scaled is None else scaled.when(F.col("cell") == k, row)
-    rows = hourly.select("cell", "hadm_id", "time", (F.lit(None).cast("array<double>") if scaled is None else scaled).alias("row"))
+
+    def bound(name: str) -> Column:
+        # The cells' bounds of a column as one literal array: the expressions do not grow with the cells.
+        return F.element_at(F.array(*[F.lit(None if k not in fits else fits[k][name]).cast("double") for k in range(len(cells))]), F.col("cell") + 1)
+
+    scaled = hourly.select("cell", "hadm_id", "time", *[F.coalesce(minmax_scale(c, bound(f"lo_{c}"), bound(f"hi_{c}")), F.lit(-1.0)).alias(c) for c in every])
+    row = None
+    for cols in {tuple(c): c for c in columns}.values():
+        own = F.array(*[F.col(c) for c in cols])
+        inside = F.col("cell").isin([k for k, c in enumerate(columns) if c == cols])
+        row = F.when(inside, own) if row is None else row.when(inside, own)
+    rows = scaled.select("cell", "hadm_id", "time", row.alias("row"))
     limit = F.element_at(F.array(*[F.lit(D.MAX_STEPS[h]) for h, _ in cells]), F.col("cell") + 1)
     keep = rows.groupBy("cell", "hadm_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") <= limit).select("cell", "hadm_id")
     seqs = (rows.join(keep, ["cell", "hadm_id"], "left_semi").groupBy("cell", "hadm_id")
             .agg(F.sort_array(F.collect_list(F.struct("time", "row"))).alias("s"))
             .select("cell", "hadm_id", F.transform("s", lambda x: x["row"]).alias("value"), F.size("s").alias("num_stamps")))
-    names = F.array(*[F.struct(F.lit(h).alias("hours"), F.lit(s.upper()).alias("feature_set")) for h, s in cells])
-    named = seqs.withColumn("c", F.element_at(names, F.col("cell") + 1)).select("c.*", "hadm_id", "value", "num_stamps")
+    named = seqs.withColumn("c", F.element_at(_cell_names(cells), F.col("cell") + 1)).select("c.*", "hadm_id", "value", "num_stamps")
     return sequences.sequences_with_label(named, info)
 
 

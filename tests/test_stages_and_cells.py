@@ -135,3 +135,22 @@ def test_sequences_of_the_four_cells_equal_those_made_alone(spark):
             assert all(a == pytest.approx(b, rel=1e-9, abs=1e-12) for x, y in zip(got.value, r.value, strict=True) for a, b in zip(x, y, strict=True))
     empty = {n: df.limit(0) for n, df in t.items()}
     assert pipeline.sequence_cells(**empty).collect() == [] and pipeline.feature_cells(**empty).collect() == []
+
+
+def test_hourly_rows_of_the_cells_are_no_wider_for_more_cells(spark, monkeypatch):
+    """One set of feature columns whatever the number of cells: wider aggregations fall out of code generation."""
+    t = clinical.raw_tables(spark, SF)
+    seen = []
+    monkeypatch.setattr(pipeline, "persist", lambda df: (seen.append(df), df)[1])
+
+    def widest(node):
+        below = node.children()
+        return max([node.output().size(), *(widest(below.apply(k)) for k in range(below.size()))])
+
+    features = []
+    for cells in (pipeline.CELLS[:2], pipeline.CELLS):
+        pipeline.sequence_cells(**t, cells=cells)
+        features.append(pipeline.feature_cells(**t, cells=cells))
+    for made in (seen, features):
+        two, four = (widest(df._jdf.queryExecution().optimizedPlan()) for df in made)
+        assert two == four < 2 * len(D.FEATURES_SET_B)
