@@ -92,3 +92,13 @@ def test_interval_join_equals_brute_force(spark):
         want = sorted((v, hadm) for (k, _, _, t, v) in labs for (sk, hadm, start) in stays
                       if k == sk and 0 < (t - start).total_seconds() < h * 3600)
         assert got == want
+
+
+def test_interval_join_reads_a_time_in_text_once(spark):
+    labs = spark.createDataFrame([(1, "a", "2100-01-01 15:00:00"), (1, "b", None), (None, "c", "2100-01-01 15:00:00"), (1, "d", "2100-01-03 10:00:00")],
+                                 "subject_id long, itemid string, charttime string")
+    stays = spark.createDataFrame([(1, 100, T(2100, 1, 1, 10)), (1, 101, None)], "subject_id long, hadm_id long, intime timestamp")
+    joined = windows.interval_join(labs, stays, 48)
+    assert [(r.itemid, r.hadm_id, r.hours) for r in joined.collect()] == [("a", 100, 5.0)]
+    assert joined.columns == ["subject_id", "itemid", "charttime", "hadm_id", "intime", "hours"]
+    assert joined._jdf.queryExecution().optimizedPlan().toString().count("unix_timestamp(charttime") == 1
