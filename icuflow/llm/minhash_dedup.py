@@ -231,7 +231,8 @@ def _leader_pairs(members: DataFrame, classes: DataFrame | None, round_: int, pe
         rows = rows.where(F.pmod("node", F.lit(FIRST_NODES)) == 0)
     one = F.struct("rep", "n", "cls")
     if classes is None:
-        picks = [rows.groupBy("node").agg(F.min(one).alias("leader"))]
+        picked = rows.groupBy("node").agg(F.min(one).alias("leader"))
+        picks = ["leader"]
     else:
         # Per node and class: the first member and a drawn one.  The leader is the first of all; later rounds
         # also take a drawn member of its class and a drawn member of another.
@@ -239,23 +240,22 @@ def _leader_pairs(members: DataFrame, classes: DataFrame | None, round_: int, pe
         per = rows.groupBy("node", "cls").agg(F.min(one).alias("first"), F.min(F.struct(draw.alias("draw"), one.alias("one"))).alias("drawn"))
         nodes = (per.groupBy("node").agg(F.min("first").alias("leader"), F.count("*").alias("classes")).where("classes > 1")
                  .select(apart("node").alias("at"), "leader"))
-        met = per.join(nodes, apart("node") == F.col("at"))
         inside = F.col("cls") == F.col("leader.cls")
-        picks = [nodes.select(apart("at").alias("node"), "leader")]
-        for which in (inside, ~inside):
-            picks.append(met.where(which).groupBy("node").agg(F.min("drawn").alias("drawn"), F.first("leader").alias("head"))
-                         .select("node", F.col("drawn.one").alias("leader"), F.col("head.cls").alias("head")))
-    pairs = None
-    for k, pick in enumerate(picks):
-        to = pick.select(apart("node").alias("at"), "leader", *(["head"] if k else []))
-        # The conditions are the join's own, so that it gives pairs to look at only.
-        meets = ((apart("node") == F.col("at")) & (F.col("cls") != F.col("leader.cls"))
-                 & (100 * F.least("n", "leader.n") >= percent * F.greatest("n", "leader.n")))
-        if k:
-            meets = meets & (F.col("cls") != F.col("head"))
-        found = rows.join(to, meets).select(F.least("leader.rep", "rep").alias("u"), F.greatest("leader.rep", "rep").alias("v"))
-        pairs = found if pairs is None else pairs.unionByName(found)
-    return pairs
+        picked = (per.join(nodes, apart("node") == F.col("at")).groupBy("node")
+                  .agg(F.first("leader").alias("leader"), F.min(F.when(inside, F.col("drawn"))).alias("inside"), F.min(F.when(~inside, F.col("drawn"))).alias("outside"))
+                  .select("node", "leader", F.col("inside.one").alias("inside"), F.col("outside.one").alias("outside")))
+        picks = ["leader", "inside", "outside"]
+
+    def meets(pick):
+        return ((F.col("cls") != pick["cls"]) & (100 * F.least(F.col("n"), pick["n"]) >= percent * F.greatest(F.col("n"), pick["n"])))
+
+    # The conditions are the join's own, so that it gives rows with something to look at only.
+    some = meets(F.col(picks[0]))
+    for pick in picks[1:]:
+        some = some | meets(F.col(pick))
+    met = rows.join(picked.select(apart("node").alias("at"), *picks), (apart("node") == F.col("at")) & (F.col("cls") != F.col("leader.cls")) & some)
+    return (met.select("rep", F.explode(F.filter(F.array(*picks), meets)).alias("to"))
+            .select(F.least("to.rep", "rep").alias("u"), F.greatest("to.rep", "rep").alias("v")))
 
 
 def _sets(texts: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:

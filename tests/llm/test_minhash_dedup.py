@@ -1,6 +1,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 
 from icuflow.llm import components, minhash_dedup
@@ -173,3 +174,50 @@ def test_open_nodes_carry_their_most_frequent_class(spark):
     assert [x for x in got_ if x[0] in (1, 2)] == [(1, 10, 10, True), (1, 11, 10, True), (1, 12, 10, True), (1, 13, 13, False)]
     assert [x for x in got_ if x[0] == 4] == [(4, 10, 10, True), (4, 11, 10, True), (4, 14, 14, False)]
     assert {r for r in got_ if r[0] == 5} == {(5, 12, 10, False), (5, 13, 13, True)} and not [x for x in got_ if x[0] == 3]
+
+
+def least_reached(links):
+    near = {}
+    for u, v in links:
+        near.setdefault(u, set()).add(v)
+        near.setdefault(v, set()).add(u)
+    out = {}
+    for first in sorted(near):
+        front = [] if first in out else [first]
+        while front:
+            x = front.pop()
+            if x not in out:
+                out[x] = first
+                front += near[x]
+    return out
+
+
+@pytest.mark.parametrize("at_once", [1 << 18, 4])
+def test_components_of_one_task_and_of_star_rounds(spark, monkeypatch, at_once):
+    """Every node of a link comes out once, the smallest of its component too."""
+    monkeypatch.setattr(components, "LINKS", at_once)
+    rnd = random.Random(9)
+    links = [(rnd.randrange(-150, 150), rnd.randrange(-150, 150)) for _ in range(130)] + [(300 + i, 301 + i) for i in range(60)] + [(400, 400 + i) for i in range(1, 40)]
+    links = [(u, v) for u, v in links if u != v]
+    rows = components.components(spark.createDataFrame(links + links[:20] + [(7000, 7000)], "u long, v long").repartition(7)).collect()
+    assert len(rows) == len({r["node"] for r in rows}) and {r["node"]: r["component"] for r in rows} == least_reached(links)
+
+
+def test_links_that_a_task_holds_take_no_rounds(spark, monkeypatch):
+    """A long chain over many partitions is written twice: as each task's stars, and as components."""
+    written, stage = [], components.stage
+    monkeypatch.setattr(components, "stage", lambda df, name: written.append(name) or stage(df, name))
+    out = components.components(spark.createDataFrame([(i, i + 1) for i in range(500)], "u long, v long").repartition(16))
+    assert len(written) == 2 and {r["component"] for r in out.collect()} == {0} and out.count() == 501
+
+
+def test_the_first_member_of_a_group_of_open_members_is_compared_too(spark):
+    """Two open members of equal signatures and a similarity of 95 / 105: the smaller names their group and is in it."""
+    sets = {rep: np.array([*range(95), *range(base, base + 5)], np.uint64) for rep, base in ((3, 1000), (8, 2000))}
+    sig = bytes(4 * minhash_dedup.COORDINATES)
+    open_ = spark.createDataFrame([(1, 11, rep, 100, rep, rep == 3) for rep in sets], "grp long, k long, rep long, n long, cls long, main boolean")
+    reps = spark.createDataFrame([(rep, 100, sig) for rep in sets], "rep long, n long, sig binary")
+    classes = spark.createDataFrame([], "member long, class long")
+    full = spark.createDataFrame([(rep, s.tobytes()) for rep, s in sets.items()], "rep long, set binary")
+    assert {frozenset(r) for r in minhash_dedup._open_links(open_, reps, classes, full, 75).collect()} == {frozenset((3, 8))}
+    assert minhash_dedup._open_links(open_, reps, classes, full, 95).collect() == []
