@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import gc
 from collections.abc import Iterator
 
@@ -50,6 +52,32 @@ def text_groups(batches: Iterator[pa.RecordBatch], group_bytes: int = GROUP_BYTE
             first = last
 
 
+@functools.cache
+def _c_library():
+    """The process's own C library, if it has glibc's ``malloc_trim``."""
+    try:
+        lib = ctypes.CDLL(None)
+        return lib if hasattr(lib, "malloc_trim") else None
+    except (OSError, TypeError):
+        return None
+
+
+def return_memory() -> None:
+    """Give memory that Arrow and numpy have freed back to the system."""
+    pa.default_memory_pool().release_unused()
+    if _c_library() is not None:
+        _c_library().malloc_trim(0)
+
+
+def handing_back(run):
+    """``run``, a function for ``mapInArrow``, which returns its memory when it ends.  A Python worker outlives its
+    task and waits for another one; without this it would go on holding the most that any of its tasks had."""
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        return_memory()
+    return task
+
+
 def row_filter(df: DataFrame, text_col: str, judge, setup=lambda: None) -> DataFrame:
     """Rows of ``df``, unchanged, whose text ``judge(state, bytes, offsets)`` marks True; ``setup`` makes each
     task's state.  Rows are judged where they lie: no join, so repeated ids and other columns do not matter."""
@@ -62,7 +90,7 @@ def row_filter(df: DataFrame, text_col: str, judge, setup=lambda: None) -> DataF
             marks = [np.asarray(judge(state, data, offsets), bool) for _, data, offsets in text_groups([texts])]
             yield b.filter(pa.array(np.concatenate([*marks, np.zeros(0, bool)])))
 
-    return df.mapInArrow(run, df.schema)
+    return df.mapInArrow(handing_back(run), df.schema)
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:

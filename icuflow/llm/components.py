@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from icuflow.llm.common import apart, discard, stage
+from icuflow.llm.common import apart, discard, handing_back, stage
 
 # A task contracts this many links at a time: a few MB of arrays.
 LINKS = 1 << 18
@@ -85,10 +85,10 @@ def components(links: DataFrame, name: str = "components") -> DataFrame:
     shared folder.  Rounds grow with the logarithm of a component's size at most; they end when every node has
     the smallest of its component as its only smaller neighbour or has none, or when the rest is one task's.
     """
-    edges = stage(links.select("u", "v").where("u <> v").mapInArrow(_contract, "u long, v long"), name)
+    edges = stage(links.select("u", "v").where("u <> v").mapInArrow(handing_back(_contract), "u long, v long"), name)
     while True:
         if edges.count() <= LINKS:
-            out = stage(edges.coalesce(1).mapInArrow(_whole, "node long, component long"), name)
+            out = stage(edges.coalesce(1).mapInArrow(handing_back(_whole), "node long, component long"), name)
             discard(edges)
             return out
         near = stage(_both(edges).groupBy("u").agg(F.min("v").alias("m"), F.max("v").alias("most")), name)
@@ -98,5 +98,5 @@ def components(links: DataFrame, name: str = "components") -> DataFrame:
         down = stage(_large_star(edges, near), name)
         new = stage(_small_star(down), name)
         discard(edges, near, down)
-        edges = stage(new.mapInArrow(_contract, "u long, v long"), name)
+        edges = stage(new.mapInArrow(handing_back(_contract), "u long, v long"), name)
         discard(new)

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
-from icuflow.llm.common import discard, keyed_texts, null_ids, stage
+from icuflow.llm.common import discard, handing_back, keyed_texts, null_ids, stage
 
 WINDOW = 13
 # An automaton holds the windows of at most this many item words; a larger benchmark is dealt
@@ -151,7 +151,7 @@ def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, automaton_
          item_text_col: str = "text") -> DataFrame:
     """Per document: words, runs of hit words, items with occurring windows, hit spans in the original text."""
     def one(rows: DataFrame, shared, last: bool) -> DataFrame:
-        return rows.mapInArrow(_pass(shared, window, last), SCAN_SCHEMA if last else f"{SCAN_SCHEMA}, text string")
+        return rows.mapInArrow(handing_back(_pass(shared, window, last)), SCAN_SCHEMA if last else f"{SCAN_SCHEMA}, text string")
 
     return null_ids(_passes(keyed_texts(docs, id_col, text_col), benchmark, automaton_words, item_col, item_text_col, one))
 
@@ -217,7 +217,7 @@ def keep(docs: DataFrame, benchmark: DataFrame, min_share: int = 20, window: int
                     yield pa.RecordBatch.from_arrays(columns, names=schema.names).filter(pa.array(stays, pa.bool_()))
                 else:
                     yield pa.RecordBatch.from_arrays([*columns, pa.array(runs, pa.list_(pa.list_(pa.int64())))], names=runs_too.names)
-        return rows.mapInArrow(run, schema if last else runs_too)
+        return rows.mapInArrow(handing_back(run), schema if last else runs_too)
 
     return _passes(docs, benchmark, automaton_words, item_col, item_text_col, one)
 

@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from icuflow.llm import repeats as R
-from icuflow.llm.common import NULL_ID, apart, discard, keyed_texts, null_ids, stage, text_groups
+from icuflow.llm.common import NULL_ID, apart, discard, handing_back, keyed_texts, null_ids, stage, text_groups
 from icuflow.llm.components import components
 from icuflow.llm.substring_dedup import word_bounds
 
@@ -138,7 +138,7 @@ _NODE_ROW = "node long, rep long, n long"
 
 def _tree_nodes(reps: DataFrame, trees: int) -> tuple[DataFrame, DataFrame]:
     """Rows (node, rep, n) of the small nodes and of the nodes still large at the last level."""
-    rows = reps.select("rep", "n", "sig").mapInArrow(_roots(trees), _NODE_ROW)
+    rows = reps.select("rep", "n", "sig").mapInArrow(handing_back(_roots(trees)), _NODE_ROW)
     small, paths = [], []
     for level in range(DEPTH):
         rows = stage(rows, "minhash-paths")
@@ -149,7 +149,7 @@ def _tree_nodes(reps: DataFrame, trees: int) -> tuple[DataFrame, DataFrame]:
         rows = rows.where(F.col("members") > NODE).select("node", "rep", "n")
         if level < DEPTH - 1:
             rows = (rows.join(reps.select(F.col("rep").alias("r"), "sig"), F.col("rep") == F.col("r"))
-                    .select("node", "rep", "n", "sig").mapInArrow(_branches, _NODE_ROW))
+                    .select("node", "rep", "n", "sig").mapInArrow(handing_back(_branches), _NODE_ROW))
     few = small[0]
     for s in small[1:]:
         few = few.unionByName(s)
@@ -205,7 +205,7 @@ def _small_pairs(nodes: DataFrame, reps: DataFrame, classes: DataFrame | None, p
         rows = rows.join(classes, F.col("rep") == F.col("member"), "left").withColumn("cls", F.coalesce("class", "rep"))
     parts = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (rows.select("node", "rep", "n", "cls", "sig").repartition(parts, "node").sortWithinPartitions("node", "rep")
-            .mapInArrow(_candidates(classes is not None, percent), "u long, v long"))
+            .mapInArrow(handing_back(_candidates(classes is not None, percent)), "u long, v long"))
 
 
 def _members(large: DataFrame) -> DataFrame:
@@ -267,7 +267,7 @@ def _sets(texts: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
                                              names=["rep", "set"])
 
     some = texts.join(wanted.withColumnRenamed("rep", "doc_id").hint("shuffle_hash"), "doc_id", "left_semi")
-    return some.mapInArrow(run, "rep long, set binary").dropDuplicates(["rep"])
+    return some.mapInArrow(handing_back(run), "rep long, set binary").dropDuplicates(["rep"])
 
 
 def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -292,7 +292,7 @@ def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 good.append(100 * common >= percent * (len(x) + len(y) - common))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], names=["u", "v"]).filter(pa.array(good, pa.bool_()))
 
-    return both.mapInArrow(run, "u long, v long")
+    return both.mapInArrow(handing_back(run), "u long, v long")
 
 
 def _open_nodes(members: DataFrame, classes: DataFrame) -> DataFrame:
@@ -427,10 +427,12 @@ def _open_links(open_: DataFrame, reps: DataFrame, classes: DataFrame, sets: Dat
     def compared(rows, weight, limit, content, likes):
         met = _block_pairs(rows, weight, limit).join(content, F.col("rep") == F.col("r"))
         return (met.select("pair", "side", "rep", "n", "cls", "held").repartition(parts, "pair").sortWithinPartitions("pair")
-                .mapInArrow(_stars(likes), "u long, v long"))
+                .mapInArrow(handing_back(_stars(likes)), "u long, v long"))
 
-    maybe = compared(open_, F.lit(1), BLOCK_MEMBERS, reps.select(F.col("rep").alias("r"), F.col("sig").alias("held")), _alike(percent))
+    # Written first: a task that compared and contracted its links too would hold two Python workers.
+    maybe = stage(compared(open_, F.lit(1), BLOCK_MEMBERS, reps.select(F.col("rep").alias("r"), F.col("sig").alias("held")), _alike(percent)), "minhash-maybe")
     groups = components(maybe, "minhash-groups")
+    discard(maybe)
     rows = (groups.join(reps.select("rep", "n"), F.col("node") == F.col("rep"))
             .join(classes, F.col("rep") == F.col("member"), "left")
             .select(F.col("component").alias("grp"), _size_class().alias("k"), "rep", "n", F.coalesce("class", "rep").alias("cls")))
@@ -448,7 +450,7 @@ def near_duplicates(docs: DataFrame, percent: int = 75, shingle: int = SHINGLE,
     """Per document: n_shingles, component_id (smallest doc_id reachable over confirmed links), kept.
     ``percent`` must be 67 or more for the stated recall."""
     texts = keyed_texts(docs, id_col, text_col)
-    sketches = stage(texts.mapInArrow(_sketches(shingle), "doc_id long, n long, d1 long, d2 long, sig binary"), "minhash-sketches")
+    sketches = stage(texts.mapInArrow(handing_back(_sketches(shingle)), "doc_id long, n long, d1 long, d2 long, sig binary"), "minhash-sketches")
     reps = stage(sketches.where("n > 0").groupBy("n", "d1", "d2").agg(F.min("doc_id").alias("rep"), F.min("sig").alias("sig")), "minhash-reps")
     small, large = _tree_nodes(reps, trees)
     members = stage(_members(large), "minhash-members")

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from icuflow.llm.common import bounded_sample, crc_bucket, keyed_texts, null_ids, row_filter, starts_of, text_groups
+from icuflow.llm.common import bounded_sample, crc_bucket, handing_back, keyed_texts, null_ids, row_filter, starts_of, text_groups
 
 PASSAGE = 400
 BINS = 1024
@@ -157,7 +157,7 @@ def score(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, train_docs:
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(y.astype(np.float64), pa.float64())],
                                              names=["doc_id", "score"])
 
-    return null_ids(keyed_texts(docs, id_col, text_col).mapInArrow(run, "doc_id long, score double"))
+    return null_ids(keyed_texts(docs, id_col, text_col).mapInArrow(handing_back(run), "doc_id long, score double"))
 
 
 def keep(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, sample: int = SAMPLE,

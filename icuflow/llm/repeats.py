@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from icuflow.llm.common import apart, discard, stage, text_groups
+from icuflow.llm.common import apart, discard, handing_back, stage, text_groups
 
 HOT_SHARE = 2
 HOT_SAMPLE = 64
@@ -201,7 +201,7 @@ def settle(rows: DataFrame) -> DataFrame:
     hot = [r["h"] for r in counts.where(F.col("rows") >= max(HOT_LEAST, total / most)).select("h").limit(most).collect()]
     is_hot = F.col("h").isin(hot) if hot else F.lit(False)
     cold = rows.where(~is_hot)
-    out = (cold.repartition(parts, "h").sortWithinPartitions("h", "ph", "doc_id", "start").mapInArrow(_settle, SETTLED_SCHEMA))
+    out = (cold.repartition(parts, "h").sortWithinPartitions("h", "ph", "doc_id", "start").mapInArrow(handing_back(_settle), SETTLED_SCHEMA))
     if not hot:
         return out
     firsts = stage(rows.where(is_hot).groupBy("h", "ph").agg(F.min(F.struct("doc_id", "start", "n")).alias("f")), "repeats-hot")
@@ -232,7 +232,7 @@ def fetch(texts: DataFrame, settled: DataFrame, cut: Callable) -> DataFrame:
                          pa.array(start[part]), pa.array(n[part]), pa.array(cut(text, start[part], n[part]), pa.binary())],
                         names=["kind", "h", "doc_id", "start", "n", "piece"])
 
-    return pairs.select("doc_id", "text", "wanted").mapInArrow(run, PIECE_SCHEMA)
+    return pairs.select("doc_id", "text", "wanted").mapInArrow(handing_back(run), PIECE_SCHEMA)
 
 
 def large_spans(pieces: DataFrame, windows_of: Callable, window: int) -> DataFrame:
@@ -246,7 +246,7 @@ def large_spans(pieces: DataFrame, windows_of: Callable, window: int) -> DataFra
                      pa.array(b.column(1)[i].as_py() + np.arange(len(w1)), pa.int64())], names=["w1", "w2", "doc_id", "start"])
 
     rows = (pieces.where(F.col("kind") == LARGE).select("doc_id", "start", "piece")
-            .mapInArrow(run, "w1 long, w2 long, doc_id long, start long"))
+            .mapInArrow(handing_back(run), "w1 long, w2 long, doc_id long, start long"))
     first = (rows.groupBy("w1", "w2").agg(F.min(F.struct("doc_id", "start")).alias("f"), F.count("*").alias("rows"))
              .where("rows > 1").select(apart("w1").alias("f1"), F.col("w2").alias("f2"), "f"))
     return (rows.join(first, (apart("w1") == F.col("f1")) & (F.col("w2") == F.col("f2")))
@@ -269,13 +269,13 @@ def merge_spans(first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.nda
 def repeated_spans(texts: DataFrame, anchors: Callable, cut: Callable, compare: Callable, windows_of: Callable,
                    window: int, name: str) -> DataFrame:
     """Per document the list of spans covered by windows that start earlier elsewhere (may overlap)."""
-    rows = stage(texts.mapInArrow(anchors, ROW_SCHEMA), f"{name}-anchors")
+    rows = stage(texts.mapInArrow(handing_back(anchors), ROW_SCHEMA), f"{name}-anchors")
     settled = stage(settle(rows), f"{name}-settled")
     discard(rows)
     pieces = stage(fetch(texts, settled, cut), f"{name}-pieces")
     parts = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     compared = (pieces.where(F.col("kind") == COMPARE).repartition(parts, "h")
-                .sortWithinPartitions("h", "doc_id", "start").mapInArrow(compare, SPAN_SCHEMA))
+                .sortWithinPartitions("h", "doc_id", "start").mapInArrow(handing_back(compare), SPAN_SCHEMA))
     repeats = settled.where(F.col("kind") == REPEAT).select(
         "doc_id", F.col("start").alias("first"), (F.col("start") + F.col("n") + (window - 1)).alias("last"))
     spans = repeats.unionByName(compared).unionByName(large_spans(pieces, windows_of, window))

@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from icuflow.llm import repeats as R
-from icuflow.llm.common import keyed_texts, null_ids
+from icuflow.llm.common import handing_back, keyed_texts, null_ids
 
 MODEL = os.environ.get("SENTENCEPIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
 MARK = "▁"
@@ -416,7 +416,7 @@ def encode(docs: DataFrame, model: str = MODEL, id_col: str = "doc_id", text_col
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(first, len(texts)), ids], names=["doc_id", "ids"])
                 first += len(texts)
 
-    return null_ids(keyed_texts(docs, id_col, text_col).mapInArrow(run, "doc_id long, ids array<int>"))
+    return null_ids(keyed_texts(docs, id_col, text_col).mapInArrow(handing_back(run), "doc_id long, ids array<int>"))
 
 
 def decode(encoded: DataFrame, model: str = MODEL, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
@@ -431,7 +431,7 @@ def decode(encoded: DataFrame, model: str = MODEL, id_col: str = "doc_id", ids_c
                 text = [decoder.decode(x.values.to_numpy(zero_copy_only=False)) if x.is_valid else None for x in part.column(1)]
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(text, pa.string())], names=["doc_id", "ids", "text"])
 
-    return encoded.select(F.col(id_col).alias("doc_id"), F.col(ids_col).alias("ids")).mapInArrow(run, "doc_id long, ids array<int>, text string")
+    return encoded.select(F.col(id_col).alias("doc_id"), F.col(ids_col).alias("ids")).mapInArrow(handing_back(run), "doc_id long, ids array<int>, text string")
 
 
 def tokenize(docs: DataFrame, model: str = MODEL, text_col: str = "text") -> DataFrame:
@@ -460,7 +460,7 @@ def tokenize(docs: DataFrame, model: str = MODEL, text_col: str = "text") -> Dat
 
     schema = T.StructType([*docs.schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType())),
                            T.StructField("n_tokens", T.LongType()), T.StructField("round_trip", T.BooleanType())])
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(handing_back(run), schema)
 
 
 def digest(docs: DataFrame, **kw) -> DataFrame:

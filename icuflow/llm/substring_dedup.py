@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from icuflow.llm import repeats as R
-from icuflow.llm.common import keyed_texts, null_ids, starts_of, text_groups
+from icuflow.llm.common import handing_back, keyed_texts, null_ids, starts_of, text_groups
 
 WINDOW = 20
 # More rounds make longer symbols, but the spans that decide them widen faster: with windows of 20
@@ -258,7 +258,7 @@ def dedup(docs: DataFrame, window: int = WINDOW, rounds: int = ROUNDS, id_col: s
                 [b.column(0), pa.array(total, pa.int64()), pa.array(gone, pa.int64()), pa.array(runs, pair), pa.array(kept, pa.binary())],
                 names=["doc_id", "n_words", "n_removed", "removed", "kept"])
 
-    return null_ids(both.mapInArrow(run, "doc_id long, n_words long, n_removed long, removed array<struct<first:long,last:long>>, kept binary"))
+    return null_ids(both.mapInArrow(handing_back(run), "doc_id long, n_words long, n_removed long, removed array<struct<first:long,last:long>>, kept binary"))
 
 
 def digest(docs: DataFrame, **kw) -> DataFrame:

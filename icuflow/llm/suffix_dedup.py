@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from icuflow.llm import repeats as R
-from icuflow.llm.common import NULL_ID, keyed_texts, null_ids, starts_of
+from icuflow.llm.common import NULL_ID, handing_back, keyed_texts, null_ids, starts_of
 
 WINDOW = 100
 GRAM = 24
@@ -251,7 +251,7 @@ def dedup(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, id_col: str =
                  pa.array([r[3] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary())],
                 names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
 
-    return null_ids(both.mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"))
+    return null_ids(both.mapInArrow(handing_back(run), "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"))
 
 
 def digest(docs: DataFrame, **kw) -> DataFrame:
@@ -282,7 +282,7 @@ def keep(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, id_col: str =
             columns[at] = pa.array(new, columns[at].type)
             yield pa.RecordBatch.from_arrays(columns, names=b.schema.names[:-1]).filter(pa.array(stays, pa.bool_()))
 
-    out = both.mapInArrow(run, docs.schema)
+    out = both.mapInArrow(handing_back(run), docs.schema)
     if length_col:
         out = out.withColumn(length_col, F.coalesce(F.char_length(text_col).cast(docs.schema[length_col].dataType), F.col(length_col)))
     return out
